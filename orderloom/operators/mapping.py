@@ -90,9 +90,8 @@ def _with_variants(df: DataFrame, k: int, tag: str) -> DataFrame:
     step = df.withColumn("_v0", F.array("res"))
     for j in range(1, k + 1):
         step = step.withColumn(f"_v{j}", _shortened(F.col(f"_v{j - 1}")))
-    levels = F.flatten(F.array(*[
-        F.transform(F.col(f"_v{j}"), lambda v, j=j: F.struct(F.lit(j).alias("j"), v.alias("v")))
-        for j in range(k + 1)]))
+    tagged = lambda j: F.transform(F.col(f"_v{j}"), lambda v: F.struct(F.lit(j).alias("j"), v.alias("v")))
+    levels = F.flatten(F.array(*[tagged(j) for j in range(k + 1)]))
     return (step.select(*df.columns, F.explode(levels).alias("_s"))
             .select(*df.columns, F.col("_s.j").alias(tag), F.col("_s.v").alias("_v")))
 
@@ -147,7 +146,7 @@ def _blocks(codes: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]
 def _best(pairs: DataFrame, rule: _Rule) -> DataFrame:
     """Best target per code; the first mapping row wins among equals."""
     longest = F.greatest("n", "m")
-    within = pairs.withColumn("_d", F.levenshtein("c_res", "t_res", ))
+    within = pairs.withColumn("_d", F.levenshtein("c_res", "t_res"))
     within = within.where(rule.q * (longest - F.col("_d")) >= rule.p * longest)
     scored = within.withColumn("sim", 1 - F.col("_d") / longest)
     return (scored.groupBy("code")
