@@ -50,20 +50,29 @@ def _ledger(df: DataFrame) -> DataFrame:
 
 def insert_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Append the lines of newly failing orders, replacing rows with the same key."""
-    new = _ledger(replace_duplicates(lines))
-    return _ledger(orders).join(new.select(*LINE_KEY), [*LINE_KEY], "left_anti").select(*LEDGER_COLUMNS).unionByName(new)
+    new = _ledger(replace_duplicates(materialize(lines, "insert-lines")))
+    return (_ledger(orders).join(new.where(_has_key()).select(*LINE_KEY), [*LINE_KEY], "left_anti")
+            .select(*LEDGER_COLUMNS).unionByName(new))
 
 
-def update_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Overwrite matching rows but for their first failure time; unmatched lines are lost."""
+def _overwrite(orders: DataFrame, changes: DataFrame) -> DataFrame:
+    """``changes``: the line key and ``_new``, a struct of the values that replace the row's."""
     values = [c for c in LEDGER_COLUMNS if c not in KEPT_ON_UPDATE]
-    new = (replace_duplicates(lines.where(_has_key()))
-           .select(*LINE_KEY, F.struct(*values).alias("_new")))
-    return orders.join(new, [*LINE_KEY], "left").select(*[
+    return orders.join(changes, [*LINE_KEY], "left").select(*[
         F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
         for c in LEDGER_COLUMNS])
 
 
+def _last_values(lines: DataFrame, *order: str) -> DataFrame:
+    values = [c for c in LEDGER_COLUMNS if c not in KEPT_ON_UPDATE]
+    return lines.where(_has_key()).groupBy(*LINE_KEY).agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_new"))
+
+
+def update_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Overwrite matching rows but for their first failure time; unmatched lines are lost."""
+    return _overwrite(orders, _last_values(lines, "updated_at", "pos"))
+
+
 def _known_keys(orders: DataFrame) -> DataFrame:
     return orders.where(_has_key()).select(*LINE_KEY).distinct()
 
@@ -80,10 +89,13 @@ def upsert_order(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
     ``lines`` holds one failing request per order; use ``ledger_replay`` for several.
     """
-    known = (lines.where(_has_key()).select(*LINE_KEY).distinct()
-             .join(_known_keys(orders), [*LINE_KEY], "left_semi").select("order_id").distinct())
-    updated = update_lines(orders, lines.join(known, "order_id", "left_semi"))
-    return insert_lines(updated, lines.join(known, "order_id", "left_anti"))
+    lines = materialize(lines, "upsert-lines")
+    known = (lines.where(_has_key()).join(_known_keys(orders), [*LINE_KEY], "left_semi")
+             .select("order_id").distinct().withColumn("_known", F.lit(True)))
+    routed = materialize(lines.join(known, "order_id", "left"), "upsert-routed")
+    updated = update_lines(orders, routed.where("_known"))
+    # None of these lines has a row to replace, else its order would be known.
+    return updated.unionByName(_ledger(replace_duplicates(routed.where("_known IS NULL").drop("_known"))))
 
 
 def delete_delivered(orders: DataFrame, delivered: DataFrame) -> DataFrame:
@@ -175,9 +187,7 @@ def ledger_replay(lines: DataFrame, deliveries: DataFrame, orders: DataFrame | N
         settled = touches.join(won.select(*key), key, "left_semi").select("order_id", "seq").distinct()
         touches = materialize(touches.join(settled, ["order_id", "seq"], "left_anti"), "replay-open")
 
-    values = [c for c in LEDGER_COLUMNS if c not in KEPT_ON_UPDATE]
-    latest = keyed.groupBy(*key).agg(
-        F.max_by(F.struct(*values), F.struct("seq", "pos")).alias("_last"))
+    latest = _last_values(live, "seq", "pos")
     parts = []
     if inserts:
         owned = inserts[0]
@@ -185,14 +195,12 @@ def ledger_replay(lines: DataFrame, deliveries: DataFrame, orders: DataFrame | N
             owned = owned.unionByName(more)
         parts.append(owned.join(latest, key).select(
             *[F.col(c) if c in key else F.col("seq.at").alias(c) if c == "first_failure_time"
-              else F.col(f"_last.{c}").alias(c) for c in LEDGER_COLUMNS]))
+              else F.col(f"_new.{c}").alias(c) for c in LEDGER_COLUMNS]))
 
     # Lines without a full key: kept whenever their attempt inserted.
     loose = live.where(~_has_key())
     if base is not None:
-        parts.append(base.join(latest, key, "left").select(
-            *[F.when(F.col("_last").isNotNull(), F.col(f"_last.{c}")).otherwise(F.col(c)).alias(c) if c in values
-              else F.col(c) for c in LEDGER_COLUMNS]))
+        parts.append(_overwrite(base, latest))
     with_key = keyed.select("order_id", "seq").distinct()
     if inserts:
         with_key = with_key.join(owned.select("order_id", "seq").distinct(), ["order_id", "seq"], "left_anti")

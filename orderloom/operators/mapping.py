@@ -172,10 +172,10 @@ def _parts(tau: Column) -> Column:
 
 def _part_pairs(codes: DataFrame, targets: DataFrame, rule: _Rule) -> DataFrame:
     """Pairs of any length within the threshold, for codes the close pairs left open."""
-    shortest = lambda length: F.ceil(length * rule.p / rule.q).cast("int")
-    lengths = F.sequence(shortest(F.col("n")), rule.longest_partner(F.col("n")))
-    asked = codes.select("code", "n", "cut", "block", F.col("res").alias("c_res"), F.explode(lengths).alias("m"))
-    asked = asked.withColumn("tau", rule.edits(F.greatest("n", "m"))).withColumn("h", _parts(F.col("tau")))
+    sizes = targets.select("cut", "block", "m").distinct()
+    asked = (codes.select("code", "n", "cut", "block", F.col("res").alias("c_res")).join(sizes, ["cut", "block"])
+             .withColumn("tau", rule.edits(F.greatest("n", "m"))).where(F.abs(F.col("n") - F.col("m")) <= F.col("tau"))
+             .withColumn("h", _parts(F.col("tau"))))
 
     # Part i of a target of length L covers [i*L/h, (i+1)*L/h): the same formula on both sides.
     def spans(df: DataFrame, length: Column) -> DataFrame:
@@ -192,14 +192,21 @@ def _part_pairs(codes: DataFrame, targets: DataFrame, rule: _Rule) -> DataFrame:
              .drop("_len", "_from", "_to", "_part", "h"))
 
     left = spans(asked, F.col("m") - F.col("cut"))
-    starts = F.sequence(F.greatest(F.lit(0), F.col("_from") - F.col("tau")),
-                        F.greatest(F.lit(0), F.least(F.length("c_res"), F.col("_from") + F.col("tau"))))
+    # For the last part that survives, each later one costs two edits; so at most 2*part+1 are left
+    # to shift its start, and shifts on both sides together cannot cost more than tau.
+    drift = F.col("n") - F.col("m")
+    side = F.least(2 * F.col("part") + 1, F.col("tau"))
+    low = F.greatest(-side, F.floor((drift - F.col("tau") - 1) / 2).cast("int"))
+    high = F.least(side, F.ceil((drift + F.col("tau") + 1) / 2).cast("int"))
+    reach = lambda shift: F.least(F.greatest(F.col("_from") + shift, F.lit(0)), F.length("c_res"))
+    left = left.withColumn("_low", low).withColumn("_high", high).where("_low <= _high")
+    starts = F.array_distinct(F.sequence(reach(F.col("_low")), reach(F.col("_high"))))
     width = F.col("_to") - F.col("_from")
     piece = lambda extra: F.transform(
         starts, lambda s: F.substring(F.col("c_res"), s + 1, F.greatest(F.lit(0), width + extra)))
     # A piece one longer or equally long meets the part after one deletion, a shorter one as it is.
     meets = F.array_distinct(F.concat(piece(-1), piece(0), _shortened(piece(0)), _shortened(piece(1))))
-    left = left.withColumn("_v", F.explode(meets)).drop("_len", "_from", "_to", "h")
+    left = left.withColumn("_v", F.explode(meets)).drop("_len", "_from", "_to", "h", "_low", "_high")
     return left.join(right, ["cut", "block", "m", "tau", "part", "_v"])
 
 
@@ -214,14 +221,14 @@ def best_matches(codes: DataFrame, mapping: DataFrame, threshold: float = THRESH
     open_codes, targets = _blocks(codes, mapping)
     found = []
     for k in (1, 2, 3):
-        best = materialize(_best(_close_pairs(open_codes, targets, k), rule), f"fuzzy-best{k}")
-        found.append(best)
+        best = _best(_close_pairs(open_codes, targets, k), rule)
         # Closed if k edits are all the threshold allows, or if k+1 edits cannot do as well.
         ceiling = 1 - F.lit(k + 1) / (F.col("n") + k + 1)
         covered = F.length("res") + k <= _LENGTH_LIMIT[k]
         closed = covered & ((rule.max_edits(F.col("n")) <= k) | (F.coalesce("sim", F.lit(-1.0)) > ceiling))
-        open_codes = materialize(
-            open_codes.join(best.select("code", "sim"), "code", "left").where(~closed).drop("sim"), f"fuzzy-open{k}")
+        judged = materialize(open_codes.join(best, "code", "left").withColumn("closed", closed), f"fuzzy-{k}")
+        found.append(judged.where("sim IS NOT NULL").select("code", "sim", "_rank", "old_code"))
+        open_codes = judged.where("NOT closed").drop("sim", "_rank", "old_code", "closed")
         if open_codes.isEmpty():
             break
     else:

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from orderloom.operators.scan import row_numbers
 from orderloom.schema import DETAIL_TO_LEDGER, LEDGER, LEDGER_COLUMNS, MASTER_TO_LEDGER
 
-_FIRST = F.get("doc.data", F.lit(0))
+def first_document() -> Column:
+    return F.get("doc.data", F.lit(0))
 
 
 def task_id() -> Column:
     """The order number inside the payload; NULL where the path is missing."""
-    return _FIRST["master"]["maDonHang"]
+    return first_document()["master"]["maDonHang"]
 
 
 def task_ids(requests: DataFrame) -> DataFrame:
@@ -34,9 +35,9 @@ def explode_details(requests: DataFrame) -> DataFrame:
     A request without a master or without details gives no row.
     """
     return (
-        requests.withColumn("master", _FIRST["master"])
+        requests.withColumn("master", first_document()["master"])
         .where(F.col("master").isNotNull())
-        .select("*", F.posexplode(_FIRST["detail"]).alias("pos", "item"))
+        .select("*", F.posexplode(first_document()["detail"]).alias("pos", "item"))
     )
 
 
@@ -46,7 +47,7 @@ def first_detail(requests: DataFrame) -> DataFrame:
     No ``detail`` at all leaves the item NULL; an empty ``detail``, an empty ``data`` or a missing
     master leaves both master and item NULL.
     """
-    master, detail = _FIRST["master"], _FIRST["detail"]
+    master, detail = first_document()["master"], first_document()["detail"]
     usable = master.isNotNull() & (detail.isNull() | (F.size(detail) > 0))
     return (
         requests.withColumn("master", F.when(usable, master))
