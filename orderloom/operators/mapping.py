@@ -106,14 +106,8 @@ class _Rule:
     def edits(self, longest: Column) -> Column:
         return F.floor(longest * (self.q - self.p) / self.q).cast("int")
 
-    def longest_partner(self, length: Column) -> Column:
-        return F.floor(length * self.q / self.p).cast("int")
 
-    def max_edits(self, length: Column) -> Column:
-        return self.edits(self.longest_partner(length))
-
-
-def _blocks(codes: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _blocks(codes: DataFrame, mapping: DataFrame, rule: _Rule) -> tuple[DataFrame, DataFrame]:
     """Codes and targets with their block and what is left of the text inside the block."""
     targets = (mapping.where("new_code <> ''").groupBy("new_code")
                .agg(F.min_by(F.struct("row_no", "old_code"), F.col("row_no")).alias("_first"))
@@ -140,7 +134,13 @@ def _blocks(codes: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]
               .withColumn("block", F.expr("substring(new_code, 1, cut)"))
               .withColumn("res", F.expr("substring(new_code, cut + 1)"))
               .join(in_use, ["cut", "block"], "left_semi"))
-    return shaped, materialize(placed, "fuzzy-placed")
+    placed = materialize(placed, "fuzzy-placed")
+    # The most edits that any target length in the block allows; codes out of reach of all end here.
+    sizes = placed.select("cut", "block", "m").distinct()
+    allowed = rule.edits(F.greatest("n", "m"))
+    reach = (shaped.join(sizes, ["cut", "block"]).where(F.abs(F.col("n") - F.col("m")) <= allowed)
+             .groupBy("code").agg(F.max(allowed).alias("reach")))
+    return materialize(shaped.join(reach, "code"), "fuzzy-reach"), placed
 
 
 def _best(pairs: DataFrame, rule: _Rule) -> DataFrame:
@@ -218,14 +218,14 @@ def best_matches(codes: DataFrame, mapping: DataFrame, threshold: float = THRESH
     """
     rule = _Rule(threshold)
     codes = codes.where(~_blank("code")).select("code").distinct()
-    open_codes, targets = _blocks(codes, mapping)
+    open_codes, targets = _blocks(codes, mapping, rule)
     found = []
     for k in (1, 2, 3):
         best = _best(_close_pairs(open_codes, targets, k), rule)
-        # Closed if k edits are all the threshold allows, or if k+1 edits cannot do as well.
+        # Closed if no target allows more than k edits, or if k+1 edits cannot do as well.
         ceiling = 1 - F.lit(k + 1) / (F.col("n") + k + 1)
         covered = F.length("res") + k <= _LENGTH_LIMIT[k]
-        closed = covered & ((rule.max_edits(F.col("n")) <= k) | (F.coalesce("sim", F.lit(-1.0)) > ceiling))
+        closed = covered & ((F.col("reach") <= k) | (F.coalesce("sim", F.lit(-1.0)) > ceiling))
         judged = materialize(open_codes.join(best, "code", "left").withColumn("closed", closed), f"fuzzy-{k}")
         found.append(judged.where("sim IS NOT NULL").select("code", "sim", "_rank", "old_code"))
         open_codes = judged.where("NOT closed").drop("sim", "_rank", "old_code", "closed")

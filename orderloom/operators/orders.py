@@ -85,11 +85,13 @@ def flatten_order_lines(requests: DataFrame, responses: DataFrame, details: str
     attempt_at``. ``details`` is all|first, ``source`` is slash|declared|declared_checked.
     ``keep`` names further columns (such as ``pos``) to hand through.
     """
-    shaped = {"all": explode_details, "first": first_detail}[details](requests)
     replies = responses.select(
         F.col("task_id").alias(on), *[c for c in responses.columns if c in ("attempt_at", "attempt_no")],
         error_code_or_error("body", "error").alias("error_code"))
-    joined = shaped.drop("doc", "payload").join(replies, on)
+    # Documents meet their reply before they unfold into lines. Parsed documents are many times
+    # their stored size, so the join must not choose to broadcast them by that size.
+    answered = requests.drop("payload").join(replies.hint("merge"), on)
+    joined = {"all": explode_details, "first": first_detail}[details](answered)
     order_no = F.col("master.maDonHang")
     declared = F.col("master.sourceType")
     source_type = {

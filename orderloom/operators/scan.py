@@ -117,13 +117,13 @@ def greedy_spacing(points: DataFrame, keys: Sequence[str], at: str, gap: int,
     ``at`` is a LONG instant. The rule is sequential per key (keep the first; then keep the first
     at or after last kept + gap; ...), so it is solved by pointer doubling: every instant points
     to the one kept next if it were kept itself. An instant with nothing in the ``gap`` before it
-    is kept in any case and starts a chain; chains are followed in log2(length) joins on the
-    unique (key, instant), which no hot key can skew.
+    is kept in any case and starts a chain; chains are followed in log2(length) joins on
+    (key, instant), unique on one side, so a hot key spreads over its instants.
     """
     keys = list(keys)
-    points = materialize(points.select(*keys, at).distinct(), "points")
-    probes = points.select(*keys, (F.col(at) + F.lit(gap)).alias(at), F.lit(0).alias("_side"))
-    both = probes.unionByName(points.withColumn("_side", F.lit(1)))
+    both = points.select(*keys, at).distinct().select(*keys, F.inline(F.array(
+        F.struct((F.col(at) + F.lit(gap)).alias(at), F.lit(0).alias("_side")),
+        F.struct(F.col(at).alias(at), F.lit(1).alias("_side")))))
     ch = Chunks(both, keys, [at, "_side"], width)
     mark = F.when(F.col("_side") == 1, F.col(at))
     local = (ch.rows
@@ -151,6 +151,6 @@ def greedy_spacing(points: DataFrame, keys: Sequence[str], at: str, gap: int,
         hop = materialize(
             hop.join(onward, [*keys, "_to"]).select(*keys, at, F.col("_to2").alias("_to")), "hops")
     for hop in reversed(hops):
-        reached = kept.join(hop, [*keys, at]).select(*keys, F.col("_to").alias(at))
-        kept = materialize(kept.unionByName(reached), "kept")
+        kept = (kept.join(hop, [*keys, at], "left")
+                .select(*keys, F.explode(F.array_compact(F.array(at, "_to"))).alias(at)))
     return kept.distinct()

@@ -25,7 +25,9 @@ def parse_payloads(requests: DataFrame) -> DataFrame:
     """
     schema = T.StructType([*PAYLOAD.fields, T.StructField(_BAD, T.StringType())])
     raw = F.from_json("payload", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
-    parsed = requests.withColumn("_raw", raw)
+    # Through a one-element explode: filters on the document then stay above the parser, while
+    # through a projection each of them would be pushed down with a copy of it.
+    parsed = requests.select("*", F.explode(F.array(raw)).alias("_raw"))
     bad = F.col("_raw").isNull() | F.col(f"_raw.{_BAD}").isNotNull()
     doc = F.when(~bad, F.struct(*[F.col(f"_raw.{f}").alias(f) for f in PAYLOAD.names]))
     return parsed.withColumn("doc", doc).withColumn("_corrupt", bad).drop("_raw")

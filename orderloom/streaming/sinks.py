@@ -9,13 +9,18 @@ from pyspark.sql import functions as F
 
 from orderloom.session import fresh_path
 
+FILES_PER_BATCH = 32
 
-def read_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int | None = None) -> DataFrame:
-    """One table's files as a stream. ``name`` is a parquet file or a folder of parquet files."""
+
+def read_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """One table's files as a stream. ``name`` is a parquet file or a folder of parquet files.
+
+    The files per micro-batch are bounded, and with them the rows of one key that a stateful task
+    takes at a time.
+    """
     path = os.path.join(sf_dir, name)
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = (spark.readStream.schema(spark.read.parquet(path).schema)
+              .option("maxFilesPerTrigger", files_per_batch))
     if name.endswith(".parquet"):
         return reader.option("pathGlobFilter", name).parquet(sf_dir)
     return reader.parquet(path)

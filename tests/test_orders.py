@@ -1,3 +1,4 @@
+import codecs
 import datetime as dt
 import json
 
@@ -91,8 +92,9 @@ def test_batch_summary_pages(spark):
 
 def rule_repair(s):
     try:
-        return s.encode("utf-8").decode("unicode_escape").encode("latin1").decode("utf-8")
-    except UnicodeError:
+        chars = codecs.decode(s.encode(), "unicode_escape")
+        return bytes(map(ord, chars)).decode()
+    except ValueError:
         return s
 
 
@@ -112,6 +114,7 @@ def test_repair_of_escapes(spark):
 
 def test_patterns(spark):
     import re
+    # The rule as stated for short messages (fixed value).
     slow = re.compile(r"Mã hàng\s+([^\s]+(?:\s+[^\s]+)*?)\s+không tồn tại trong hệ thống")
     tail = " không tồn tại trong hệ thống"
     texts = ["Mã hàng A B" + tail, "Mã hàng X" + tail + ", Mã hàng Y" + tail + "; Mã hàng X" + tail, "Mã hàng C lỗi, Mã hàng D" + tail,
