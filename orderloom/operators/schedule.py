@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.backoff import POLICY_ATTEMPTS, policy_offsets_minutes
@@ -74,15 +74,20 @@ def idempotent_requests(requests: DataFrame, retention_seconds: int = RETENTION_
 
 # --- task state from the attempts log ---------------------------------------------------------
 
+def _weight(manual: str | None) -> Column:
+    """A failed attempt counts once, and once more if it was started by hand."""
+    return F.lit(1) if manual is None else F.when(F.col(manual), 2).otherwise(1)
+
+
 def retry_count(attempts: DataFrame, task: str = "task_id", at: str = "attempt_at", tie: str = "seq",
-                width: int | None = None) -> DataFrame:
+                manual: str | None = None, width: int | None = None) -> DataFrame:
     """Per attempt: failures of the task since its last success, this attempt included.
 
     ``attempts`` carries ``success BOOLEAN``. With a running failure total T this is T minus the
     largest T seen at a success, so it needs one running sum and one running maximum.
     """
     ch = Chunks(attempts, [task], [at, tie], width)
-    failed = F.when(F.col("success"), 0).otherwise(1).cast("long")
+    failed = F.when(F.col("success"), 0).otherwise(_weight(manual)).cast("long")
     total = ch.rows.withColumn("_t", F.sum(failed).over(ch.so_far()))
     at_success = F.when(F.col("success"), F.col("_t"))
     local = total.withColumn("_base", F.max(at_success).over(ch.so_far()))
@@ -97,7 +102,8 @@ def retry_count(attempts: DataFrame, task: str = "task_id", at: str = "attempt_a
             .select(*attempts.columns, "retry_count"))
 
 
-def task_status(attempts: DataFrame, task: str = "task_id", at: str = "attempt_at", tie: str = "seq") -> DataFrame:
+def task_status(attempts: DataFrame, task: str = "task_id", at: str = "attempt_at", tie: str = "seq",
+                manual: str | None = None) -> DataFrame:
     """Current state of tasks that still fail: count since the last success and the last reply.
 
     A task whose last attempt succeeded has no state. Aggregations combine before the shuffle.
@@ -111,7 +117,7 @@ def task_status(attempts: DataFrame, task: str = "task_id", at: str = "attempt_a
         .join(successes, F.col(task) == F.col("_task"), "left")
         .where(F.col("_cleared").isNull() | (order > F.col("_cleared")))
         .groupBy(task)
-        .agg(F.lit("needs_retry").alias("detail"), F.count(F.lit(1)).alias("retry_count"),
+        .agg(F.lit("needs_retry").alias("detail"), F.sum(_weight(manual)).cast("long").alias("retry_count"),
              F.max_by(reply, order).alias("_last"))
         .select(task, "detail", "retry_count", "_last.*")
     )

@@ -46,8 +46,19 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), "orderloom", spark.sparkContext.applicationId)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return os.path.join(shared_dir(spark), "orderloom", f"{label}-{uuid.uuid4().hex}")
+    return os.path.join(_own_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def release(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once no result built on them is needed."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(_own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:

@@ -133,14 +133,32 @@ def stream_retry_state(attempts: DataFrame, mode: str = "exponential", lateness:
 
 # --- digests ----------------------------------------------------------------------------------
 
+def _thin(minute_micros: int = 60 * _MICROS):
+    """First and last sighting of a code per key and minute, combined before the shuffle.
+
+    A digest is sent at most once in a minute, so the first stands for all sightings before the
+    send and the last for all after it. A hot key shrinks to its distinct codes.
+    """
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if rows.empty:
+                continue
+            slots = rows.groupby(["key", "code", rows["us"] // minute_micros], sort=False)["us"]
+            ends = pd.concat([slots.idxmin(), slots.idxmax()]).unique()
+            yield rows.loc[ends]
+    return combine
+
+
 def stream_daily_digest(events: DataFrame, delay_seconds: int = DIGEST_DELAY_SECONDS,
                         lateness: str = "0 seconds") -> DataFrame:
     """One digest a day per key, ``delay`` after the day's first codes; one row per code.
 
-    ``events``: key, ts, event_id, codes. Unlike the batch form a window may run past midnight,
-    with the consequences that has: codes of the new day go out with the old timer, and the new
-    day's own timer can then send again.
+    ``events``: key, ts, codes. Unlike the batch form a window may run past midnight, with the
+    consequences that has: codes of the new day go out with the old timer, and the new day's own
+    timer can then send again. ``delay`` counts in whole minutes.
     """
+    if delay_seconds % 60:
+        raise ValueError("the digest delay must be whole minutes")
     delay = delay_seconds * _MICROS
     columns = ["key", "day", "us", "n_codes", "code"]
 
@@ -160,13 +178,11 @@ def stream_daily_digest(events: DataFrame, delay_seconds: int = DIGEST_DELAY_SEC
         if state.hasTimedOut:
             fire(state.getCurrentWatermarkMs() * 1000)
         else:
-            for row in _in_order(batches, state, ["us", "event_id"]).itertuples(index=False):
+            for row in _in_order(batches, state, ["us"]).itertuples(index=False):
                 fire(row.us)
-                if not len(row.codes):
-                    continue
                 if row.day != day:
                     day, codes, scheduled, sent = int(row.day), set(), False, False
-                codes.update(row.codes)
+                codes.add(row.code)
                 if not sent and not scheduled:
                     scheduled = True
                     timers.append(row.us + delay)
@@ -177,9 +193,12 @@ def stream_daily_digest(events: DataFrame, delay_seconds: int = DIGEST_DELAY_SEC
         yield pd.DataFrame(out, columns=columns)
 
     return (
-        events.withWatermark("ts", lateness)
-        .select("key", "event_id", "codes", F.unix_micros("ts").alias("us"),
-                F.unix_date(F.to_date("ts")).alias("day"), "ts")
+        events
+        .select("key", "ts", F.unix_micros("ts").alias("us"), F.unix_date(F.to_date("ts")).alias("day"),
+                F.explode("codes").alias("code"))
+        .select("key", "us", "day", "code", "ts")
+        .mapInPandas(_thin(), "key string, us long, day int, code string, ts timestamp")
+        .withWatermark("ts", lateness)
         .groupBy("key")
         .applyInPandasWithState(
             collect, "key string, day int, us long, n_codes long, code string",

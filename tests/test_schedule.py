@@ -87,6 +87,14 @@ def test_retry_count_and_status(spark):
     assert status == {t: n for t, n in state.items() if n}
 
 
+def test_manual_retries_count_twice(spark):
+    rows = [(0, "t", at(0), False, False), (1, "t", at(1), False, True), (2, "u", at(0), False, True), (3, "u", at(5), True, True)]
+    df = spark.createDataFrame(rows, "seq long, task_id string, attempt_at timestamp, success boolean, by_hand boolean")
+    assert {r.seq: r.retry_count for r in schedule.retry_count(df, manual="by_hand").collect()} == {0: 1, 1: 3, 2: 2, 3: 0}
+    full = df.withColumn("status_code", F.lit(500)).withColumn("body", F.lit("")).withColumn("error", F.lit(""))
+    assert [(r.task_id, r.retry_count) for r in schedule.task_status(full, manual="by_hand").collect()] == [("t", 3)]
+
+
 def test_next_mark(spark):
     rng = random.Random(9)
     events = [("k", rng.randrange(100), i) for i in range(80)]
