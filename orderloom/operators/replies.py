@@ -75,7 +75,8 @@ def outcome_v2(attempts: DataFrame) -> DataFrame:
     """
     staged = _with_error_code(normalize_reply(attempts))
     said = F.col("_failed") & ~F.col("_falsy") & F.col("_is_text")
-    staged = staged.withColumn("error_text", F.when(said, repair_escapes("_text")))
+    # Through a one-element explode, so that filters on the outcome stay above this work.
+    staged = staged.select("*", F.explode(F.array(F.when(said, repair_escapes("_text")))).alias("error_text"))
     staged = (staged.withColumn("_duplicate", F.coalesce(is_duplicate_document("error_text"), F.lit(False)))
               .withColumn("missing_codes", F.when(
                   ~F.col("_duplicate"), extract_missing_codes("error_text"))))
@@ -129,8 +130,13 @@ def daily_stats(attempts: DataFrame, at: str = "attempt_at") -> DataFrame:
 
 
 def code_events(attempts: DataFrame) -> DataFrame:
-    """One row per reported code of an attempt that has ``missing_codes``."""
-    return attempts.select("*", F.explode("missing_codes").alias("product_code")).drop("missing_codes")
+    """One row per reported code of an attempt that has ``missing_codes``.
+
+    The outer form plus a filter: the plain form would push "array not empty" down below the
+    classification and evaluate all of that twice.
+    """
+    return (attempts.select("*", F.explode_outer("missing_codes").alias("product_code"))
+            .where("product_code IS NOT NULL").drop("missing_codes"))
 
 
 def distinct_codes(attempts: DataFrame) -> DataFrame:
