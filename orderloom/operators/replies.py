@@ -72,11 +72,12 @@ def outcome_v2(attempts: DataFrame) -> DataFrame:
 
     First match wins: completed, completed_unconfirmed (a failing reply that names no error is
     not retried), retry_malformed, duplicate_success, retry_missing_code, terminal, retry_server.
+    Store the result before filtering it: a filter on the outcome would be pushed below the
+    classification together with a copy of it.
     """
     staged = _with_error_code(normalize_reply(attempts))
     said = F.col("_failed") & ~F.col("_falsy") & F.col("_is_text")
-    # Through a one-element explode, so that filters on the outcome stay above this work.
-    staged = staged.select("*", F.explode(F.array(F.when(said, repair_escapes("_text")))).alias("error_text"))
+    staged = staged.withColumn("error_text", F.when(said, repair_escapes("_text")))
     staged = (staged.withColumn("_duplicate", F.coalesce(is_duplicate_document("error_text"), F.lit(False)))
               .withColumn("missing_codes", F.when(
                   ~F.col("_duplicate"), extract_missing_codes("error_text"))))
