@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.functions import text as X
-from orderloom.functions.backoff import backoff_seconds
+from orderloom.functions import backoff as B
 from orderloom.operators import digest as D
 from orderloom.operators import ledger as L
 from orderloom.operators import mapping as M
@@ -205,10 +205,10 @@ def similarity(spark, d):
 
 
 @query
-def backoff(spark, d):
+def backoff_seconds(spark, d):
     counted = S.retry_count(I.decided(spark, d), tie="attempt_no").where("NOT success")
-    return counted.select("attempt_no", "retry_count", backoff_seconds("retry_count").alias("exponential"),
-                          backoff_seconds("retry_count", "constant").alias("constant"))
+    return counted.select("attempt_no", "retry_count", B.backoff_seconds("retry_count").alias("exponential"),
+                          B.backoff_seconds("retry_count", "constant").alias("constant"))
 
 
 @query

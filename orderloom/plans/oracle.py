@@ -240,7 +240,7 @@ _DEC = """dec AS (SELECT 'T' || user_id AS task_id, event_id AS attempt_no, ts A
   SELECT *, count(CASE WHEN success THEN 1 END) OVER (PARTITION BY task_id ORDER BY attempt_at, attempt_no) AS s FROM dec),
   cnt AS (SELECT *, count(CASE WHEN NOT success THEN 1 END) OVER (PARTITION BY task_id, s ORDER BY attempt_at, attempt_no) AS retry_count FROM seg)"""
 _EXP = "CASE WHEN retry_count >= 6 THEN 300 ELSE least(300, (5 * pow(2, retry_count))::BIGINT) END"
-add("backoff", _DEC, final=f"""SELECT attempt_no, retry_count, {_EXP}::BIGINT AS exponential, 300::BIGINT AS "constant"
+add("backoff_seconds", _DEC, final=f"""SELECT attempt_no, retry_count, {_EXP}::BIGINT AS exponential, 300::BIGINT AS "constant"
   FROM cnt WHERE NOT success""")
 add("retry_schedule", "firsts AS (SELECT 'T' || user_id AS task_id, min(ts) AS f FROM events WHERE event_type NOT IN ('purchase', 'signup') GROUP BY 1)",
     "gaps AS (SELECT n AS attempt, CASE WHEN n = 1 THEN 0 ELSE least(1440, 15 * pow(2, least(n - 2, 10))::BIGINT) END AS gap FROM range(1, 101) AS r(n))",
