@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import packing, sharding, simhash, token_planes
+from orderloom.llm import debruijn, packing, sharding, simhash, suffix_array, token_planes
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -31,12 +31,20 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
+def op7_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())[1]
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_feistel_sharding, op4_simhash, op8_token_planes)}
+    f.__name__: f for f in (op1_best_fit_packing, op2_feistel_sharding, op4_simhash, op5_suffix_array, op7_debruijn, op8_token_planes)}
 
 #: Every query of this subpackage runs on text bytes, trained models or iterated joins that SQL has no words for;
 #: tests/llm holds each against a brute-force version.
