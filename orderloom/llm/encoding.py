@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 #: Longest run of texts, in characters, that is encoded in one go.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 2_000_000
 
 
 def text_groups(texts: Sequence[str | None], limit: int = GROUP_CHARS) -> Iterator[tuple[int, int]]:
@@ -32,17 +33,17 @@ class Encoder:
     table is bounded; pieces beyond it are encoded again when they come again.
     """
 
-    def __init__(self, path: str, table_size: int = 500_000):
+    def __init__(self, path: str, table_size: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel already
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._table_size = table_size
-        self._table: dict[str, bytes] = {}
+        self._table: dict[str, bytes] = {}  # ids of a piece after a space
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text; a null text counts as empty."""
@@ -53,22 +54,34 @@ class Encoder:
 
     def _encode_group(self, texts: list[str]) -> list[bytes]:
         table = self._table
+        known = len(table)
         cut = [t.split(" ") for t in texts]
-        missing = {p for pieces in cut for p in pieces[1:] if p not in table}
+        heads = [pieces[0] for pieces in cut]
+        for pieces in cut:
+            del pieces[0]
+        missing = [p for p in set().union(*cut) if p not in table]
         odd = {p for p in missing if not p or p[0].isspace()}
-        missing -= odd
-        listed = list(missing)
-        table.update(zip(listed, self._encode([" " + p for p in listed])))
-        heads = dict(zip(h := list({p[0] for p in cut}), self._encode(h)))
+        if odd:
+            missing = [p for p in missing if p not in odd]
+        for a in range(0, len(missing), 10_000):
+            part = missing[a:a + 10_000]
+            table.update(zip(part, self._encode([" " + p for p in part])))
+        first = dict(zip(h := list(set(heads)), self._encode(h)))
         out: list[bytes | None] = []
-        for pieces in cut:
-            if odd and not odd.isdisjoint(pieces[1:]):
+        for head, pieces in zip(heads, cut):
+            if odd and not odd.isdisjoint(pieces):
                 out.append(None)
             else:
-                out.append(heads[pieces[0]] + b"".join(map(table.__getitem__, pieces[1:])))
+                out.append(first[head] + b"".join(map(table.__getitem__, pieces)))
         whole = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
             out[i] = ids
-        for p in listed[max(0, len(listed) - max(0, len(table) - self._table_size)):]:
-            del table[p]
+        while len(table) > max(known, self._table_size):
+            table.popitem()  # the newest go
         return out
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The worker's own encoder, which keeps its table from task to task."""
+    return Encoder(path)

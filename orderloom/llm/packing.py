@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.encoding import Encoder, text_groups
+from orderloom.llm.encoding import encoder, text_groups
 from orderloom.llm.workspace import Workspace, positions
 
 CAPACITY = 1024
@@ -189,12 +189,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
     schema = to_arrow_schema(PIECE)
 
     def pieces(batches):
-        encoder, end = Encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
+        ids_of, end = encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in text_groups(texts):
                 made = [[], [], [], [], []]
-                for doc_id, ids in zip(doc_ids[a:b], encoder.encode(texts[a:b])):
+                for doc_id, ids in zip(doc_ids[a:b], ids_of.encode(texts[a:b])):
                     ids = memoryview(ids + end)
                     for i, (start, length) in enumerate(cut_lengths(len(ids) // 4, capacity)):
                         for column, value in zip(made, (doc_id, i, start, length,
@@ -208,4 +208,5 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """All documents, in pieces, with their sequence and their place in it."""
     ws = Workspace(docs.sparkSession, "packing")
-    return pack(token_pieces(docs, tokenizer, capacity), capacity, ws)
+    # stored first: ranging samples its input, which would encode everything a second time
+    return pack(ws.store(token_pieces(docs, tokenizer, capacity), "pieces"), capacity, ws)

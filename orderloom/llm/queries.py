@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import debruijn, packing, sharding, simhash, suffix_array, token_planes
+from orderloom.llm import (debruijn, decontaminate, packing, permutation_index, sharding, simhash, suffix_array, token_count,
+                            token_planes, toxicity)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -27,6 +28,10 @@ def op2_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("spans")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,6 +40,10 @@ def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array.suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op7_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.substring_dedup(table(spark, sf_dir, "documents"))
 
@@ -43,8 +52,17 @@ def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())[1]
 
 
+def op9_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_feistel_sharding, op4_simhash, op5_suffix_array, op7_debruijn, op8_token_planes)}
+    f.__name__: f for f in (op1_best_fit_packing, op2_feistel_sharding, op3_toxicity, op4_simhash, op5_suffix_array, op6_token_counts,
+                             op7_debruijn, op8_token_planes, op9_permutation_index, op10_decontamination)}
 
 #: Every query of this subpackage runs on text bytes, trained models or iterated joins that SQL has no words for;
 #: tests/llm holds each against a brute-force version.

@@ -7,11 +7,12 @@ byte. High planes are all but constant, so each plane is compressed on its own w
 The chunk index stands in columns of its own beside the planes and can be read without them.
 
 Columns: part, block, first (the part's ids before the block), n (ids in it), planes (compressed),
-docs (one entry per piece of a document in the block: row in the part, doc_id, offset in the block, length).
+docs (one entry per piece of a document in the block: row in the part, doc_id, offset
+in the block, length, and whether the piece is the whole document).
 
 Defined results: a null text is empty, an empty text has the end id only, a text of any length may
 run over many blocks. Rows with a null ``doc_id`` come first. Rows with equal ``doc_id`` are documents
-of their own, in the order of their texts. An empty table gives an empty file. Other columns are ignored.
+of their own, in the order of a hash of their texts. An empty table gives an empty file. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.encoding import Encoder, text_groups
+from orderloom.llm.encoding import encoder, text_groups
 from orderloom.llm.workspace import Workspace
 
 END_ID = 2
@@ -34,7 +35,7 @@ BLOCK_IDS = 1 << 16
 
 SEGMENT = T.StructType([
     T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
-    T.StructField("offset", T.IntegerType()), T.StructField("length", T.IntegerType())])
+    T.StructField("offset", T.IntegerType()), T.StructField("length", T.IntegerType()), T.StructField("whole", T.BooleanType())])
 BLOCK = T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("first", T.LongType()),
     T.StructField("n", T.IntegerType()), T.StructField("kind", T.StringType()),
@@ -79,7 +80,8 @@ class _Blocks:
         at = 0
         while at < len(ids):
             take = min(len(ids) - at, self.block_ids - self.size)
-            self.docs.append({"row": self.row, "doc_id": doc_id, "offset": self.size, "length": take})
+            self.docs.append({"row": self.row, "doc_id": doc_id, "offset": self.size, "length": take,
+                              "whole": take == len(ids)})
             self.buffer.append(ids[at:at + take])
             at += take
             self.size += take
@@ -106,43 +108,55 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, block_ids: int = BL
     def blocks(batches):
         from pyspark import TaskContext
 
-        encoder, filling = Encoder(tokenizer), _Blocks(TaskContext.get().partitionId(), block_ids, kind)
+        ids_of, filling = encoder(tokenizer), _Blocks(TaskContext.get().partitionId(), block_ids, kind)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for start, stop in text_groups(texts):
                 made = []
-                for doc_id, ids in zip(doc_ids[start:stop], encoder.encode(texts[start:stop])):
+                for doc_id, ids in zip(doc_ids[start:stop], ids_of.encode(texts[start:stop])):
                     made += filling.add(doc_id, np.frombuffer(ids + end, "<u4"))
                 if made:
                     yield pa.RecordBatch.from_pylist(made, schema)
         if filling.size:
             yield pa.RecordBatch.from_pylist([filling.flush()], schema)
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text")
-    ordered = ordered.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # by a hash of the text, not the text: the range borders come from a sample of keys on the driver
+    order = ["doc_id", F.xxhash64("text")]
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.mapInArrow(blocks, BLOCK).write.option("compression", "none").parquet(path)
 
 
-def read_segments(spark, path: str) -> DataFrame:
-    """Every piece of every document with its ids, from the planes: part, row, doc_id, first (the part's ids before it), ids."""
-    out = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("row", T.LongType()),
-                        T.StructField("doc_id", T.LongType()), T.StructField("first", T.LongType()),
-                        T.StructField("ids", T.BinaryType())])
+def read_blocks(spark, path: str, each, schema: T.StructType) -> DataFrame:
+    """``each(block, ids)`` gives the rows that a block and its ids, read back from the planes, are worth."""
+    def blocks(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block = batch.slice(i, 1).to_pylist()[0]
+                rows = each(block, from_planes(block["planes"], block["n"], block["kind"]))
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), to_arrow_schema(schema).types)],
+                                                 names=schema.names)
+
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema = to_arrow_schema(out)
+    return spark.read.schema(BLOCK).parquet(path).mapInArrow(blocks, schema)
 
-    def segments(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                b = batch.slice(i, 1).to_pylist()[0]
-                ids = from_planes(b["planes"], b["n"], b["kind"])
-                yield pa.RecordBatch.from_pylist(
-                    [{"part": b["part"], "row": d["row"], "doc_id": d["doc_id"], "first": b["first"] + d["offset"],
-                      "ids": ids[d["offset"]:d["offset"] + d["length"]].tobytes()} for d in b["docs"]], schema)
 
-    return spark.read.schema(BLOCK).parquet(path).mapInArrow(segments, out)
+SEGMENTS = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
+                         T.StructField("first", T.LongType()), T.StructField("whole", T.BooleanType()), T.StructField("ids", T.BinaryType())])
+DIGESTS = T.StructType([*SEGMENTS.fields[:5], T.StructField("n", T.LongType()), T.StructField("crc", T.LongType())])
+
+
+def read_segments(spark, path: str) -> DataFrame:
+    """Every piece of every document: part, row, doc_id, first (the part's ids before it), whole, ids."""
+    return read_blocks(spark, path, lambda b, ids: [
+        (b["part"], d["row"], d["doc_id"], b["first"] + d["offset"], d["whole"], ids[d["offset"]:d["offset"] + d["length"]].tobytes())
+        for d in b["docs"]], SEGMENTS)
+
+
+def _digests(b: dict, ids: np.ndarray) -> list[tuple]:
+    return [(b["part"], d["row"], d["doc_id"], b["first"] + d["offset"], d["whole"], d["length"],
+             zlib.crc32(ids[d["offset"]:d["offset"] + d["length"]])) for d in b["docs"]]
 
 
 def _times(matrix: list[int], vector: int) -> int:
@@ -176,15 +190,6 @@ def token_digest(spark, path: str) -> DataFrame:
     Parts are ordered ranges, so a document's start is its place in its part plus the sizes of the parts before:
     one row per part, which is all that is broadcast.
     """
-    each = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("row", T.LongType()),
-                         T.StructField("doc_id", T.LongType()), T.StructField("first", T.LongType()),
-                         T.StructField("n", T.LongType()), T.StructField("crc", T.LongType())])
-
-    def digest(frames):
-        for f in frames:
-            yield pd.DataFrame({"part": f["part"], "row": f["row"], "doc_id": f["doc_id"].astype("Int64"), "first": f["first"],
-                                "n": f["ids"].map(len) // 4, "crc": f["ids"].map(zlib.crc32)})
-
     @F.pandas_udf("long")
     def joined(pieces: pd.Series) -> pd.Series:
         def one(rows):
@@ -194,16 +199,17 @@ def token_digest(spark, path: str) -> DataFrame:
             return crc
         return pieces.map(one)
 
-    pieces = read_segments(spark, path).mapInPandas(digest, each)
-    whole = pieces.groupBy("part", "row").agg(
+    pieces = read_blocks(spark, path, _digests, DIGESTS)
+    whole = pieces.where("whole").select("part", "doc_id", "first", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
+    split = pieces.where("NOT whole").groupBy("part", "row").agg(  # at most one document goes on over a block's end
         F.max("doc_id").alias("doc_id"), F.min("first").alias("first"), F.sum("n").alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct("first", "n", "crc"))).alias("_pieces"))
-    crc = F.when(F.size("_pieces") == 1, F.col("_pieces")[0]["crc"]).otherwise(joined("_pieces"))
+    every = whole.unionByName(split.select("part", "doc_id", "first", "n_tokens", joined("_pieces").alias("ids_crc32")))
     sizes = spark.read.schema(BLOCK).parquet(path).groupBy(F.col("part").alias("_part")).agg(F.sum("n").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return (whole.join(F.broadcast(offsets), F.col("part") == F.col("_part"))
-            .select("doc_id", (F.col("first") + F.col("_before")).alias("start"), "n_tokens", crc.alias("ids_crc32")))
+    return (every.join(F.broadcast(offsets), F.col("part") == F.col("_part"))
+            .select("doc_id", (F.col("first") + F.col("_before")).alias("start"), "n_tokens", "ids_crc32"))
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, block_ids: int = BLOCK_IDS, kind: str = "byte") -> tuple[str, DataFrame]:
