@@ -39,12 +39,19 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        self._model = self._tokenizer.model
         self._table_size = table_size
         self._table: dict[str, bytes] = {}  # ids of a piece after a space
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of letters after a space: one pre-token, so the model takes it as it is, in the byte-level alphabet."""
+        tokens = self._model.tokenize
+        return [array("I", [t.id for t in tokens(
+            "\u0120" + w if w.isascii() else (" " + w).encode().decode("latin-1").translate(_PRINTED))]).tobytes() for w in words]
+
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text; a null text counts as empty."""
         out: list[bytes] = []
@@ -63,6 +70,10 @@ class Encoder:
         odd = {p for p in missing if not p or p[0].isspace()}
         if odd:
             missing = [p for p in missing if p not in odd]
+        # Letters up to U+058F are letters in every version of Unicode that the library may know.
+        words = [p for p in missing if p.isalpha() and (p.isascii() or max(p) < "\u0590")]
+        table.update(zip(words, self._encode_words(words)))
+        missing = [p for p in missing if p not in table]
         for a in range(0, len(missing), 10_000):
             part = missing[a:a + 10_000]
             table.update(zip(part, self._encode([" " + p for p in part])))
@@ -81,6 +92,11 @@ class Encoder:
         return out
 
 
+#: The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on.
+_PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_PRINTED = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """The worker's own encoder, which keeps its table from task to task."""
