@@ -31,7 +31,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from orderloom.llm.workspace import Workspace
 
 SAMPLE_TOXIC = 4096
 SAMPLE_CLEAN = 8192
@@ -39,6 +40,9 @@ SAMPLE_CLEAN = 8192
 LEAST_ODDS = 3.0
 LEAST_SHARE = 0.002
 LEAST_COUNT = 5
+COMMON_SHARE = 0.02
+#: Toxic documents that a feature must add for each clean one that it is in.
+CLEAN_COST = 10
 MOST_FEATURES = 512
 #: Stretches with features that the weights are fitted to.
 FIT_STRETCHES = 4096
@@ -232,7 +236,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPLE_TOXIC,
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[f] for f in names], pa.int64()) for c in seen)],
                                              names=["f", "clean", "toxic"])
 
-    sample = _sample(docs, labels, sample_toxic, sample_clean)
+    ws = Workspace(docs.sparkSession, "toxicity")
+    sample = ws.store(_sample(docs, labels, sample_toxic, sample_clean), "sample")
     totals = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sum(n for y, n in totals.items() if y > 0), totals.get(0, 0)
     if not n_toxic or not n_clean:
@@ -240,8 +245,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPLE_TOXIC,
     counts = sample.mapInArrow(counted, "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
     # bounded: features of a bounded sample, and of those the ones with most support
-    able = counts.where((F.col("toxic") >= LEAST_COUNT) & (odds >= LEAST_ODDS)).orderBy(F.desc("toxic"), "clean", F.length("f"), "f").limit(20_000)
-    names = {r["f"]: i for i, r in enumerate(able.collect())}
+    able = counts.where((F.col("toxic") >= LEAST_COUNT) & (odds >= LEAST_ODDS)).orderBy(F.desc("toxic"), "clean", F.desc(F.length("f")), "f").limit(20_000)
+    able = able.collect()
+    names = {r["f"]: i for i, r in enumerate(able)}
 
     def incidence(stream):
         for batch in stream:
@@ -254,7 +260,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPLE_TOXIC,
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], names=["fs"])
 
     covered = [set(r["fs"]) for r in sample.mapInArrow(incidence, "fs array<int>").collect()]
-    picked = pick(covered, len(names), max(LEAST_COUNT, LEAST_SHARE * n_toxic))
+    picked = pick(covered, [CLEAN_COST * r["clean"] for r in able], max(LEAST_COUNT, LEAST_SHARE * n_toxic), max(LEAST_COUNT, COMMON_SHARE * n_toxic))
     chosen = {f: picked.index(i) for f, i in names.items() if i in set(picked)}
     if not chosen:
         return Model()
@@ -285,14 +291,18 @@ def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPLE_TOXIC,
     return Model({f: float(theta[i]) for f, i in chosen.items()}, float(theta[-3]), float(theta[-2]), float(theta[-1]), True)
 
 
-def pick(covered: list[set[int]], n_features: int, least: float) -> list[int]:
-    """Features one by one, each the one that most documents have which none before it is in; ties to the smaller number."""
-    of: list[list[int]] = [[] for _ in range(n_features)]
+def pick(covered: list[set[int]], cost: list[int], least: float, common: float) -> list[int]:
+    """Features one by one, each the one with most documents that no feature before it is in, less its ``cost``; ties to the smaller number.
+
+    Then those that at least ``common`` documents have, if these were covered by three different features or more: words that
+    stand beside various others, and not the particular words of one much copied document.
+    """
+    of: list[list[int]] = [[] for _ in cost]
     for d, fs in enumerate(covered):
         for f in fs:
             of[f].append(d)
-    left = np.array([len(o) for o in of])
-    open_ = np.ones(len(covered), bool)
+    left = np.array([len(o) - c for o, c in zip(of, cost)])
+    by = np.full(len(covered), -1)
     out: list[int] = []
     while len(left) and len(out) < MOST_FEATURES:
         best = int(np.argmax(left))
@@ -300,9 +310,12 @@ def pick(covered: list[set[int]], n_features: int, least: float) -> list[int]:
             break
         out.append(best)
         for d in of[best]:
-            if open_[d]:
-                open_[d] = False
+            if by[d] < 0:
+                by[d] = best
                 left[list(covered[d])] -= 1
+    for f in range(len(cost)):
+        if len(out) < MOST_FEATURES and f not in out and len(of[f]) - cost[f] >= common and len(set(by[of[f]].tolist()) - {-1}) >= 3:
+            out.append(f)
     return out
 
 
