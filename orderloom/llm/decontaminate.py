@@ -136,28 +136,28 @@ def aligned_leaks(doc: np.ndarray, item: np.ndarray, shift: int) -> list[tuple[i
     return out
 
 
+FOUND = T.StructType([T.StructField("id", T.LongType()), T.StructField("tag", T.LongType()), T.StructField("item", T.LongType()), *LEAKS.fields[2:]])
+
+
 def _verified(stream):
     for batch in stream:
         rows = []
-        for id_, text, asked in zip(*(c.to_pylist() for c in batch.columns)):
+        for id_, tag, text, asked in zip(*(c.to_pylist() for c in batch.columns)):
             doc = word_values(normalized(text))
             for a in asked:
                 item = word_values(normalized(a["item_text"]))
-                for leak in aligned_leaks(doc, item, a["shift"]):
-                    rows.append((None if id_ == NO_ID else id_, None if a["item"] == NO_ID else a["item"], *leak))
-        columns = list(zip(*rows)) if rows else [()] * 6
+                rows += [(id_, tag, a["item"], *leak) for leak in aligned_leaks(doc, item, a["shift"])]
+        columns = list(zip(*rows)) if rows else [()] * len(FOUND)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), *(pa.int32(),) * 4))], names=LEAKS.names)
+            [pa.array(list(c), t) for c, t in zip(columns, (*(pa.int64(),) * 3, *(pa.int32(),) * 4))], names=FOUND.names)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per leaked stretch: doc_id, item_id, doc_word, item_word, n_words, n_equal."""
-    spark = docs.sparkSession
-    ws = Workspace(spark, "decontaminate")
+def find(ws: Workspace, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Leaked stretches by id (null: a stand-in) and tag of the document."""
     texts, items = _keyed(docs, "doc_id"), _keyed(benchmark, "item_id").dropDuplicates(["id", "tag"])
     masks = [*MASKS, *(tuple(range(n)) for n in range(SHORTEST, WIDTH))]
     index = ws.store(items.mapInArrow(_seeds(masks, True), SEEDS), "index")
-    bitmap = spark.sparkContext.broadcast(_bitmap(index))
+    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(index))
     found = texts.mapInArrow(_seeds(masks, False, bitmap), SEEDS)
     side = index.select("hash", F.col("id").alias("item"), F.col("tag").alias("item_tag"), F.col("place").alias("item_place"))
     places = ws.store(found.join(side, "hash").select(
@@ -165,4 +165,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     named = items.select(F.col("id").alias("item"), F.col("tag").alias("item_tag"), F.col("text").alias("item_text"))
     asked = (places.join(named, ["item", "item_tag"]).groupBy("id", "tag")
              .agg(F.collect_list(F.struct("item", "shift", "item_text")).alias("asked")))
-    return texts.join(asked, ["id", "tag"]).select("id", "text", "asked").mapInArrow(_verified, LEAKS).distinct()
+    return texts.join(asked, ["id", "tag"]).select("id", "tag", "text", "asked").mapInArrow(_verified, FOUND).distinct()
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per leaked stretch: doc_id, item_id, doc_word, item_word, n_words, n_equal."""
+    found = find(Workspace(docs.sparkSession, "decontaminate"), docs, benchmark)
+    return found.select(F.nullif(F.col("id"), F.lit(NO_ID)).alias("doc_id"), F.nullif(F.col("item"), F.lit(NO_ID)).alias("item_id"),
+                        *LEAKS.names[2:])
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, without a leaked stretch."""
+    ws = Workspace(docs.sparkSession, "decontaminate")
+    found = ws.store(find(ws, docs, benchmark).select(F.col("id").alias("_id"), F.col("tag").alias("_tag")).distinct(), "leaky")
+    match = ((F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("_id"))
+             & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_tag")))
+    return docs.join(found, match, "left_anti")

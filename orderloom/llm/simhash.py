@@ -34,7 +34,7 @@ SEED = 42
 CROWD = 64
 _BITS = 1 << 16
 
-FINGERPRINTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType())])
+FINGERPRINTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("tag", T.LongType()), T.StructField("fp", T.LongType())])
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -56,13 +56,17 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
+    """doc_id, tag (a hash of the text) and fp, the fingerprint as a signed long."""
     def prints(batches):
         for batch in batches:
-            fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(t, shingle) for t in batch.column(2).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], names=FINGERPRINTS.names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(prints, FINGERPRINTS)
+    return docs.select(F.col("doc_id").cast("long"), _tag(), F.col("text").cast("binary")).mapInArrow(prints, FINGERPRINTS)
+
+
+def _tag() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag")
 
 
 def _far(a: str, b: str) -> Column:
@@ -103,15 +107,38 @@ def links(ws: Workspace, fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     return differing.unionByName(equal).unionByName(through).distinct()
 
 
+def classes(ws: Workspace, docs: DataFrame, shingle: int = SHINGLE, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, tag, fp), and the component's ``root`` of every fp; both stored."""
+    rows = ws.store(fingerprints(docs, shingle), "fingerprints")
+    nodes = ws.store(rows.select("fp").distinct(), "nodes")
+    found = components(ws, links(ws, nodes, crowd))
+    rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return rows, ws.store(rooted, "classes")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
     """Per row: doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id that its links reach."""
     ws = Workspace(docs.sparkSession, "simhash")
-    rows = ws.store(fingerprints(docs, shingle), "fingerprints")
-    nodes = ws.store(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    found = components(ws, links(ws, nodes.select("fp"), crowd))
-    rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = ws.store(rooted.join(named, "root").select("fp", "component_id"), "classes")
-    return rows.join(classes, "fp").select(
+    rows, rooted = classes(ws, docs, shingle, crowd)
+    first = rows.groupBy("fp").agg(F.min("doc_id").alias("first")).join(rooted, "fp")
+    first = ws.store(first, "first")
+    named = first.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = ws.store(first.join(named, "root").select("fp", "component_id"), "components")
+    return rows.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
+    """The rows of ``docs``, all columns: of each component the one with the smallest doc_id (rows without come last; of rows with one
+    doc_id the one with the smallest hash of its text; of equal rows one)."""
+    ws = Workspace(docs.sparkSession, "simhash")
+    rows, rooted = classes(ws, docs, shingle, crowd)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tag"))
+    by_fp = rows.groupBy("fp").agg(best.alias("best"))
+    kept = by_fp.join(rooted, "fp").groupBy("root").agg(F.min("best").alias("best"))
+    keys = ws.store(kept.select(F.col("best.doc_id").alias("_id"), F.col("best.tag").alias("_tag")), "kept")
+    match = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_tag"))
+    staying = docs.join(keys, match, "left_semi")
+    again = rows.groupBy("doc_id", "tag").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = again.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")), "left_semi")
+    return staying if again.isEmpty() else staying.dropDuplicates(["doc_id", "text"])

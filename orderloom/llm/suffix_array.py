@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -346,3 +347,27 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, crowd: int = C
             yield _batch(KEPT, rows)
 
     return tagged(docs).join(spans, ["doc_id", "tag"], "left").select("doc_id", "text", "spans").mapInArrow(kept, KEPT)
+
+
+def without_repeats(docs: DataFrame, width: int = WIDTH, k: int = K, crowd: int = CROWD) -> DataFrame:
+    """The rows of ``docs``, all columns, with the text that is left; ``n_chars``, where there is one, follows it.
+
+    Characters of which only some bytes go, at the edges of a removed stretch, go whole. A null text stays null.
+    """
+    ws = Workspace(docs.sparkSession, "suffixes")
+    spans = ws.store(repeated_bytes(ws, docs, width, k, crowd), "removals").select(
+        F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), F.col("spans").alias("_spans"))
+
+    @F.pandas_udf("string")
+    def rest(texts: pd.Series, spans_: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else kept_bytes(t.encode(), removed_ranges(list(s), width)).decode("utf-8", "ignore")
+                          for t, s in zip(texts, spans_)], dtype=object)
+
+    match = ((F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("_id"))
+             & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_tag")))
+    changed = F.col("_spans").isNotNull()
+    joined = docs.join(spans, match, "left").withColumn("_rest", rest(F.when(changed, F.col("text")), F.when(changed, F.col("_spans"))))
+    new = {"text": F.when(changed, F.col("_rest")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(changed, F.length("_rest")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
