@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -159,7 +160,7 @@ def _digests(b: dict, ids: np.ndarray) -> list[tuple]:
              zlib.crc32(ids[d["offset"]:d["offset"] + d["length"]])) for d in b["docs"]]
 
 
-def _times(matrix: list[int], vector: int) -> int:
+def _times(matrix: tuple[int, ...], vector: int) -> int:
     total, i = 0, 0
     while vector:
         if vector & 1:
@@ -169,22 +170,27 @@ def _times(matrix: list[int], vector: int) -> int:
     return total
 
 
-def crc32_join(first: int, second: int, second_bytes: int) -> int:
-    """crc32 of two byte strings put together, from the crc32 of each and the second's length.
+@lru_cache(maxsize=64)
+def _zeros(power: int) -> tuple[int, ...]:
+    """What 2**power zero bits do to the 32-bit state, as a matrix over bits; by squaring."""
+    if not power:
+        return (0xEDB88320, *(1 << i for i in range(31)))
+    half = _zeros(power - 1)
+    return tuple(_times(half, row) for row in half)
 
-    Appending a zero bit is a linear map on the 32-bit state; its powers come by squaring.
-    """
-    step = [0xEDB88320] + [1 << i for i in range(31)]
-    bits = second_bytes * 8
+
+def crc32_join(first: int, second: int, second_bytes: int) -> int:
+    """crc32 of two byte strings put together, from the crc32 of each and the second's length."""
+    bits, power = second_bytes * 8, 0
     while bits:
         if bits & 1:
-            first = _times(step, first)
-        step = [_times(step, row) for row in step]
+            first = _times(_zeros(power), first)
         bits >>= 1
+        power += 1
     return first ^ second
 
 
-def token_digest(spark, path: str) -> DataFrame:
+def token_digest(ws: Workspace, path: str) -> DataFrame:
     """Per document, from the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
     Parts are ordered ranges, so a document's start is its place in its part plus the sizes of the parts before:
@@ -199,7 +205,8 @@ def token_digest(spark, path: str) -> DataFrame:
             return crc
         return pieces.map(one)
 
-    pieces = read_blocks(spark, path, _digests, DIGESTS)
+    spark = ws.spark
+    pieces = ws.store(read_blocks(spark, path, _digests, DIGESTS), "digests")  # the files are read once
     whole = pieces.where("whole").select("part", "doc_id", "first", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
     split = pieces.where("NOT whole").groupBy("part", "row").agg(  # at most one document goes on over a block's end
         F.max("doc_id").alias("doc_id"), F.min("first").alias("first"), F.sum("n").alias("n_tokens"),
@@ -217,4 +224,4 @@ def encode_documents(docs: DataFrame, tokenizer: str, block_ids: int = BLOCK_IDS
     ws = Workspace(docs.sparkSession, "tokens")
     path = ws.path("planes")
     write_tokens(docs, path, tokenizer, block_ids, kind)
-    return path, token_digest(docs.sparkSession, path)
+    return path, token_digest(ws, path)
