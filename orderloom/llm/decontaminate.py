@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.llm.sequences import mix, word_values
-from orderloom.llm.workspace import Workspace
+from orderloom.llm.workspace import Workspace, unused
 
 WIDTH = 10
 MISMATCHES = 2
@@ -178,7 +178,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, without a leaked stretch."""
     ws = Workspace(docs.sparkSession, "decontaminate")
-    found = ws.store(find(ws, docs, benchmark).select(F.col("id").alias("_id"), F.col("tag").alias("_tag")).distinct(), "leaky")
-    match = ((F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("_id"))
-             & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_tag")))
+    id_, tag = unused(docs, "_id"), unused(docs, "_tag")
+    found = ws.store(find(ws, docs, benchmark).select(F.col("id").alias(id_), F.col("tag").alias(tag)).distinct(), "leaky")
+    match = ((F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col(id_))
+             & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(tag)))
     return docs.join(found, match, "left_anti")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.llm.components import components
-from orderloom.llm.workspace import Workspace
+from orderloom.llm.workspace import Workspace, unused
 
 SHINGLE = 3
 DISTANCE = 2
@@ -136,9 +136,10 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, crowd: int = CROWD) ->
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tag"))
     by_fp = rows.groupBy("fp").agg(best.alias("best"))
     kept = by_fp.join(rooted, "fp").groupBy("root").agg(F.min("best").alias("best"))
-    keys = ws.store(kept.select(F.col("best.doc_id").alias("_id"), F.col("best.tag").alias("_tag")), "kept")
-    match = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_tag"))
+    id_, tag = unused(docs, "_id"), unused(docs, "_tag")
+    keys = ws.store(kept.select(F.col("best.doc_id").alias(id_), F.col("best.tag").alias(tag)), "kept")
+    match = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(tag))
     staying = docs.join(keys, match, "left_semi")
     again = rows.groupBy("doc_id", "tag").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = again.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")), "left_semi")
+    again = again.join(keys, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col("tag") == F.col(tag)), "left_semi")
     return staying if again.isEmpty() else staying.dropDuplicates(["doc_id", "text"])

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from orderloom.llm.debruijn import RUNS, run_batches
 from orderloom.llm.sequences import Hashes, byte_values, mix
-from orderloom.llm.workspace import Workspace
+from orderloom.llm.workspace import Workspace, unused
 
 WIDTH = 400
 K = 64
@@ -355,19 +355,20 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, k: int = K, crowd: int
     Characters of which only some bytes go, at the edges of a removed stretch, go whole. A null text stays null.
     """
     ws = Workspace(docs.sparkSession, "suffixes")
-    spans = ws.store(repeated_bytes(ws, docs, width, k, crowd), "removals").select(
-        F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), F.col("spans").alias("_spans"))
+    spans = ws.store(repeated_bytes(ws, docs, width, k, crowd), "removals")
+    id_, tag, found, left = (unused(docs, n) for n in ("_id", "_tag", "_spans", "_rest"))
+    spans = spans.select(F.col("doc_id").alias(id_), F.col("tag").alias(tag), F.col("spans").alias(found))
 
     @F.pandas_udf("string")
     def rest(texts: pd.Series, spans_: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else kept_bytes(t.encode(), removed_ranges(list(s), width)).decode("utf-8", "ignore")
                           for t, s in zip(texts, spans_)], dtype=object)
 
-    match = ((F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("_id"))
-             & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_tag")))
-    changed = F.col("_spans").isNotNull()
-    joined = docs.join(spans, match, "left").withColumn("_rest", rest(F.when(changed, F.col("text")), F.when(changed, F.col("_spans"))))
-    new = {"text": F.when(changed, F.col("_rest")).otherwise(F.col("text"))}
+    match = ((F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col(id_))
+             & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(tag)))
+    changed = F.col(found).isNotNull()
+    joined = docs.join(spans, match, "left").withColumn(left, rest(F.when(changed, F.col("text")), F.when(changed, F.col(found))))
+    new = {"text": F.when(changed, F.col(left)).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(changed, F.length("_rest")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(changed, F.length(left)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])

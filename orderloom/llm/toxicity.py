@@ -39,7 +39,7 @@ SAMPLE_CLEAN = 8192
 #: Features: log odds of a toxic against a clean document, at least; uncovered toxic documents a pick adds, at least this share.
 LEAST_ODDS = 3.0
 LEAST_SHARE = 0.002
-LEAST_COUNT = 5
+LEAST_COUNT = 3
 COMMON_SHARE = 0.02
 #: Toxic documents that a feature must add for each clean one that it is in.
 CLEAN_COST = 10

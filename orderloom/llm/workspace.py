@@ -41,6 +41,14 @@ class Workspace:
         where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def positions(ws: Workspace, df: DataFrame, order: Sequence[str | Column], name: str, label: str) -> DataFrame:
     """``df`` stored in ``order`` with ``name``: the row's number from 0 over the whole table.
 
