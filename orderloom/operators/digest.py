@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.operators.scan import greedy_spacing, next_mark, row_numbers, running_sum
+from orderloom.session import materialize
 
 DIGEST_DELAY_SECONDS = 20 * 60
 _MICROS = 1_000_000
@@ -19,13 +20,14 @@ def daily_digest(events: DataFrame, delay_seconds: int = DIGEST_DELAY_SECONDS) -
     """
     seen = (events.select("key", "ts", F.to_date("ts").alias("digest_date"), F.explode("codes").alias("code"))
             .groupBy("key", "digest_date", "code").agg(F.min("ts").alias("first_seen")))
+    seen = materialize(seen, "first-seen")  # read three times below
     opened = seen.groupBy("key", "digest_date").agg(F.min("first_seen").alias("_opened"))
     send_at = F.timestamp_micros(F.unix_micros("_opened") + F.lit(delay_seconds * _MICROS))
     sent = (seen.join(opened, ["key", "digest_date"]).withColumn("send_at", send_at)
             .where("first_seen < send_at").select("key", "digest_date", "send_at", "code"))
     sizes = sent.groupBy("key", "digest_date").agg(F.count(F.lit(1)).alias("n_codes"))
     return (sent.join(sizes, ["key", "digest_date"])
-            .select("key", "digest_date", "send_at", "n_codes", "code").orderBy("key", "digest_date", "code"))
+            .select("key", "digest_date", "send_at", "n_codes", "code"))
 
 
 def digest_event_status(events: DataFrame, delay_seconds: int = DIGEST_DELAY_SECONDS,

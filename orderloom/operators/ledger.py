@@ -147,6 +147,21 @@ def code_registry(events: DataFrame, mode: str = "first", clears: DataFrame | No
 
 # --- whole log --------------------------------------------------------------------------------
 
+def _last_deliveries(deliveries: DataFrame) -> DataFrame:
+    return (deliveries.groupBy("order_id")
+            .agg(F.max(F.struct(F.col("attempt_at").alias("at"), F.col("attempt_no").alias("no"))).alias("_ok")))
+
+
+def after_last_delivery(attempts: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """The attempts (task_id, attempt_at, attempt_no, ...) that no later delivery of their order makes void.
+
+    To be used before attempts unfold into lines: a replay forgets all others.
+    """
+    done = _last_deliveries(deliveries).withColumnRenamed("order_id", "task_id")
+    seq = F.struct(F.col("attempt_at").alias("at"), F.col("attempt_no").alias("no"))
+    return attempts.join(done, "task_id", "left").where(F.col("_ok").isNull() | (seq > F.col("_ok"))).drop("_ok")
+
+
 def ledger_replay(lines: DataFrame, deliveries: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """The ledger after a log of failures and deliveries, as if applied one by one in time order.
 
@@ -160,8 +175,7 @@ def ledger_replay(lines: DataFrame, deliveries: DataFrame, orders: DataFrame | N
     attempt that names it. No order's log is ever gathered in one place.
     """
     seq = F.struct(F.col("updated_at").alias("at"), F.col("attempt_no").alias("no"))
-    last_ok = (deliveries.groupBy("order_id")
-               .agg(F.max(F.struct(F.col("attempt_at").alias("at"), F.col("attempt_no").alias("no"))).alias("_ok")))
+    last_ok = _last_deliveries(deliveries)
     live = (lines.withColumn("seq", seq).join(last_ok, "order_id", "left")
             .where("_ok IS NULL OR seq > _ok").drop("_ok"))
     live = materialize(live, "replay-lines")

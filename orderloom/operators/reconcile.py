@@ -151,5 +151,8 @@ def sample_keys(a: DataFrame, b: DataFrame, key: str, n: int = 5) -> DataFrame:
     return pick("right_count = 0", "left").unionByName(pick("left_count = 0", "right"))
 
 
-def preview(df: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:
-    return df.orderBy(*order).limit(n)
+def preview(a: DataFrame, b: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:
+    """First ``n`` rows of both tables, with their ``side``; NULLs come last. A column that only one has is NULL in the other."""
+    side = lambda df, name: (df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
+                             .select(F.lit(name).alias("side"), *df.columns))
+    return side(a, "left").unionByName(side(b, "right"), allowMissingColumns=True)

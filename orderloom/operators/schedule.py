@@ -67,9 +67,9 @@ def idempotent_requests(requests: DataFrame, retention_seconds: int = RETENTION_
     """
     stamped = requests.where(F.col(id_col).isNotNull()).withColumn("_at", F.unix_micros(at))
     accepted = greedy_spacing(stamped, [id_col], "_at", retention_seconds * _MICROS)
-    firsts = (stamped.groupBy(id_col, "_at")
-              .agg(F.min_by(F.struct(*requests.columns), F.col(tie)).alias("_row")))
-    return firsts.join(accepted, [id_col, "_at"], "left_semi").select("_row.*")
+    kept = stamped.join(accepted, [id_col, "_at"], "left_semi")  # before whole rows are aggregated
+    return (kept.groupBy(id_col, "_at").agg(F.min_by(F.struct(*requests.columns), F.col(tie)).alias("_row"))
+            .select("_row.*"))
 
 
 # --- task state from the attempts log ---------------------------------------------------------

@@ -414,7 +414,8 @@ def sample_keys(spark, d):
 
 @query
 def preview(spark, d):
-    return C.preview(I.table(spark, d, "customer"), ["c_custkey"], 3)
+    shown = C.preview(I.left(spark, d), I.right(spark, d), ["ID", "c_name"], 3)
+    return shown.withColumn("c_nationkey", F.col("c_nationkey").cast("long"))
 
 
 @query
@@ -467,7 +468,7 @@ def ledger_replay(spark, d):
     log = I.order_attempts(spark, d)
     failed = R.classify_http("status_code")
     done = log.where(~failed).select(F.col("task_id").alias("order_id"), "attempt_at", "attempt_no")
-    lines = _flatten_attempts(I.accepted(spark, d))(log.where(failed))
+    lines = _flatten_attempts(I.accepted(spark, d))(L.after_last_delivery(log.where(failed), done))
     return L.ledger_replay(lines, done, I.unique_ledger(spark, d))
 
 
@@ -493,8 +494,7 @@ def _attempt_stream(spark, d):
 
 @query
 def stream_retry_state(spark, d):
-    moves = run_available(J.stream_retry_state(_attempt_stream(spark, d)), "retry-state")
-    return moves.where("state <> 'retry_due'")
+    return run_available(J.stream_retry_state(_attempt_stream(spark, d)), "retry-state")
 
 
 @query

@@ -8,18 +8,17 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.operators import replies as R
 from orderloom.operators.orders import accepted_requests, flatten_order_lines
 from orderloom.operators.ledger import replace_duplicates
+from orderloom.operators.scan import row_numbers
 from orderloom.schema import LEDGER, LEDGER_COLUMNS
 from orderloom.session import materialize
 from orderloom.sources.payloads import parse_payloads
 
-# An order with more lines than this is sent as several requests under one order number.
-LINES_PER_REQUEST = 500
 LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
               "l_returnflag", "l_linestatus", "l_shipdate")
 
@@ -60,31 +59,28 @@ def order_number() -> Column:
         F.concat(F.lit("DH-"), key))
 
 
+@stored
 def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem with ``part`` (which request of the order) and ``line_no`` inside it.
+    """lineitem with ``line_no`` inside the order, whatever the order's size.
 
-    Orders over the request size are split by content hash, so no window sees a huge group.
+    Numbering runs over ordered chunks, so no task takes all lines of a large order.
     """
-    lines = table(spark, sf_dir, "lineitem")
-    large = (lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > LINES_PER_REQUEST)
-             .select("l_orderkey", F.ceil(F.col("_n") / LINES_PER_REQUEST).alias("_parts")))
-    part = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*LINE_ORDER), F.col("_parts"))).otherwise(
-        F.lit(0).cast("long"))
-    per_request = Window.partitionBy("l_orderkey", "part").orderBy(*LINE_ORDER)
-    return (lines.join(large, "l_orderkey", "left").withColumn("part", part).drop("_parts")
-            .withColumn("line_no", F.row_number().over(per_request)))
+    return row_numbers(table(spark, sf_dir, "lineitem"), ["l_orderkey"], LINE_ORDER, "line_no")
 
 
 @stored
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON order request per order; some are cut short and some lack their order number."""
+    """One JSON order request per order; some are cut short and some lack their order number.
+
+    A request is one document, so its lines meet in one row by nature.
+    """
     imei = F.when(F.col("l_partkey") % 7 == 0, "").when(F.col("l_partkey") % 11 == 0, None).otherwise(
         F.concat(F.lit("IM"), F.col("line_no").cast("string")))
     item = F.struct(
         padded(F.col("l_partkey"), 6, "P").alias("maHang"),
         F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("tenHang"),
         imei.alias("imei"), F.col("l_quantity").alias("soLuong"), F.col("l_extendedprice").alias("doanhThu"))
-    detail = (numbered_lines(spark, sf_dir).groupBy("l_orderkey", "part")
+    detail = (numbered_lines(spark, sf_dir).groupBy("l_orderkey")
               .agg(F.sort_array(F.collect_list(F.struct("line_no", item.alias("item")))).alias("_d"))
               .select("l_orderkey", F.transform("_d", lambda d: d["item"]).alias("detail")))
     no_lines = F.array().cast(detail.schema["detail"].dataType)

@@ -348,7 +348,10 @@ add("frequency_top", _SIDES, final="""SELECT key, left_count, right_count, left_
   FROM fj WHERE left_count <> right_count ORDER BY abs(left_count - right_count) DESC, key LIMIT 20""")
 add("sample_keys", _SIDES, final="""SELECT * FROM (SELECT 'left' AS side, key FROM fj WHERE right_count = 0 ORDER BY key LIMIT 5)
   UNION ALL SELECT * FROM (SELECT 'right', key FROM fj WHERE left_count = 0 ORDER BY key LIMIT 5)""")
-add("preview", final="SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal, c_mktsegment FROM customer ORDER BY c_custkey LIMIT 3")
+add("preview", _SIDES, final="""
+  (SELECT 'left' AS side, ID, c_name, c_acctbal, c_mktsegment, c_nationkey::BIGINT AS c_nationkey, NULL::VARCHAR AS note
+   FROM lt ORDER BY ID NULLS LAST, c_name LIMIT 3)
+  UNION ALL (SELECT 'right', ID, c_name, c_acctbal, c_mktsegment, NULL, note FROM rt ORDER BY ID NULLS LAST, c_name LIMIT 3)""")
 add("key_set_ops", _SIDES, final="""SELECT 'union' AS op, key FROM fj
   UNION ALL SELECT 'left_minus_right', key FROM fj WHERE right_count = 0
   UNION ALL SELECT 'right_minus_left', key FROM fj WHERE left_count = 0
@@ -416,7 +419,10 @@ for _name in ("ledger_replay", "stream_ledger"):
 add("stream_idempotent", _KEPT, recursive=True, final=_IDEM)
 add("stream_retry_state", _DEC, final=f"""SELECT task_id, attempt_no, CASE WHEN success THEN 'cleared' ELSE 'needs_retry' END AS state,
   attempt_at::VARCHAR AS at, retry_count,
-  CASE WHEN NOT success THEN (attempt_at + to_seconds({_EXP}))::VARCHAR END AS next_retry_at FROM cnt""")
+  CASE WHEN NOT success THEN (attempt_at + to_seconds({_EXP}))::VARCHAR END AS next_retry_at FROM cnt
+  UNION ALL SELECT task_id, NULL, 'retry_due', due::VARCHAR, retry_count, NULL
+  FROM (SELECT *, attempt_at + to_seconds({_EXP}) AS due, lead(attempt_at) OVER (PARTITION BY task_id ORDER BY attempt_at, attempt_no) AS answered FROM cnt)
+  WHERE NOT success AND CASE WHEN answered IS NULL THEN due < (SELECT max(attempt_at) FROM cnt) ELSE due < answered END""")
 _CE = """ce AS (SELECT 'K' || user_id % 5 AS key, ts, event_id, CASE WHEN event_id % 10 = 0 THEN [] WHEN event_id % 3 = 0
   THEN ['P' || lpad((event_id % 200)::VARCHAR, 6, '0'), 'P' || lpad((event_id * 3 % 200)::VARCHAR, 6, '0')]
   ELSE ['P' || lpad((event_id % 200)::VARCHAR, 6, '0')] END AS codes, ts::DATE AS d FROM events),
@@ -439,6 +445,24 @@ add("debounced_digest", _CE, """op AS (SELECT key, min(ts) AS ts FROM ce GROUP B
     "fsn AS (SELECT key, end_ts, code, min((ts, event_id)) AS f, min(ts) AS first_ts FROM sent GROUP BY 1, 2, 3)", recursive=True, final="""
   SELECT key, end_ts::VARCHAR AS send_at, row_number() OVER (PARTITION BY key, end_ts ORDER BY f, code) AS position, code,
     first_ts::VARCHAR AS first_seen FROM fsn""")
+# As streamed, a window may run past midnight: the new day's first code then drops what the old day held, the old timer sends
+# what the new day has so far, and the new day's own timer sends what came after. A window that the input doesn't outlast stays open.
+add("stream_daily_digest", _CE, """day AS (SELECT key, d, t0, t0 + INTERVAL 20 MINUTE AS own, lead(t0) OVER w AS next_t0,
+    lag(t0 + INTERVAL 20 MINUTE) OVER w AS old FROM opened WINDOW w AS (PARTITION BY key ORDER BY d))""",
+    """timer AS (SELECT key, d, t0 AS since, own AS send_at FROM day WHERE coalesce(old <= t0, true) AND coalesce(next_t0 >= own, true)
+    UNION ALL SELECT key, d, t0, old FROM day WHERE old > t0 UNION ALL SELECT key, d, old, own FROM day WHERE old > t0)""",
+    """held AS (SELECT DISTINCT key, d, send_at, unnest(codes) AS code FROM ce JOIN timer USING (key, d)
+    WHERE ts >= since AND ts < send_at AND send_at < (SELECT max(ts) FROM ce WHERE len(codes) > 0))""",
+    final="""SELECT key, strftime(d, '%Y-%m-%d') AS digest_date, send_at::VARCHAR AS send_at,
+  count(*) OVER (PARTITION BY key, d, send_at) AS n_codes, code FROM held""")
+add("stream_debounced_digest", """sd AS (SELECT 'K' || user_id % 5 AS key, ts, event_id,
+    CASE WHEN event_id % 2 = 0 THEN 'P' || lpad((event_id % 200)::VARCHAR, 6, '0') END AS code FROM events)""",
+    """op AS (SELECT key, min(ts) AS ts FROM sd WHERE code IS NULL GROUP BY 1
+  UNION ALL SELECT k.key, min(e.ts) FROM op k JOIN sd e ON e.key = k.key AND e.code IS NULL AND e.ts >= k.ts + INTERVAL 10 MINUTE GROUP BY 1)""",
+    "ends AS (SELECT key, ts + INTERVAL 10 MINUTE AS end_ts FROM op WHERE ts + INTERVAL 10 MINUTE < (SELECT max(ts) FROM events))",
+    "sent AS (SELECT sd.*, ends.end_ts FROM sd ASOF JOIN ends ON sd.key = ends.key AND sd.ts < ends.end_ts WHERE code IS NOT NULL)",
+    "fsn AS (SELECT key, end_ts, code, min((ts, event_id)) AS f FROM sent GROUP BY 1, 2, 3)", recursive=True, final="""
+  SELECT key, end_ts::VARCHAR AS send_at, row_number() OVER (PARTITION BY key, end_ts ORDER BY f) AS position, code FROM fsn""")
 add("stream_daily_stats", _DEC, final=_STATS)
 add("stream_cleanup", _ORD, _LINES, _LEDGER, final=f"""SELECT {_shown()} FROM led
   WHERE NOT {_EXPIRED.format("(SELECT max(o_orderdate) FROM orders)")}""")

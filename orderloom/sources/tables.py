@@ -16,10 +16,14 @@ def _format_of(path: str, fmt: str | None) -> str:
     return fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
 
 
+# Cells may hold line breaks and quotes, written double. Each file is then read by one task; writers make many files.
+_CELLS = {"multiLine": True, "escape": '"'}
+
+
 def read_string_table(spark: SparkSession, path: str, fill_blank: bool = False, fmt: str | None = None) -> DataFrame:
     """Every column as text; ``fill_blank`` turns NULL into "" (the mapping table's reading)."""
     if _format_of(path, fmt) == "csv":
-        df = spark.read.csv(path, header=True, inferSchema=False, multiLine=False)
+        df = spark.read.csv(path, header=True, inferSchema=False, **_CELLS)
     else:
         raw = spark.read.parquet(path)
         df = raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns])
@@ -29,12 +33,12 @@ def read_string_table(spark: SparkSession, path: str, fill_blank: bool = False,
 def read_inferred_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Header and inferred types; parquet brings its own types."""
     if _format_of(path, fmt) == "csv":
-        return spark.read.csv(path, header=True, inferSchema=True)
+        return spark.read.csv(path, header=True, inferSchema=True, **_CELLS)
     return spark.read.parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("error").option("header", True).csv(path)
+    df.write.mode("error").csv(path, header=True, escape=_CELLS["escape"])
     return path
 
 

@@ -22,7 +22,7 @@ from orderloom.operators import replies as R
 from orderloom.operators.digest import DIGEST_DELAY_SECONDS
 from orderloom.operators.schedule import RETENTION_SECONDS
 from orderloom.session import materialize
-from orderloom.streaming.sinks import run_batches, version_path
+from orderloom.streaming.sinks import BATCH, run_batches, version_path, versions
 
 _MICROS = 1_000_000
 
@@ -143,7 +143,7 @@ def _thin(minute_micros: int = 60 * _MICROS):
         for rows in batches:
             if rows.empty:
                 continue
-            slots = rows.groupby(["key", "code", rows["us"] // minute_micros], sort=False)["us"]
+            slots = rows.groupby(["key", "code", rows["us"] // minute_micros], sort=False, dropna=False)["us"]
             ends = pd.concat([slots.idxmin(), slots.idxmax()]).unique()
             yield rows.loc[ends]
     return combine
@@ -279,12 +279,12 @@ def run_daily_stats(attempts: DataFrame) -> DataFrame:
     stats = stream_daily_stats(attempts)
     root, last = run_batches(stats, "daily-stats", step, mode="update")
     spark = attempts.sparkSession
-    written = [spark.read.parquet(version_path(root, i)).withColumn("_batch", F.lit(i)) for i in range(last + 1)]
-    every = written[0]
-    for more in written[1:]:
-        every = every.unionByName(more)
+    if last < 0:
+        return spark.createDataFrame([], stats.schema)
+    # one read of a table partitioned by batch, however many batches there were
+    every = spark.read.option("basePath", versions(root)).parquet(versions(root))
     return (every.groupBy("stat_date")
-            .agg(F.max_by(F.struct("completed_tasks", "failed_tasks", "last_updated"), "_batch").alias("_s"))
+            .agg(F.max_by(F.struct("completed_tasks", "failed_tasks", "last_updated"), BATCH).alias("_s"))
             .select("stat_date", "_s.*"))
 
 
@@ -306,7 +306,8 @@ def run_ledger(attempts: DataFrame, flatten: Callable[[DataFrame], DataFrame], o
             batch = materialize(batch, "ledger-batch")
             failed = R.classify_http("status_code")
             deliveries = batch.where(~failed).select(F.col("task_id").alias("order_id"), "attempt_at", "attempt_no")
-            before = L.ledger_replay(flatten(batch.where(failed)), deliveries, before)
+            failing = L.after_last_delivery(batch.where(failed), deliveries)
+            before = L.ledger_replay(flatten(failing), deliveries, before)
             if retention_days is not None:
                 latest = batch.agg(F.max("attempt_at")).first()[0]
                 before = L.cleanup_expired(before, F.lit(latest), retention_days)

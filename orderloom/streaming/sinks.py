@@ -9,21 +9,24 @@ from pyspark.sql import functions as F
 
 from orderloom.session import fresh_path
 
-FILES_PER_BATCH = 32
+def is_folder(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
 
 
-def read_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """One table's files as a stream. ``name`` is a parquet file or a folder of parquet files.
+def read_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int | None = None) -> DataFrame:
+    """One table's files as a stream. ``name`` is a parquet file or a folder of parquet files, whatever it is called.
 
-    The files per micro-batch are bounded, and with them the rows of one key that a stateful task
-    takes at a time.
+    All files at hand make one micro-batch, so their number and order don't matter. ``files_per_batch``
+    bounds a micro-batch; rows that then come after the watermark has passed them are late.
     """
     path = os.path.join(sf_dir, name)
-    reader = (spark.readStream.schema(spark.read.parquet(path).schema)
-              .option("maxFilesPerTrigger", files_per_batch))
-    if name.endswith(".parquet"):
-        return reader.option("pathGlobFilter", name).parquet(sf_dir)
-    return reader.parquet(path)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", name).parquet(sf_dir)
 
 
 def run_available(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
@@ -52,5 +55,13 @@ def run_batches(stream: DataFrame, label: str, step, mode: str = "append") -> tu
     return root, last["id"]
 
 
+BATCH = "batch_id"
+
+
+def versions(root: str) -> str:
+    return os.path.join(root, "versions")
+
+
 def version_path(root: str, batch_id: int) -> str:
-    return os.path.join(root, "versions", f"{batch_id:012d}")
+    """A batch's folder, in the form of a partition of the table of all batches."""
+    return os.path.join(versions(root), f"{BATCH}={batch_id}")

@@ -39,7 +39,7 @@ def test_values_and_counts(spark):
     assert tuple(C.summary(a, b, KEY).first()) == (6, 4, 6, 3, 1, 2)
     profile = {(r.kind, r.name): (r.n_rows, r.n_cols) for r in C.column_profile(a, b).collect()}
     assert profile["shape", "left"] == (6, 4) and ("left_only", "only_a") in profile and len(profile) == 6
-    assert [r.v for r in C.preview(a.where("v IS NOT NULL"), ["v"], 2).collect()] == [1.0, 3.0]
+    assert [r.v for r in C.preview(a.where("v IS NOT NULL"), a.where("false"), ["v"], 2).collect()] == [1.0, 3.0]
 
 
 def test_diffs_round_trip(spark, tmp_path):
