@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from orderloom.functions.backoff import (
-    CONSTANT_SECONDS, EXPONENTIAL_BASE_SECONDS, EXPONENTIAL_CAP_SECONDS, EXPONENTIAL_MAX_POWER,
+    CONSTANT_SECONDS, EXPONENTIAL_BASE_SECONDS, EXPONENTIAL_CAP_SECONDS, EXPONENTIAL_MAX_POWER, POLICY_ATTEMPTS,
+    POLICY_CAP_MINUTES, POLICY_FACTOR, POLICY_FIRST_MINUTES,
 )
 from orderloom.operators import ledger as L
 from orderloom.operators import replies as R
@@ -80,17 +81,27 @@ def stream_idempotent(requests: DataFrame, retention_seconds: int = RETENTION_SE
 
 # --- retry state ------------------------------------------------------------------------------
 
-def _delay_seconds(count: int, mode: str) -> int:
+def _delay_seconds(count: int, mode: str) -> int | None:
+    """Seconds to the next retry after ``count`` failures; None when the policy pauses the task."""
     if mode == "constant":
         return CONSTANT_SECONDS
+    if mode == "policy":
+        if count >= POLICY_ATTEMPTS:
+            return None
+        doublings = min(count - 1, POLICY_CAP_MINUTES.bit_length())
+        return 60 * min(POLICY_CAP_MINUTES, POLICY_FIRST_MINUTES * POLICY_FACTOR ** doublings)
     return min(EXPONENTIAL_CAP_SECONDS, EXPONENTIAL_BASE_SECONDS * 2 ** min(count, EXPONENTIAL_MAX_POWER))
 
 
 def stream_retry_state(attempts: DataFrame, mode: str = "exponential", lateness: str = "0 seconds") -> DataFrame:
     """Per attempt the task's new state; a ``retry_due`` row when a retry falls due unanswered.
 
-    ``attempts``: task_id, attempt_at, attempt_no, success.
+    ``attempts``: task_id, attempt_at, attempt_no, success, and, where the log has it, ``event``: ``submitted`` makes a task
+    ``pending``, ``started`` makes it ``running``, ``finished`` (or NULL) is an attempt's end. ``mode``: exponential, constant, or
+    policy: doubling delays up to a day, and ``paused`` after the last attempt that the policy allows.
     """
+    if "event" not in attempts.columns:
+        attempts = attempts.withColumn("event", F.lit("finished"))
     columns = ["task_id", "attempt_no", "state", "us", "retry_count", "next_us"]
 
     def advance(key, batches, state: GroupState):
@@ -104,13 +115,17 @@ def stream_retry_state(attempts: DataFrame, mode: str = "exponential", lateness:
         for row in _in_order(batches, state, ["us", "attempt_no"]).itertuples(index=False):
             if due is not None and due < row.us:
                 out.append((key[0], None, "retry_due", due, count, None))
-            if row.success:
+            if row.event in ("submitted", "started"):
+                due = None
+                out.append((key[0], row.attempt_no, "pending" if row.event == "submitted" else "running", row.us, count, None))
+            elif row.success:
                 count, due = 0, None
                 out.append((key[0], row.attempt_no, "cleared", row.us, 0, None))
             else:
                 count += 1
-                due = row.us + _delay_seconds(count, mode) * _MICROS
-                out.append((key[0], row.attempt_no, "needs_retry", row.us, count, due))
+                delay = _delay_seconds(count, mode)
+                due = None if delay is None else row.us + delay * _MICROS
+                out.append((key[0], row.attempt_no, "paused" if delay is None else "needs_retry", row.us, count, due))
         if count:
             state.update((count, due))
             if due is not None:
@@ -121,7 +136,7 @@ def stream_retry_state(attempts: DataFrame, mode: str = "exponential", lateness:
 
     return (
         attempts.withWatermark("attempt_at", lateness)
-        .select("task_id", "attempt_no", "success", F.unix_micros("attempt_at").alias("us"), "attempt_at")
+        .select("task_id", "attempt_no", "success", "event", F.unix_micros("attempt_at").alias("us"), "attempt_at")
         .groupBy("task_id")
         .applyInPandasWithState(
             advance, "task_id string, attempt_no long, state string, us long, retry_count long, next_us long",

@@ -168,3 +168,19 @@ def test_daily_stats_and_report(spark):
     codes = R.distinct_codes(spark.createDataFrame([(["b", "a"],), (["a"],), ([],)], "missing_codes array<string>"))
     report = R.missing_code_report(codes, F.lit("2024-01-01 10:00:00").cast("timestamp")).collect()
     assert [tuple(r) for r in report] == [(c, "Not Found", "2024-01-01 10:00:00", "Verify & Add to System") for c in "ab"]
+
+
+def test_large_order_is_one_request(spark, tmp_path):
+    """2,000 lines of one order: one request, numbered through."""
+    from orderloom.plans import inputs as I
+
+    for name in ("orders", "customer", "lineitem"):
+        df = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        if name == "lineitem":
+            lines = df.limit(2000).withColumn("l_orderkey", F.lit(1).cast("long")).withColumn("l_partkey", F.lit(8).cast("long"))
+            df = lines.withColumn("l_linenumber", F.monotonically_increasing_id().cast("int"))
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    rows = I.requests(spark, str(tmp_path)).where("seq = 1")
+    assert rows.count() == 1
+    items = O.explode_details(parse_payloads(rows)).select("item.imei").collect()
+    assert sorted(r.imei for r in items) == sorted(f"IM{i}" for i in range(1, 2001))

@@ -10,6 +10,8 @@ from orderloom.operators import replies as R
 from orderloom.operators import schedule as S
 from orderloom.streaming import jobs as J
 from orderloom.streaming.sinks import read_stream, run_available
+from tests import oracle_check as oc
+from tests.test_queries import SF_DIR
 from tests.test_ledger import bag, brute_insert, brute_upsert, frame, random_line, row
 from tests.test_schedule import brute_spacing
 
@@ -164,3 +166,26 @@ def test_cleanup_on_ticks(spark, tmp_path):
     orders = frame(spark, [row("a", "p", "1", updated_at=at(0)), row("b", "p", "1", updated_at=at(2 * 86400))])
     ticks = arrive(spark, tmp_path, [(at(86400),), (at(2 * 86400 + 1),)], "now timestamp", 2)
     assert [r.order_id for r in J.run_cleanup(ticks, orders).collect()] == ["b"]
+
+
+def test_retry_policy_with_pause(spark, tmp_path):
+    rows = [("a", at(0), 0, None, "submitted"), ("a", at(1), 1, None, "started")]
+    rows += [("a", at(2 + 86400 * i), 2 + i, False, "finished") for i in range(101)]
+    schema = "task_id string, attempt_at timestamp, attempt_no long, success boolean, event string"
+    got = run_available(J.stream_retry_state(arrive(spark, tmp_path, rows, schema, 1), mode="policy"), "t").collect()
+    by = {r.attempt_no: r for r in got if r.state != "retry_due"}
+    assert (by[0].state, by[1].state) == ("pending", "running")
+    waits = [(by[2 + i].next_retry_at - by[2 + i].at).total_seconds() / 60 for i in range(99)]
+    assert waits[:8] == [15, 30, 60, 120, 240, 480, 960, 1440] and set(waits[8:]) == {1440.0}
+    assert by[101].state == by[102].state == "paused" and by[101].next_retry_at is None and by[101].retry_count == 100
+
+
+@pytest.mark.parametrize("files", [1, 8, 64])
+@pytest.mark.parametrize("name", ["stream_idempotent", "stream_retry_state", "stream_daily_digest", "stream_debounced_digest", "stream_daily_stats"])
+def test_any_number_and_order_of_files(spark, tmp_path, name, files):
+    """The table as one file, and as a folder of shuffled files, against its SQL."""
+    source = f"{SF_DIR}/events.parquet"
+    rows = spark.read.parquet(source).repartition(files, F.xxhash64("event_id"))
+    target = tmp_path / "events.parquet"
+    rows.write.parquet(str(target))
+    assert oc.compare(spark, oc.connect(SF_DIR), str(tmp_path), name) is None
