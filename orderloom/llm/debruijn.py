@@ -113,6 +113,8 @@ def repeated_spans(ws: Workspace, docs: DataFrame, width: int = WIDTH, k: int =
     runs = ws.store(texts.where("doc_id IS NOT NULL").mapInArrow(run_batches(word_values, width, k), RUNS), "runs")
     shared = (runs.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
               .where("lo < hi").select("key"))
+    # Stored, so that the join below deals both sides anew: Spark splits a hot key's part of a join, but not that of a sum.
+    shared = ws.store(shared, "shared")
     repeated = ws.store(runs.join(shared, "key", "left_semi"), "repeated")
     ws.drop(runs)
 
@@ -140,7 +142,7 @@ def repeated_spans(ws: Workspace, docs: DataFrame, width: int = WIDTH, k: int =
              .agg(F.min("start").alias("start"), F.sum("n").cast("int").alias("n")))
     spans = ws.store(spans.select("doc_id", "tag", "src", "src_tag", "start", "n", (F.col("start") - F.col("shift")).alias("at")), "spans")
 
-    mixed = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key")
+    mixed = ws.store(pieces.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key"), "mixed")
     partial = pieces.join(mixed, "key", "left_semi").select(*where, "n", F.lit(True).alias("each"))
     wanted = (spans.select(*where, "n", F.lit(False).alias("each")).distinct().unionByName(partial)
               .groupBy(F.col("src").alias("doc_id"), F.col("src_tag").alias("tag"))

@@ -279,6 +279,8 @@ def repeated_bytes(ws: Workspace, docs: DataFrame, width: int = WIDTH, k: int =
     texts = tagged(docs)
     runs = ws.store(texts.mapInArrow(run_batches(_symbols, width, k), RUNS), "runs")
     shared = runs.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
+    # Stored, so that the join below deals both sides anew: Spark splits a hot key's part of a join, but not that of a sum.
+    shared = ws.store(shared, "shared")
     repeated = ws.store(runs.join(shared, "key", "left_semi"), "repeated")
     ws.drop(runs)
 
@@ -286,7 +288,7 @@ def repeated_bytes(ws: Workspace, docs: DataFrame, width: int = WIDTH, k: int =
         F.min(F.struct("doc_id", "tag", "start")).alias("s"), F.max("n").alias("n"), (F.count(F.lit(1)) > 1).alias("many"))
     pieces = ws.store(pieces.select("key", "c1", "c2", "n", "many", F.col("s.doc_id").alias("src"), F.col("s.tag").alias("src_tag"),
                                     F.col("s.start").alias("at")), "pieces")
-    mixed = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1")
+    mixed = ws.store(pieces.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1"), "mixed")
     asked = (pieces.join(mixed, "key").withColumn("crowded", F.col("_m") > crowd)
              .groupBy(F.col("src").alias("doc_id"), F.col("src_tag").alias("tag"))
              .agg(F.collect_list(F.struct("key", "at", "n", "many", "crowded")).alias("asked")))
