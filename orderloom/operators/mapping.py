@@ -156,6 +156,9 @@ def _best(pairs: DataFrame, rule: _Rule) -> DataFrame:
 
 def _close_pairs(codes: DataFrame, targets: DataFrame, k: int) -> DataFrame:
     limit = _LENGTH_LIMIT[k]
+    # Only targets that an open code of their block could reach are spelled out.
+    band = codes.select("cut", "block", F.explode(F.sequence(F.col("n") - k, F.col("n") + k)).alias("m")).distinct()
+    targets = targets.join(band, ["cut", "block", "m"], "left_semi")
     left = _with_variants(codes.where(F.length("res") <= limit).select("code", "n", "cut", "block", "res"), k, "_jc")
     right = _with_variants(
         targets.where(F.length("res") <= limit).select("row_no", "old_code", "m", "cut", "block", "res"), k, "_jt")
@@ -183,8 +186,8 @@ def _part_pairs(codes: DataFrame, targets: DataFrame, rule: _Rule) -> DataFrame:
         return (df.withColumn("_from", F.floor(F.col("part") * F.col("_len") / F.col("h")).cast("int"))
                 .withColumn("_to", F.floor((F.col("part") + 1) * F.col("_len") / F.col("h")).cast("int")))
 
-    wanted = asked.select("m", "tau", "h").distinct()
-    right = targets.select("row_no", "old_code", "m", "cut", "block", F.col("res").alias("t_res")).join(wanted, "m")
+    wanted = asked.select("cut", "block", "m", "tau", "h").distinct()
+    right = targets.select("row_no", "old_code", "m", "cut", "block", F.col("res").alias("t_res")).join(wanted, ["cut", "block", "m"])
     right = spans(right, F.length("t_res"))
     text = F.expr("substring(t_res, _from + 1, _to - _from)")
     right = (right.withColumn("_part", F.array(text))

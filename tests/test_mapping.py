@@ -114,3 +114,16 @@ def test_headers_of_mapping_and_data(spark):
     assert as_data(d).columns == ["Mã hàng", "Tên hàng", "extra"]
     with pytest.raises(ValueError):
         as_data(spark.createDataFrame([(1,)], "x int"))
+
+
+@pytest.mark.parametrize("seed,low,high,tail,n_rows,n_codes", [(7, 15, 60, "", 30, 60), (8, 195, 225, "", 8, 16), (9, 3, 10, "-COMMON-TAIL-2024", 40, 80)])
+def test_long_codes_and_common_tails(spark, seed, low, high, tail, n_rows, n_codes):
+    """On both sides of every length at which another way of finding candidates takes over."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("ABC12") for _ in range(rng.randint(low, high))) + tail
+    rows = [(i, f"o{i}", "n", word(), f"name{i}") for i in range(n_rows)]
+    codes = {mutate(rng, rng.choice(rows)[3], "ABC12", rng.randint(1, max(2, (low + high) // 7))) for _ in range(n_codes)}
+    mapping = spark.createDataFrame(rows, "row_no long, old_code string, old_name string, new_code string, new_name string")
+    got = {r.code: r.best_old for r in M.best_matches(spark.createDataFrame([(c,) for c in codes], "code string"), mapping).collect()}
+    want = {c: b for c in codes if (b := brute_best(c, rows))}
+    assert got == want
