@@ -6,8 +6,9 @@ texts of each bucket that holds different runs go, bucket by bucket, into blocks
 only suffixes smaller than their successor are sorted directly, the rest is induced by one scan over the
 buckets of first bytes. Neighbours in the order with a common prefix of ``width`` bytes or more are repeats.
 
-A bucket with very many different runs would be more than one block; its windows are counted by digest
-instead, which splits it over all tasks.
+A bucket with very many different runs would be more than one block. Its runs are cut into shorter ones of neighbouring
+windows, bucketed anew by the bytes that all of these share, which are nearly a whole window; equal ones collapse again. What is left
+of such a bucket that is still too large (the edges of a passage that very many documents have) is counted window by window.
 
 Defined results: null and empty texts, and texts under ``width`` bytes, lose nothing. Rows with equal or null doc_id are
 documents of their own, so of two equal rows both lose all they have, if they are long enough. An empty table gives no
@@ -26,13 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.llm.debruijn import RUNS, run_batches
-from orderloom.llm.sequences import Hashes, byte_values, mix
+from orderloom.llm.sequences import Hashes, all_runs, byte_values, mix
 from orderloom.llm.workspace import Workspace, unused
 
 WIDTH = 400
 K = 64
 #: Different runs of one minimizer up to which they are sorted in one block.
 CROWD = 1024
+#: Windows at most in a shorter run of a crowded bucket.
+STEP = 32
 #: Bytes of text in a block, unless one bucket has more.
 BLOCK = 1 << 19
 #: Stands for a null doc_id in joins.
@@ -197,6 +200,8 @@ PIECES = T.StructType([
     T.StructField("key", T.LongType()), T.StructField("src", T.LongType()), T.StructField("src_tag", T.LongType()),
     T.StructField("at", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("many", T.BooleanType()),
     T.StructField("crowded", T.BooleanType()), T.StructField("text", T.BinaryType())])
+SUBRUNS = T.StructType([
+    *PIECES.fields[:6], T.StructField("text", T.BinaryType()), T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType())])
 WINDOWS = T.StructType([
     T.StructField("src", T.LongType()), T.StructField("src_tag", T.LongType()), T.StructField("at", T.IntegerType()),
     T.StructField("j", T.IntegerType()), T.StructField("m", T.IntegerType())])
@@ -249,14 +254,41 @@ def _sorted_blocks(width: int):
     return batches
 
 
+def _subruns(width: int, k: int):
+    """Pieces to shorter runs: neighbouring windows whose distance to the minimizer falls in one step of STEP."""
+    def batches(stream):
+        for batch in stream:
+            pieces = list(zip(*(batch.column(c).to_pylist() for c in ("src", "src_tag", "at", "n", "many", "text"))))
+            off = np.zeros(len(pieces), np.int64)
+            for r in all_runs([_symbols(p[5]) for p in pieces], width, k):  # one run each
+                off[r["doc"]] = r["off"]
+            rows = []
+            for (src, tag, at, n, many, text), a in zip(pieces, off.tolist()):
+                j = 0
+                while j < n:
+                    low = (a - j) // STEP * STEP
+                    more = min(n - j, a - j - low + 1)
+                    core = text[a - low:a - low - STEP + 1 + width]  # in every window of the step, here or elsewhere
+                    part = text[j:j + more + width - 1]
+                    key = _long(b"%d " % low + core)
+                    rows.append((key[0], src, tag, at + j, more, many, part, *_long(b"%d " % (a - j) + part)))
+                    j += more
+            yield _batch(SUBRUNS, rows)
+    return batches
+
+
+def _long(data: bytes) -> tuple[int, int]:
+    d = np.frombuffer(hashlib.blake2b(data, digest_size=16).digest(), "<i8")
+    return int(d[0]), int(d[1])
+
+
 def _window_digests(width: int):
     def batches(stream):
         for batch in stream:
             rows = []
             for src, tag, at, n, many, text in zip(*(batch.column(c).to_pylist() for c in ("src", "src_tag", "at", "n", "many", "text"))):
                 for j in range(n):
-                    d = np.frombuffer(hashlib.blake2b(text[j:j + width], digest_size=16).digest(), "<i8")
-                    rows.append((src, tag, at, j, many, int(d[0]), int(d[1])))
+                    rows.append((src, tag, at, j, many, *_long(text[j:j + width])))
                 if len(rows) > 20000:
                     yield _batch(DIGESTS, rows)
                     rows = []
@@ -296,12 +328,24 @@ def repeated_bytes(ws: Workspace, docs: DataFrame, width: int = WIDTH, k: int =
     cut = texts.join(asked, ["doc_id", "tag"]).select("doc_id", "tag", "text", "asked").mapInArrow(_cut(width), PIECES)
     cut = ws.store(cut, "texts")
     one = ["key", "src", "src_tag", "at"]
-    sorted_ = (cut.where("NOT crowded").repartition("key").sortWithinPartitions(*one)
-               .mapInArrow(_sorted_blocks(width), WINDOWS))
-    digests = cut.where("crowded").mapInArrow(_window_digests(width), DIGESTS).distinct()
+
+    def in_blocks(pieces: DataFrame) -> DataFrame:
+        return pieces.repartition("key").sortWithinPartitions(*one).mapInArrow(_sorted_blocks(width), WINDOWS)
+
+    short = ws.store(cut.where("crowded").repartition(*one).mapInArrow(_subruns(width, k), SUBRUNS).distinct(), "short-runs")
+    same = short.groupBy("key", "d1", "d2").agg(
+        F.min(F.struct("src", "src_tag", "at")).alias("s"), (F.max("many") | (F.count(F.lit(1)) > 1)).alias("many"))
+    same = ws.store(same.select("key", "d1", "d2", "many", "s.*"), "short-pieces")
+    repeats = same.where("many").select("key", "d1", "d2")
+    copied = short.where("NOT many").join(repeats, ["key", "d1", "d2"]).select("src", "src_tag", "at", F.lit(0).alias("j"), F.col("n").alias("m"))
+    sizes = ws.store(same.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1"), "short-mixed")
+    apart = short.drop("many").join(same.join(sizes, "key").select(*one, "many", "_m"), one)
+    again_sorted = in_blocks(apart.where(F.col("_m") <= crowd))
+    digests = apart.where(F.col("_m") > crowd).mapInArrow(_window_digests(width), DIGESTS)
     again = digests.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("_n"), F.max("many").alias("_many")).where("_n > 1 OR _many")
     counted = digests.where("NOT many").join(again, ["d1", "d2"]).select("src", "src_tag", "at", "j", F.lit(1).alias("m"))
-    found = ws.store(sorted_.unionByName(counted).distinct(), "windows")
+    found = in_blocks(cut.where("NOT crowded")).unionByName(copied).unionByName(again_sorted).unionByName(counted)
+    found = ws.store(found.distinct(), "windows")
 
     copies = pieces.where("many").select("key", "c1", "c2")
     whole = repeated.join(copies, ["key", "c1", "c2"]).select("doc_id", "tag", "start", "n")
