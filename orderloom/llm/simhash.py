@@ -92,7 +92,8 @@ def links(ws: Workspace, fps: DataFrame, crowd: int = CROWD) -> DataFrame:
         (F.col("value").bitwiseAND(bit) != 0).alias("set"), "fp")
     one = variants.where("NOT set").select("variant", F.col("fp").alias("a"))
     other = variants.where("set").select("variant", F.col("fp").alias("b"))
-    differing = one.join(other, "variant").where(_far("a", "b") <= DISTANCE).select("a", "b")
+    # Sizes are estimated before rows unfold, so Spark would broadcast what is 32 times larger than it looks.
+    differing = one.join(other.hint("merge"), "variant").where(_far("a", "b") <= DISTANCE).select("a", "b")
 
     left, right = plain.withColumnRenamed("fp", "a"), plain.withColumnRenamed("fp", "b")
     equal = left.join(right, ["seg", "value"]).where((F.col("a") < F.col("b")) & (_far("a", "b") <= DISTANCE)).select("a", "b")
