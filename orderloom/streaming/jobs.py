@@ -22,8 +22,8 @@ from orderloom.operators import ledger as L
 from orderloom.operators import replies as R
 from orderloom.operators.digest import DIGEST_DELAY_SECONDS
 from orderloom.operators.schedule import RETENTION_SECONDS
-from orderloom.session import materialize
-from orderloom.streaming.sinks import BATCH, run_batches, version_path, versions
+from orderloom.session import fresh_path, materialize
+from orderloom.streaming.sinks import BATCH, BucketedTable, exists, run_batches, version_path, versions
 
 _MICROS = 1_000_000
 
@@ -286,15 +286,13 @@ def stream_daily_stats(attempts: DataFrame, at: str = "attempt_at", lateness: st
     )
 
 
-def run_daily_stats(attempts: DataFrame) -> DataFrame:
+def run_daily_stats(attempts: DataFrame, root: str | None = None) -> DataFrame:
     """Runs the statistics over all input at hand; the last word per date stands."""
-    def step(batch: DataFrame, batch_id: int, root: str) -> None:
-        batch.write.mode("overwrite").parquet(version_path(root, batch_id))
-
+    root = root or fresh_path(attempts.sparkSession, "daily-stats")
     stats = stream_daily_stats(attempts)
-    root, last = run_batches(stats, "daily-stats", step, mode="update")
+    run_batches(stats, root, lambda batch, batch_id: batch.write.mode("overwrite").parquet(version_path(root, batch_id)), mode="update")
     spark = attempts.sparkSession
-    if last < 0:
+    if not exists(spark, versions(root)):
         return spark.createDataFrame([], stats.schema)
     # one read of a table partitioned by batch, however many batches there were
     every = spark.read.option("basePath", versions(root)).parquet(versions(root))
@@ -303,45 +301,57 @@ def run_daily_stats(attempts: DataFrame) -> DataFrame:
             .select("stat_date", "_s.*"))
 
 
+def _expire(table: BucketedTable, rows: DataFrame, now, days: int, batch_id: int, changed: set[int]) -> tuple[DataFrame, set[int]]:
+    """``rows`` of the changed buckets, and those of other buckets with expired rows, without the expired ones."""
+    stale = (table.read(batch_id).where(L.expired_rows(now, days)).select(table.bucket().alias("_b")).distinct().collect())
+    more = {r["_b"] for r in stale} - changed
+    if more:
+        rows = rows.unionByName(table.read(batch_id, more))
+    return L.cleanup_expired(rows, now, days), changed | more
+
+
 def run_ledger(attempts: DataFrame, flatten: Callable[[DataFrame], DataFrame], orders: DataFrame,
-               retention_days: int | None = None) -> DataFrame:
+               retention_days: int | None = None, root: str | None = None) -> DataFrame:
     """Keeps the ledger over a stream of attempts and returns its last version.
 
-    Each micro-batch replays its failures and deliveries on the version before it and writes its
-    own; a repeated batch overwrites the same version. ``attempts``: task_id, attempt_at,
+    Each micro-batch replays its failures and deliveries on the hash buckets of its own orders and rewrites
+    those only; a repeated batch overwrites the same version. ``attempts``: task_id, attempt_at,
     attempt_no, status_code, body, error. ``flatten`` turns failing attempts into ledger lines
     with ``attempt_no`` and ``pos``. With ``retention_days`` every batch also drops rows that
-    expired by its latest attempt.
+    expired by its latest attempt. ``orders`` is where the ledger starts, if ``root`` has none yet.
     """
-    spark = attempts.sparkSession
+    root = root or fresh_path(attempts.sparkSession, "ledger")
+    table = BucketedTable(root, orders, "order_id")
 
-    def step(batch: DataFrame, batch_id: int, root: str) -> None:
-        before = orders if batch_id == 0 else spark.read.parquet(version_path(root, batch_id - 1))
-        if not batch.isEmpty():
-            batch = materialize(batch, "ledger-batch")
-            failed = R.classify_http("status_code")
-            deliveries = batch.where(~failed).select(F.col("task_id").alias("order_id"), "attempt_at", "attempt_no")
-            failing = L.after_last_delivery(batch.where(failed), deliveries)
-            before = L.ledger_replay(flatten(failing), deliveries, before)
-            if retention_days is not None:
-                latest = batch.agg(F.max("attempt_at")).first()[0]
-                before = L.cleanup_expired(before, F.lit(latest), retention_days)
-        before.write.mode("overwrite").parquet(version_path(root, batch_id))
-
-    root, last = run_batches(attempts, "ledger", step)
-    return spark.read.parquet(version_path(root, last)) if last >= 0 else orders
-
-
-def run_cleanup(ticks: DataFrame, orders: DataFrame, days: int = L.RETENTION_DAYS) -> DataFrame:
-    """Drops expired rows on every tick of a stream that carries the current time in ``now``."""
-    spark = ticks.sparkSession
-
-    def step(batch: DataFrame, batch_id: int, root: str) -> None:
-        before = orders if batch_id == 0 else spark.read.parquet(version_path(root, batch_id - 1))
+    def step(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        batch = materialize(batch, "ledger-batch")
+        changed = {r["_b"] for r in batch.select(table.bucket("task_id").alias("_b")).distinct().collect()}
+        failed = R.classify_http("status_code")
+        deliveries = batch.where(~failed).select(F.col("task_id").alias("order_id"), "attempt_at", "attempt_no")
+        failing = L.after_last_delivery(batch.where(failed), deliveries)
+        rows = L.ledger_replay(flatten(failing), deliveries, table.read(batch_id, changed)).select(*orders.columns)
+        if retention_days is not None:
+            latest = batch.agg(F.max("attempt_at")).first()[0]
+            rows, changed = _expire(table, rows, F.lit(latest), retention_days, batch_id, changed)
+        table.write(rows, batch_id, changed)
+
+    run_batches(attempts, root, step)
+    return table.read()
+
+
+def run_cleanup(ticks: DataFrame, orders: DataFrame, days: int = L.RETENTION_DAYS, root: str | None = None) -> DataFrame:
+    """Drops expired rows on every tick of a stream that carries the current time in ``now``; only their buckets are rewritten."""
+    root = root or fresh_path(ticks.sparkSession, "cleanup")
+    table = BucketedTable(root, orders, "order_id")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
         latest = batch.agg(F.max("now")).first()[0]
         if latest is not None:
-            before = L.cleanup_expired(before, F.lit(latest), days)
-        before.write.mode("overwrite").parquet(version_path(root, batch_id))
+            rows, changed = _expire(table, orders.limit(0), F.lit(latest), days, batch_id, set())
+            if changed:
+                table.write(rows, batch_id, changed)
 
-    root, last = run_batches(ticks, "cleanup", step)
-    return spark.read.parquet(version_path(root, last)) if last >= 0 else orders
+    run_batches(ticks, root, step)
+    return table.read()

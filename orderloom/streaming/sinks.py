@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.session import fresh_path
@@ -29,10 +29,13 @@ def read_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: in
     return reader.option("pathGlobFilter", name).parquet(sf_dir)
 
 
-def run_available(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
-    """Process all input at hand and return what was written. For append-mode queries."""
+def run_available(stream: DataFrame, label: str, mode: str = "append", root: str | None = None) -> DataFrame:
+    """Process all input at hand and return what was written. For append-mode queries.
+
+    ``root`` names the folder of output and progress; given again, the stream goes on where it stopped.
+    """
     spark = stream.sparkSession
-    root = fresh_path(spark, label)
+    root = root or fresh_path(spark, label)
     query = (stream.writeStream.format("parquet").outputMode(mode)
              .option("checkpointLocation", f"{root}/state").option("path", f"{root}/out")
              .trigger(availableNow=True).start())
@@ -40,22 +43,18 @@ def run_available(stream: DataFrame, label: str, mode: str = "append") -> DataFr
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
-def run_batches(stream: DataFrame, label: str, step, mode: str = "append") -> tuple[str, int]:
-    """Call ``step(batch_df, batch_id, root)`` per micro-batch; returns the folder and the last id."""
-    root = fresh_path(stream.sparkSession, label)
-    last = {"id": -1}
-
+def run_batches(stream: DataFrame, root: str, step, mode: str = "append") -> None:
+    """Call ``step(batch_df, batch_id)`` per micro-batch; with the same ``root`` again, from where it stopped."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        step(batch, batch_id, root)
-        last["id"] = batch_id
+        step(batch, batch_id)
 
     query = (stream.writeStream.outputMode(mode).foreachBatch(each)
              .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start())
     query.awaitTermination()
-    return root, last["id"]
 
 
 BATCH = "batch_id"
+BUCKET = "_bucket"
 
 
 def versions(root: str) -> str:
@@ -65,3 +64,42 @@ def versions(root: str) -> str:
 def version_path(root: str, batch_id: int) -> str:
     """A batch's folder, in the form of a partition of the table of all batches."""
     return os.path.join(versions(root), f"{BATCH}={batch_id}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+class BucketedTable:
+    """A table in hash buckets of a key. A batch writes only the buckets that it changes; of each bucket the last batch's rows stand.
+
+    A batch that runs again after a stop reads what stood before it and writes its own version anew. What is
+    collected has one row per bucket, a fixed number.
+    """
+
+    def __init__(self, root: str, start: DataFrame, key: str, buckets: int = 64):
+        self.spark, self.root, self.key, self.buckets, self.schema = start.sparkSession, root, key, buckets, start.schema
+        if not exists(self.spark, os.path.join(root, "written")):
+            self.write(start, -1, range(buckets))
+
+    def bucket(self, key: str | None = None) -> Column:
+        return F.pmod(F.xxhash64(key or self.key), F.lit(self.buckets)).cast("int")
+
+    def write(self, rows: DataFrame, batch_id: int, changed) -> None:
+        """Replace the ``changed`` buckets by ``rows``, all of which belong there."""
+        (rows.withColumn(BUCKET, self.bucket()).repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET)
+         .parquet(version_path(self.root, batch_id)))
+        # Written last, and also for buckets that are empty now: only what stands here counts.
+        (self.spark.createDataFrame([(b,) for b in changed], f"{BUCKET} int").coalesce(1).write.mode("overwrite")
+         .parquet(os.path.join(self.root, "written", f"{BATCH}={batch_id}")))
+
+    def read(self, before: int | None = None, only=None) -> DataFrame:
+        """The table as it stood before a batch, or now; ``only`` some buckets."""
+        log = self.spark.read.parquet(os.path.join(self.root, "written"))
+        if before is not None:
+            log = log.where(F.col(BATCH) < before)
+        last = {r[BUCKET]: r["b"] for r in log.groupBy(BUCKET).agg(F.max(BATCH).alias("b")).collect()}
+        paths = [f"{version_path(self.root, batch)}/{BUCKET}={b}" for b, batch in sorted(last.items()) if only is None or b in only]
+        paths = [p for p in paths if exists(self.spark, p)]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)

@@ -189,3 +189,26 @@ def test_any_number_and_order_of_files(spark, tmp_path, name, files):
     target = tmp_path / "events.parquet"
     rows.write.parquet(str(target))
     assert oc.compare(spark, oc.connect(SF_DIR), str(tmp_path), name) is None
+
+
+def test_batches_rewrite_their_buckets_only_and_go_on_after_a_stop(spark, tmp_path):
+    orders = frame(spark, [row(f"o{i}", "p", "1", updated_at=at(100_000 if i % 2 else 0)) for i in range(200)])
+    folder, root = tmp_path / "ticks", str(tmp_path / "state")
+    tick = lambda t: spark.createDataFrame([(at(t),)], "now timestamp").coalesce(1).write.mode("append").parquet(str(folder))
+    run = lambda: {r.order_id for r in J.run_cleanup(read_stream(spark, str(tmp_path), "ticks"), orders, 1, root).collect()}
+    tick(50_000)
+    assert len(run()) == 200
+    tick(90_000)
+    assert run() == {f"o{i}" for i in range(200) if i % 2}
+    assert run() == {f"o{i}" for i in range(200) if i % 2}
+    written = spark.read.parquet(f"{root}/written")
+    assert {r.batch_id for r in written.select("batch_id").distinct().collect()} == {-1, 1}
+
+    lines = frame(spark, [{**row("o3", "new", "9", updated_at=at(7)), "pos": 0, "attempt_no": 5}], ", pos int, attempt_no long")
+    attempts = arrive(spark, tmp_path, [("o3", at(7), 5, 500, "{}", "e")],
+                      "task_id string, attempt_at timestamp, attempt_no long, status_code int, body string, error string", 1)
+    root = str(tmp_path / "ledger")
+    got = J.run_ledger(attempts, lambda failing: lines, orders, root=root)
+    assert got.count() == 201
+    assert spark.read.parquet(f"{root}/written").where("batch_id >= 0").count() == 1
+    assert J.run_ledger(attempts, lambda failing: lines, orders, root=root).count() == 201
