@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.sequences import all_runs, word_values
+from orderloom.llm.sequences import all_runs, grouped, word_values
 from orderloom.llm.workspace import Workspace
 
 WIDTH = 50
@@ -49,11 +49,14 @@ def run_batches(values, width: int, k: int):
     def batches(stream):
         for batch in stream:
             ids, tags = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
-            for r in all_runs([values(t) for t in batch.column(2).to_pylist()], width, k):
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[r["doc"]]), pa.array(tags[r["doc"]]), pa.array(r["start"].astype(np.int32)),
-                    pa.array(r["n"].astype(np.int32)), *(pa.array(r[c].view(np.int64)) for c in ("key", "c1", "c2"))],
-                    names=RUNS.names)
+            texts = batch.column(2).to_pylist()
+            for a, b in grouped([len(t) for t in texts]):  # symbols take eight times a text's bytes
+                for r in all_runs([values(t) for t in texts[a:b]], width, k):
+                    doc = r["doc"] + a
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(ids[doc]), pa.array(tags[doc]), pa.array(r["start"].astype(np.int32)),
+                        pa.array(r["n"].astype(np.int32)), *(pa.array(r[c].view(np.int64)) for c in ("key", "c1", "c2"))],
+                        names=RUNS.names)
     return batches
 
 
