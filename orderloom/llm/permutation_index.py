@@ -1,18 +1,19 @@
 """Nearest neighbours by cosine with a permutation index.
 
-A vector stands for the order of its ``prefix`` nearest pivots. Vectors are dealt out over shards of bounded size; in a shard, each
+Equal vectors are one entry of the index, with their ``k`` + 1 smallest ids: no more of them can be among a query's best. A vector
+stands for the order of its ``prefix`` nearest pivots. Vectors are dealt out over shards of bounded size; in a shard, each
 pivot's inverted file lists the vectors that have it among their nearest, with its rank. A query adds up, over
 its own pivots' files, how much the ranks agree, which is the footrule distance read off the postings: with ranks
 beyond the prefix counted as ``prefix``, footrule = const - 2 * sum over shared pivots of (prefix - the larger rank). The
-``rerank`` share of the shard that is nearest by footrule is ranked again by exact cosine in double precision; the
-shards' best are merged. Every vector is in the index; pivots are a bounded sample of it.
+``rerank`` share of the shard that is nearest by footrule, and all that are as near as the last of it, are ranked again by exact
+cosine in double precision; the shards' best are merged. Every vector is in the index; pivots are a bounded sample of it.
 
 Both sides are dealt in blocks (at most ``shard_rows`` vectors, ``query_rows`` queries), so a task's memory is bounded and no task sees all of
 either side. Recall against brute force is checked in the tests and recorded in the README.
 
 Defined results: vectors that are null, of zero length, or hold a null or non-finite component take no part, as query or as
 candidate, nor do rows with a null id. Vectors of different dimension are never compared. Rows with equal id are one another's "own row" and not candidates
-of each other. Ties in score go to the smaller id. An empty table gives no rows; other columns are ignored.
+of each other; an id with several vectors counts with its nearest. Ties in score go to the smaller id. An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -76,19 +77,32 @@ class Shard:
         return total
 
 
-def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, pivots: np.ndarray, k: int,
+def collapse(rows: DataFrame, most: int) -> DataFrame:
+    """dim, v and ids (the ``most`` smallest, ascending) of each different vector. The limit also holds before the shuffle, per task."""
+    place = F.row_number().over(Window.partitionBy("dim", "v").orderBy("id"))
+    return rows.withColumn("place", place).where(F.col("place") <= most).groupBy("dim", "v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+
+
+def search_shard(ids: list[np.ndarray], vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, pivots: np.ndarray, k: int,
                  prefix: int, rerank: float, least: int):
-    """Best ``k`` of the shard for each query, by cosine among those nearest by footrule."""
+    """Best ``k`` ids of the shard for each query, by cosine among those nearest by footrule."""
     vectors, queries, pivots = unit(vectors), unit(queries), unit(pivots)
     shard = Shard(vectors, pivots, prefix)
-    size = min(len(ids), max(int(np.ceil(rerank * len(ids))), least + k))
+    n = len(ids)
+    flat, lengths = np.concatenate(ids), np.array([len(i) for i in ids])
+    starts = np.cumsum(lengths) - lengths
+    size = min(n, max(int(np.ceil(rerank * n)), least + k))
     for query_id, q, near in zip(query_ids, queries, nearest_pivots(queries, pivots, shard.prefix)):
         agreement = shard.agreement(near)
-        picked = np.argpartition(-agreement, size - 1)[:size] if size < len(ids) else np.arange(len(ids))
-        picked = picked[ids[picked] != query_id]
+        picked = np.flatnonzero(agreement >= np.partition(agreement, n - size)[n - size]) if size < n else np.arange(n)
         score = np.einsum("ij,j->i", vectors[picked], q)
-        best = np.lexsort((ids[picked], -score))[:k]
-        yield query_id, ids[picked[best]], score[best]
+        many = lengths[picked]
+        within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        found, score = flat[np.repeat(starts[picked], many) + within], np.repeat(score, many)
+        order = np.lexsort((found, -score))
+        order = order[found[order] != query_id]
+        first = np.sort(np.unique(found[order], return_index=True)[1])[:k]
+        yield query_id, found[order[first]], score[order[first]]
 
 
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5, id_column: str = "vec_id", vector_column: str = "embedding",
@@ -98,25 +112,28 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, id_column: str = "v
     spark = vectors.sparkSession
     ws = Workspace(spark, "permutation")
     rows = ws.store(usable(vectors, id_column, vector_column).withColumn("dim", F.size("v")).distinct(), "vectors")
-    sizes = {r["dim"]: (r["n"], r["q"]) for r in rows.groupBy("dim").agg(
-        F.count(F.lit(1)).alias("n"), F.sum((F.col("id") % every == 0).cast("long")).alias("q")).collect()}
-    sample = {dim: np.array([r["v"] for r in rows.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(pivots).collect()], np.float64)
+    entries = ws.store(collapse(rows, k + 1), "entries")
+    asked = rows.where(F.col("id") % every == 0)
+    queries = {r["dim"]: r["q"] for r in asked.groupBy("dim").agg(F.count(F.lit(1)).alias("q")).collect()}
+    sizes = {r["dim"]: (r["n"], queries.get(r["dim"], 0)) for r in entries.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    first = F.col("ids")[0]
+    sample = {dim: np.array([r["v"] for r in entries.where(F.col("dim") == dim).orderBy(F.xxhash64(first), first, "v").limit(pivots).collect()], np.float64)
               for dim in sizes}
     shared = spark.sparkContext.broadcast(sample)
     blocks = spark.createDataFrame([(dim, -(-n // shard_rows), max(1, -(-q // query_rows))) for dim, (n, q) in sizes.items()],
                                    "dim int, shards int, parts int")
-    dealt = rows.join(F.broadcast(blocks), "dim")  # one row per dimension
-    shard = F.pmod(F.xxhash64("id", "v"), F.col("shards")).cast("int")
+    shard = F.pmod(F.xxhash64("v"), F.col("shards")).cast("int")
     part = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int")
-    one = dealt.select("dim", shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "v")
-    other = dealt.where(F.col("id") % every == 0).select(
+    one = entries.join(F.broadcast(blocks), "dim").select(  # one row per dimension
+        "dim", shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "ids", "v")
+    other = asked.join(F.broadcast(blocks), "dim").select(
         F.col("dim").alias("q_dim"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("q_shard"), part.alias("q_part"),
         F.col("id").alias("query_id"), F.col("v").alias("query"))
 
     def search(key, candidates: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(candidates) and len(asked):
-            found = search_shard(candidates["id"].to_numpy(), np.stack(candidates["v"]), asked["query_id"].to_numpy(), np.stack(asked["query"]),
+            found = search_shard(list(candidates["ids"]), np.stack(candidates["v"]), asked["query_id"].to_numpy(), np.stack(asked["query"]),
                                  shared.value[key[0]], k, prefix, rerank, least)
             out = [pd.DataFrame({"query_id": q, "vec_id": i, "score": s}) for q, i, s in found]
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(

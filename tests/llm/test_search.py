@@ -173,6 +173,37 @@ def test_nearest(spark):
     assert permutation_index.nearest(df.where("false")).count() == 0
 
 
+def test_nearest_with_copies(spark):
+    """A third of the rows hold one vector, which is more than a shard ranks again; another id has many vectors near one query."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 24))
+    x[:, 0] += 3
+    same = np.sort(rng.permutation(3000)[:1000])
+    x[same] = x[same[0]]
+    x[same, 5] = 0.0
+    near = x[same[0]] + 0.01 * rng.normal(size=24)
+    data = [(i, v.tolist()) for i, v in enumerate(x)] + [(3050, near.tolist())]
+    data = [(i, [-0.0 if c == 0 and i % 2 else c for c in v]) for i, v in data]
+    alone = np.zeros(24)
+    alone[1] = -1.0
+    data += [(3100, alone.tolist())] + [(3101, (alone + 1e-4 * rng.normal(size=24)).tolist()) for _ in range(8)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = permutation_index.nearest(df, least=150, shard_rows=1000, query_rows=20).toPandas()
+    ids, all_of = np.array([i for i, _ in data]), np.array([v for _, v in data])
+    all_of /= np.linalg.norm(all_of, axis=1, keepdims=True)
+    hit = n = 0
+    for q in [i for i in ids if i % 50 == 0]:
+        mine = got[got.query_id == q].sort_values("rank")
+        assert mine["rank"].tolist() == [1, 2, 3, 4, 5] and mine.vec_id.is_unique
+        if q in same or q == 3050:
+            assert mine.vec_id.tolist() == [i for i in same if i != q][:5]
+        s = np.round(all_of @ all_of[np.flatnonzero(ids == q)[0]], 12)
+        want = dict.fromkeys(ids[i] for i in np.lexsort((ids, -s)) if ids[i] != q)
+        hit, n = hit + len(set(list(want)[:5]) & set(mine.vec_id)), n + 5
+    assert got[got.query_id == 3100].sort_values("rank").vec_id.iloc[0] == 3101
+    assert hit / n >= 0.9
+
+
 def test_pipeline_stages(spark):
     """Each stage against its operator's own brute-force-tested result, and what the next one gets."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
