@@ -2,7 +2,8 @@
 
 Everything runs on event time: rows of a key are taken in time order and timers fire between
 them, so one large micro-batch and many small ones give the same result for input that arrives in
-order. Rows older than the watermark are left out.
+order. Rows older than the watermark take no part; the jobs below up to the digests return them with ``late`` set, and
+``run_available`` keeps them apart.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -23,16 +24,25 @@ from orderloom.operators import replies as R
 from orderloom.operators.digest import DIGEST_DELAY_SECONDS
 from orderloom.operators.schedule import RETENTION_SECONDS
 from orderloom.session import fresh_path, materialize
-from orderloom.streaming.sinks import BATCH, BucketedTable, exists, run_batches, version_path, versions
+from orderloom.streaming.sinks import BATCH, LATE, BucketedTable, exists, run_batches, version_path, versions
 
 _MICROS = 1_000_000
 
 
-def _in_order(batches: Iterator[pd.DataFrame], state: GroupState, columns: list[str]) -> pd.DataFrame:
-    """The key's rows of this micro-batch by time, without those behind the watermark."""
+def _clock() -> Column:
+    """The event-time column that Spark tests before the fold: the year 2261, so that the fold sees late rows too."""
+    return F.timestamp_micros(F.lit(9_200_000_000_000_000)).alias("clock", metadata={"spark.watermarkDelayMs": 0})
+
+
+def _floor(state: GroupState) -> int:
+    return state.getCurrentWatermarkMs() * 1000
+
+
+def _in_order(batches: Iterator[pd.DataFrame], state: GroupState, columns: list[str]) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """The key's rows of this micro-batch by time, and those behind the watermark."""
     rows = pd.concat([b for b in batches], ignore_index=True)
-    floor = state.getCurrentWatermarkMs() * 1000
-    return rows[rows["us"] >= floor].sort_values(columns, kind="stable")
+    late = rows["us"] < _floor(state)
+    return rows[~late].sort_values(columns, kind="stable"), rows[late]
 
 
 def _wake_at(state: GroupState, micros: int) -> None:
@@ -46,7 +56,7 @@ def stream_idempotent(requests: DataFrame, retention_seconds: int = RETENTION_SE
     """Drop requests whose id was accepted less than the retention before.
 
     ``requests``: seq, task_id, submitted_at. ``exact=False`` uses the built-in deduplication,
-    which stays in the JVM but forgets an id only when the watermark says so.
+    which stays in the JVM but forgets an id only when the watermark says so, and doesn't return late rows.
     """
     marked = requests.where("task_id IS NOT NULL")
     if not exact:
@@ -59,23 +69,24 @@ def stream_idempotent(requests: DataFrame, retention_seconds: int = RETENTION_SE
             state.remove()
             return
         (last,) = state.get if state.exists else (None,)
-        kept = []
-        for row in _in_order(batches, state, ["us", "seq"]).itertuples(index=False):
+        rows, late = _in_order(batches, state, ["us", "seq"])
+        kept = [(key[0], row.seq, row.us, True) for row in late.itertuples(index=False)]
+        for row in rows.itertuples(index=False):
             if last is None or row.us - last >= keep_for:
                 last = row.us
-                kept.append((key[0], row.seq, row.us))
+                kept.append((key[0], row.seq, row.us, False))
         if last is not None:
             state.update((last,))
             _wake_at(state, last + keep_for)
-        yield pd.DataFrame(kept, columns=["task_id", "seq", "us"])
+        yield pd.DataFrame(kept, columns=["task_id", "seq", "us", LATE])
 
     return (
         marked.withWatermark("submitted_at", lateness)
-        .select("task_id", "seq", F.unix_micros("submitted_at").alias("us"), "submitted_at")
+        .select("task_id", "seq", F.unix_micros("submitted_at").alias("us"), _clock())
         .groupBy("task_id")
-        .applyInPandasWithState(accept, "task_id string, seq long, us long", "last long", "append",
+        .applyInPandasWithState(accept, f"task_id string, seq long, us long, {LATE} boolean", "last long", "append",
                                 GroupStateTimeout.EventTimeTimeout)
-        .select("task_id", "seq", F.timestamp_micros("us").alias("submitted_at"))
+        .select("task_id", "seq", F.timestamp_micros("us").alias("submitted_at"), LATE)
     )
 
 
@@ -98,51 +109,55 @@ def stream_retry_state(attempts: DataFrame, mode: str = "exponential", lateness:
 
     ``attempts``: task_id, attempt_at, attempt_no, success, and, where the log has it, ``event``: ``submitted`` makes a task
     ``pending``, ``started`` makes it ``running``, ``finished`` (or NULL) is an attempt's end. ``mode``: exponential, constant, or
-    policy: doubling delays up to a day, and ``paused`` after the last attempt that the policy allows.
+    policy: doubling delays up to a day, and ``paused`` after the last attempt that the policy allows. A late attempt has no state.
     """
     if "event" not in attempts.columns:
         attempts = attempts.withColumn("event", F.lit("finished"))
-    columns = ["task_id", "attempt_no", "state", "us", "retry_count", "next_us"]
+    columns = ["task_id", "attempt_no", "state", "us", "retry_count", "next_us", LATE]
 
     def advance(key, batches, state: GroupState):
         count, due = state.get if state.exists else (0, None)
         if state.hasTimedOut:
             state.update((count, None))
-            yield pd.DataFrame([(key[0], None, "retry_due", due, count, None)], columns=columns).astype(
+            yield pd.DataFrame([(key[0], None, "retry_due", due, count, None, False)], columns=columns).astype(
                 {"attempt_no": "Int64", "next_us": "Int64"})
             return
-        out = []
-        for row in _in_order(batches, state, ["us", "attempt_no"]).itertuples(index=False):
+        rows, late = _in_order(batches, state, ["us", "attempt_no"])
+        out = [(key[0], row.attempt_no, None, row.us, None, None, True) for row in late.itertuples(index=False)]
+        if due is not None and due < _floor(state):  # also if all rows are late
+            out.append((key[0], None, "retry_due", due, count, None, False))
+            due = None
+        for row in rows.itertuples(index=False):
             if due is not None and due < row.us:
-                out.append((key[0], None, "retry_due", due, count, None))
+                out.append((key[0], None, "retry_due", due, count, None, False))
             if row.event in ("submitted", "started"):
                 due = None
-                out.append((key[0], row.attempt_no, "pending" if row.event == "submitted" else "running", row.us, count, None))
+                out.append((key[0], row.attempt_no, "pending" if row.event == "submitted" else "running", row.us, count, None, False))
             elif row.success:
                 count, due = 0, None
-                out.append((key[0], row.attempt_no, "cleared", row.us, 0, None))
+                out.append((key[0], row.attempt_no, "cleared", row.us, 0, None, False))
             else:
                 count += 1
                 delay = _delay_seconds(count, mode)
                 due = None if delay is None else row.us + delay * _MICROS
-                out.append((key[0], row.attempt_no, "paused" if delay is None else "needs_retry", row.us, count, due))
+                out.append((key[0], row.attempt_no, "paused" if delay is None else "needs_retry", row.us, count, due, False))
         if count:
             state.update((count, due))
             if due is not None:
                 _wake_at(state, due)
         elif state.exists:
             state.remove()
-        yield pd.DataFrame(out, columns=columns).astype({"attempt_no": "Int64", "next_us": "Int64"})
+        yield pd.DataFrame(out, columns=columns).astype({"attempt_no": "Int64", "retry_count": "Int64", "next_us": "Int64"})
 
     return (
         attempts.withWatermark("attempt_at", lateness)
-        .select("task_id", "attempt_no", "success", "event", F.unix_micros("attempt_at").alias("us"), "attempt_at")
+        .select("task_id", "attempt_no", "success", "event", F.unix_micros("attempt_at").alias("us"), _clock())
         .groupBy("task_id")
         .applyInPandasWithState(
-            advance, "task_id string, attempt_no long, state string, us long, retry_count long, next_us long",
+            advance, f"task_id string, attempt_no long, state string, us long, retry_count long, next_us long, {LATE} boolean",
             "count long, due long", "append", GroupStateTimeout.EventTimeTimeout)
         .select("task_id", "attempt_no", "state", F.timestamp_micros("us").alias("at"), "retry_count",
-                F.timestamp_micros("next_us").alias("next_retry_at"))
+                F.timestamp_micros("next_us").alias("next_retry_at"), LATE)
     )
 
 
@@ -152,15 +167,17 @@ def _thin(minute_micros: int = 60 * _MICROS):
     """First and last sighting of a code per key and minute, combined before the shuffle.
 
     A digest is sent at most once in a minute, so the first stands for all sightings before the
-    send and the last for all after it. A hot key shrinks to its distinct codes.
+    send and the last for all after it. A hot key shrinks to its distinct codes. ``n``: sightings that a row stands for.
     """
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if rows.empty:
                 continue
             slots = rows.groupby(["key", "code", rows["us"] // minute_micros], sort=False, dropna=False)["us"]
-            ends = pd.concat([slots.idxmin(), slots.idxmax()]).unique()
-            yield rows.loc[ends]
+            ends = slots.agg(["idxmin", "idxmax", "size"])
+            two = ends["idxmin"] != ends["idxmax"]
+            first, last = rows.loc[ends["idxmin"]], rows.loc[ends["idxmax"][two]]
+            yield pd.concat([first.assign(n=ends["size"].where(~two, 1).to_numpy()), last.assign(n=ends["size"][two].to_numpy() - 1)])
     return combine
 
 
@@ -170,12 +187,13 @@ def stream_daily_digest(events: DataFrame, delay_seconds: int = DIGEST_DELAY_SEC
 
     ``events``: key, ts, codes. Unlike the batch form a window may run past midnight, with the
     consequences that has: codes of the new day go out with the old timer, and the new day's own
-    timer can then send again. ``delay`` counts in whole minutes.
+    timer can then send again. ``delay`` counts in whole minutes. A late row has its own time as
+    ``send_at`` and as ``n_codes`` the sightings of the code in its minute that it stands for.
     """
     if delay_seconds % 60:
         raise ValueError("the digest delay must be whole minutes")
     delay = delay_seconds * _MICROS
-    columns = ["key", "day", "us", "n_codes", "code"]
+    columns = ["key", "day", "us", "n_codes", "code", LATE]
 
     def collect(key, batches, state: GroupState):
         day, codes, timers, scheduled, sent = state.get if state.exists else (None, [], [], False, False)
@@ -186,14 +204,17 @@ def stream_daily_digest(events: DataFrame, delay_seconds: int = DIGEST_DELAY_SEC
             while timers and timers[0] <= until:
                 at = timers.pop(0)
                 if codes:
-                    out.extend((key[0], day, at, len(codes), c) for c in sorted(codes))
+                    out.extend((key[0], day, at, len(codes), c, False) for c in sorted(codes))
                     codes, sent = set(), True
                 scheduled = False
 
         if state.hasTimedOut:
             fire(state.getCurrentWatermarkMs() * 1000)
         else:
-            for row in _in_order(batches, state, ["us"]).itertuples(index=False):
+            rows, late = _in_order(batches, state, ["us"])
+            out.extend((key[0], row.day, row.us, row.n, row.code, True) for row in late.itertuples(index=False))
+            fire(_floor(state))  # also if all rows are late
+            for row in rows.itertuples(index=False):
                 fire(row.us)
                 if row.day != day:
                     day, codes, scheduled, sent = int(row.day), set(), False, False
@@ -212,25 +233,26 @@ def stream_daily_digest(events: DataFrame, delay_seconds: int = DIGEST_DELAY_SEC
         .select("key", "ts", F.unix_micros("ts").alias("us"), F.unix_date(F.to_date("ts")).alias("day"),
                 F.explode("codes").alias("code"))
         .select("key", "us", "day", "code", "ts")
-        .mapInPandas(_thin(), "key string, us long, day int, code string, ts timestamp")
+        .mapInPandas(_thin(), "key string, us long, day int, code string, ts timestamp, n long")
         .withWatermark("ts", lateness)
+        .select("key", "us", "day", "code", "n", _clock())
         .groupBy("key")
         .applyInPandasWithState(
-            collect, "key string, day int, us long, n_codes long, code string",
+            collect, f"key string, day int, us long, n_codes long, code string, {LATE} boolean",
             "day int, codes array<string>, timers array<long>, scheduled boolean, sent boolean",
             "append", GroupStateTimeout.EventTimeTimeout)
         .select("key", F.date_from_unix_date("day").alias("digest_date"), F.timestamp_micros("us").alias("send_at"),
-                "n_codes", "code")
+                "n_codes", "code", LATE)
     )
 
 
 def stream_debounced_digest(events: DataFrame, delay_seconds: int, lateness: str = "0 seconds") -> DataFrame:
     """Submits open windows, codes wait for the end of one. One row per sent code.
 
-    ``events``: key, ts, tie, code; a NULL code is a submit.
+    ``events``: key, ts, tie, code; a NULL code is a submit. A late event has its own time as ``send_at`` and no position.
     """
     delay = delay_seconds * _MICROS
-    columns = ["key", "us", "position", "code"]
+    columns = ["key", "us", "position", "code", LATE]
 
     def collect(key, batches, state: GroupState):
         end, codes = state.get if state.exists else (None, [])
@@ -239,14 +261,17 @@ def stream_debounced_digest(events: DataFrame, delay_seconds: int, lateness: str
         def close(until: int) -> None:
             nonlocal end, codes
             if end is not None and end <= until:
-                out.extend((key[0], end, i, c) for i, c in enumerate(codes, 1))
+                out.extend((key[0], end, i, c, False) for i, c in enumerate(codes, 1))
                 end, codes = None, []
 
         if state.hasTimedOut:
             close(state.getCurrentWatermarkMs() * 1000)
         else:
+            rows, late = _in_order(batches, state, ["us", "tie"])
+            out.extend((key[0], row.us, None, row.code, True) for row in late.itertuples(index=False))
+            close(_floor(state))  # also if all rows are late
             known = set(codes)
-            for row in _in_order(batches, state, ["us", "tie"]).itertuples(index=False):
+            for row in rows.itertuples(index=False):
                 before = end
                 close(row.us)
                 if before is not None and end is None:
@@ -262,15 +287,15 @@ def stream_debounced_digest(events: DataFrame, delay_seconds: int, lateness: str
                 _wake_at(state, end)
         elif state.exists:
             state.remove()
-        yield pd.DataFrame(out, columns=columns)
+        yield pd.DataFrame(out, columns=columns).astype({"position": "Int64"})
 
     return (
         events.withWatermark("ts", lateness)
-        .select("key", "tie", "code", F.unix_micros("ts").alias("us"), "ts")
+        .select("key", "tie", "code", F.unix_micros("ts").alias("us"), _clock())
         .groupBy("key")
-        .applyInPandasWithState(collect, "key string, us long, position long, code string",
+        .applyInPandasWithState(collect, f"key string, us long, position long, code string, {LATE} boolean",
                                 "end long, codes array<string>", "append", GroupStateTimeout.EventTimeTimeout)
-        .select("key", F.timestamp_micros("us").alias("send_at"), "position", "code")
+        .select("key", F.timestamp_micros("us").alias("send_at"), "position", "code", LATE)
     )
 
 

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from orderloom.session import fresh_path
 
+#: Set in rows that came behind the watermark.
+LATE = "late"
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
@@ -32,7 +36,8 @@ def read_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: in
 def run_available(stream: DataFrame, label: str, mode: str = "append", root: str | None = None) -> DataFrame:
     """Process all input at hand and return what was written. For append-mode queries.
 
-    ``root`` names the folder of output and progress; given again, the stream goes on where it stopped.
+    ``root`` names the folder of output and progress; given again, the stream goes on where it stopped. Rows of ``out`` there with
+    ``late`` set came behind the watermark: they are not in the result, but in its attribute ``late``.
     """
     spark = stream.sparkSession
     root = root or fresh_path(spark, label)
@@ -40,7 +45,13 @@ def run_available(stream: DataFrame, label: str, mode: str = "append", root: str
              .option("checkpointLocation", f"{root}/state").option("path", f"{root}/out")
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+    written = spark.read.schema(stream.schema).parquet(f"{root}/out")
+    if LATE not in stream.columns:
+        return written
+    behind = F.coalesce(F.col(LATE), F.lit(False))
+    result = written.where(~behind).drop(LATE)
+    result.late = written.where(behind).drop(LATE)
+    return result
 
 
 def run_batches(stream: DataFrame, root: str, step, mode: str = "append") -> None:

@@ -191,6 +191,36 @@ def test_any_number_and_order_of_files(spark, tmp_path, name, files):
     assert oc.compare(spark, oc.connect(SF_DIR), str(tmp_path), name) is None
 
 
+EVENTS = "key string, ts timestamp, tie long, code string"
+
+
+@pytest.mark.parametrize("job, late", [
+    (lambda e: J.stream_idempotent(e.selectExpr("tie seq", "key task_id", "ts submitted_at")),
+     [("a", 4, at(10)), ("b", 5, at(20)), ("b", 6, at(20))]),
+    (lambda e: J.stream_retry_state(e.selectExpr("key task_id", "ts attempt_at", "tie attempt_no", "false success")),
+     [("a", 4, None, at(10), None, None), ("b", 5, None, at(20), None, None), ("b", 6, None, at(20), None, None)]),
+    (lambda e: J.stream_daily_digest(e.selectExpr("key", "ts", "tie event_id", "filter(array(code), c -> c IS NOT NULL) codes")),
+     [("a", T0.date(), at(10), 1, "x"), ("b", T0.date(), at(20), 2, "y")]),
+    (lambda e: J.stream_debounced_digest(e, 300),
+     [("a", at(10), None, "x"), ("b", at(20), None, "y"), ("b", at(20), None, "y")])])
+def test_late_rows_are_kept_apart(spark, tmp_path, job, late):
+    """A resumed stream whose later files hold earlier rows: behind the watermark of the batch before, and of the one before that."""
+    root = str(tmp_path / "state")
+
+    def run(*events):
+        spark.createDataFrame(events, EVENTS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        return run_available(job(read_stream(spark, str(tmp_path), "in")), "t", root=root)
+
+    assert run(("a", at(0), 0, None), ("a", at(1), 1, "x")).late.count() == 0
+    assert run(("c", at(5000), 2, "z")).late.count() == 0
+    before = run(("c", at(6000), 3, "z"))
+    assert before.late.count() == 0
+    before = {tuple(r) for r in before.collect()}
+    after = run(("a", at(10), 4, "x"), ("b", at(20), 5, "y"), ("b", at(20), 6, "y"))
+    assert sorted(tuple(r) for r in after.late.collect()) == late
+    assert {tuple(r) for r in after.collect()} == before and after.columns == after.late.columns and "late" not in after.columns
+
+
 def test_batches_rewrite_their_buckets_only_and_go_on_after_a_stop(spark, tmp_path):
     orders = frame(spark, [row(f"o{i}", "p", "1", updated_at=at(100_000 if i % 2 else 0)) for i in range(200)])
     folder, root = tmp_path / "ticks", str(tmp_path / "state")
