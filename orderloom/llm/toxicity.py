@@ -218,15 +218,18 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """doc_id, text, y: one row per picked doc_id, of its rows the one whose text has the smallest hash."""
     known = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.max("toxic").cast("int").alias("y")).where(~held_out(F.col("doc_id"))))
     picked = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in ((1, toxic), (0, clean))]
     few = picked[0].unionByName(picked[1])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id").select("doc_id", "text", "y")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few), "doc_id")
+    first = F.struct(F.col("text").isNull(), F.xxhash64("text"))
+    return rows.groupBy("doc_id").agg(F.min_by("text", first).alias("text"), F.max("y").alias("y"))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPLE_TOXIC, sample_clean: int = SAMPLE_CLEAN) -> Model:
-    """A model from a bounded sample of the labelled rows that are not held out; the sample is by hash of doc_id."""
+    """A model from a bounded sample of the labelled rows that are not held out: by hash of doc_id, one row for each."""
     def counted(stream):
         for batch in stream:
             seen: tuple[Counter, Counter] = (Counter(), Counter())

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from orderloom.llm import decontaminate, packing, permutation_index, simhash, suffix_array, toxicity
@@ -95,6 +96,23 @@ def test_toxicity(labelled):
         assert all(w.lower() in ("vile", "vileness", "rotten") for w in text[0][s["start"]:s["end"]].split())
 
 
+def test_repeated_documents_train_once(labelled):
+    docs, labels = labelled
+    rows_of = toxicity._sample(docs, labels, 50, 100).collect()
+    once = {r["doc_id"]: r["text"] for r in rows_of}
+    assert len(rows_of) == len(once)
+    hot = min(i for i, t in once.items() if "Vile" in t)
+    copies = docs.where(F.col("doc_id") == hot).withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(200)))).drop("_")
+    many = docs.unionByName(copies).unionByName(copies.limit(3).withColumn("text", F.lit(None).cast("string")))
+    sample = toxicity._sample(many, labels, 50, 100).collect()
+    assert len(sample) == len(once) and {r["doc_id"]: r["text"] for r in sample} == once
+    other = docs.unionByName(copies.withColumn("text", F.lit("neutral words")))
+    got = {tuple(sorted(r["text"] for r in toxicity._sample(d, labels, 50, 100).collect() if r["doc_id"] == hot)) for d in (other, other.repartition(7))}
+    assert len(got) == 1 and len(next(iter(got))) == 1
+    one, two = toxicity.train(docs, labels), toxicity.train(many, labels)
+    assert vars(one) == vars(two)
+
+
 def test_toxicity_without_labels(odd, empty, labelled):
     nothing = labelled[1].where("false")
     assert {r["score"] for r in toxicity.toxicity(odd, nothing).collect()} == {0.0}
