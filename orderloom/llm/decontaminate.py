@@ -1,9 +1,10 @@
 """Find benchmark passages in documents, also with words substituted, by spaced-seed hashing.
 
 A passage counts as leaked where ``width`` neighbouring words of an item stand in a document, in order, with ``mismatches``
-of them replaced at most (items of 5 to ``width - 1`` words: whole and unchanged; shorter ones are no evidence). Three masks of
+of them replaced at most (items of 5 to ``width - 1`` words: whole, with one replaced at most; shorter ones are no evidence). Three masks of
 five positions each look at any such stretch: whichever two of its ten words are replaced, one mask at one place sees
-only unchanged words. So equal mask hashes of item and document find every leak, and the words around each hit are compared.
+only unchanged words. For each length of shorter items that the benchmark has, three masks leave out a third of the item each.
+So equal mask hashes of item and document find every leak, and the words around each hit are compared.
 
 Words are runs of characters other than ASCII white space and punctuation, in lower case.
 
@@ -27,8 +28,12 @@ from orderloom.llm.workspace import Workspace, unused
 
 WIDTH = 10
 MISMATCHES = 2
+#: Words replaced at most in an item shorter than the width.
+SHORT_MISMATCHES = 1
 #: Together these see every stretch of ten words with two replaced (found by search over all 45 pairs of places).
 MASKS = ((0, 1, 2, 4, 5), (0, 2, 6, 7, 8), (0, 1, 3, 4, 9))
+#: Per length of a shorter item: each place is left out by one of the masks.
+SHORT_MASKS = {n: tuple(tuple(i for i in range(n) if i * 3 // n != third) for third in range(3)) for n in range(5, WIDTH)}
 SHORTEST = 5
 BITS = 25
 
@@ -55,16 +60,16 @@ SEEDS = T.StructType([T.StructField("id", T.LongType()), T.StructField("tag", T.
                       T.StructField("place", T.IntegerType())])
 
 
-def _seeds(masks: list[tuple[int, ...]], items: bool, bitmap=None):
-    """(id, tag, text) to the mask hashes of every place, or of those that the bitmap lets through."""
+def _seeds(masks: list[tuple[int, tuple[int, ...]]], items: bool, bitmap=None):
+    """(id, tag, text) to the hashes of every place by each mask (with its items' length), or of those that the bitmap lets through."""
     def batches(stream):
         bits = bitmap.value if bitmap is not None else None
         for batch in stream:
             out = [[], [], [], []]
             for id_, tag, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words = word_values(normalized(text))
-                for which, mask in enumerate(masks):
-                    if items and not _applies(mask, len(words)):
+                for which, (length, mask) in enumerate(masks):
+                    if items and min(len(words), WIDTH) != length:
                         continue
                     h = mask_hashes(words, mask, which)
                     at = np.arange(len(h), dtype=np.int32)
@@ -85,9 +90,11 @@ def _seeds(masks: list[tuple[int, ...]], items: bool, bitmap=None):
 NO_ID = -(1 << 63)
 
 
-def _applies(mask: tuple[int, ...], n_words: int) -> bool:
-    """Spaced masks serve items of the full width; a mask without gaps serves the items of just its length."""
-    return n_words >= WIDTH if mask in MASKS else n_words == len(mask)
+def _lengths(stream):
+    """Word counts of the items shorter than the width."""
+    for batch in stream:
+        of = {len(word_values(normalized(t))) for t in batch.column(0).to_pylist()}
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(of & SHORT_MASKS.keys()), pa.int32())], names=["length"])
 
 
 def _keyed(table: DataFrame, id_column: str) -> DataFrame:
@@ -121,7 +128,7 @@ def aligned_leaks(doc: np.ndarray, item: np.ndarray, shift: int) -> list[tuple[i
         return []
     equal = (item[low:high] == doc[low + shift:high + shift]).astype(np.int64)
     sums = np.concatenate(([0], np.cumsum(equal)))
-    good = sums[width:] - sums[:-width] >= width - (MISMATCHES if len(item) >= WIDTH else 0)
+    good = sums[width:] - sums[:-width] >= width - (MISMATCHES if len(item) >= WIDTH else SHORT_MISMATCHES)
     cover = np.zeros(len(equal) + 1, np.int64)
     at = np.flatnonzero(good)
     np.add.at(cover, at, 1)
@@ -155,7 +162,8 @@ def _verified(stream):
 def find(ws: Workspace, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Leaked stretches by id (null: a stand-in) and tag of the document."""
     texts, items = _keyed(docs, "doc_id"), _keyed(benchmark, "item_id").dropDuplicates(["id", "tag"])
-    masks = [*MASKS, *(tuple(range(n)) for n in range(SHORTEST, WIDTH))]
+    lengths = [r["length"] for r in items.select("text").mapInArrow(_lengths, "length int").distinct().collect()]  # five at most
+    masks = [(WIDTH, m) for m in MASKS] + [(n, m) for n in sorted(lengths) for m in SHORT_MASKS[n]]
     index = ws.store(items.mapInArrow(_seeds(masks, True), SEEDS), "index")
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(index))
     found = texts.mapInArrow(_seeds(masks, False, bitmap), SEEDS)

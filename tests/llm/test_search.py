@@ -167,6 +167,20 @@ def test_leaks(spark, bench, odd, empty):
     assert decontaminate.without_leaks(odd, bench).count() == odd.count()
 
 
+def test_short_items_with_one_substitution(spark):
+    items = {n: [f"s{n}x{i}" for i in range(n)] for n in range(4, 10)}
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    pairs, want = [], set()
+    for n, w in items.items():
+        for a in range(n):
+            pairs.append((100 * n + a, "before it " + " ".join("other" if i == a else x for i, x in enumerate(w)) + " after"))
+            want |= {(100 * n + a, n, n - 1)} if n >= 5 else set()
+        pairs.append((100 * n + 50, " ".join(w)))
+        want |= {(100 * n + 50, n, n)} if n >= 5 else set()
+        pairs.append((100 * n + 60, " ".join("other" if i in (1, n - 1) else x for i, x in enumerate(w)) + " end"))
+    assert set(rows(decontaminate.leaks(make(spark, pairs), bench), "doc_id", "item_id", "n_equal")) == want
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(3000, 24))
