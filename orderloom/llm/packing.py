@@ -75,7 +75,7 @@ class _Plan:
     def reduce(self) -> int:
         """Fix sets that dominate every other set with their longest piece; returns how many sequences they close.
 
-        With j the longest piece left and r the room beside it: {j} if nothing fits; {j, k} with k the longest
+        With j a piece left, longest first, and r the room beside it: {j} if nothing but itself fits; {j, k} with k the longest
         that fits if k fills the room exactly, or if no two pieces fit (then any other choice is one piece no
         longer than k). An exchange argument shows some best packing holds such a set.
         """
@@ -85,8 +85,9 @@ class _Plan:
             while self.left.get(j):
                 room, count = self.capacity - j, self.left[j]
                 fitting = bisect.bisect_right(self.sizes, room)
-                if not fitting or (self.sizes[0] == j and count == 1):
-                    self.fix((j,), count if not fitting else 1)
+                alone = fitting == 1 and self.sizes[0] == j and count == 1
+                if not fitting or alone:
+                    self.fix((j,), 1 if alone else count)
                     continue
                 k = self.sizes[fitting - 1]
                 if k == j and count == 1:
