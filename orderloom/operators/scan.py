@@ -40,7 +40,12 @@ class Chunks:
         return self.window().rowsBetween(Window.unboundedPreceding, -1)
 
     def onward(self) -> WindowSpec:
-        return self.window().rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        """The current row and all after it, as a running frame over the reverse order.
+
+        A frame that ends at the last row would be evaluated anew for every row; this one grows row by row.
+        """
+        back = [F.col(c).desc() for c in self.order]
+        return Window.partitionBy(CHUNK, *self.keys).orderBy(*back).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def summaries(self, scanned: DataFrame, **aggs: Column) -> DataFrame:
         """One row per (chunk, key) for keys that cross a chunk border; few rows by construction."""

@@ -1,3 +1,4 @@
+import bisect
 import datetime as dt
 import random
 
@@ -170,3 +171,22 @@ def test_debounced_digest(spark):
                     seen.append(c)
             want |= {(key, at(end), i, c) for i, c in enumerate(seen, 1)}
     assert {tuple(r)[:4] for r in got.collect()} == want
+
+
+def test_one_key_with_all_rows(spark):
+    """120,000 rows of one key in two chunks: right, and without a frame that is evaluated anew for every row."""
+    rng = random.Random(13)
+    times = [rng.randrange(3_000_000) for _ in range(60_000)]
+    marks = sorted(rng.randrange(3_000_000) for _ in range(60_000))
+    e = spark.createDataFrame([("k", t, i) for i, t in enumerate(times)], "k string, t long, i long")
+    m = spark.createDataFrame([("k", t) for t in marks], "k string, t long")
+    found = scan.next_mark(e, m, ["k"], "t", "n", width=2)
+    assert "currentrow$(),unboundedfollowing$()" not in found._jdf.queryExecution().toString().lower().replace(" ", "")
+    got = {r.i: r.n for r in found.collect()}
+    want = {}
+    for i, t in enumerate(times):
+        j = bisect.bisect_left(marks, t)
+        want[i] = marks[j] if j < len(marks) else None
+    assert got == want
+    kept = scan.greedy_spacing(m, ["k"], "t", 700, width=2).collect()
+    assert sorted(r.t for r in kept) == brute_spacing(marks, 700)
