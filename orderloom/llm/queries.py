@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import (debruijn, decontaminate, packing, permutation_index, sharding, simhash, suffix_array, token_count,
-                            token_planes, toxicity)
+from orderloom.llm import (conversations, debruijn, decontaminate, licenses, packing, permutation_index, sharding, simhash, suffix_array,
+                            token_count, token_planes, toxicity, whitening)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -60,9 +60,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_best_fit_packing, op2_feistel_sharding, op3_toxicity, op4_simhash, op5_suffix_array, op6_token_counts,
-                             op7_debruijn, op8_token_planes, op9_permutation_index, op10_decontamination)}
+                             op7_debruijn, op8_token_planes, op9_permutation_index, op10_decontamination, op11_license_scan, op12_conversation_repair,
+                             op13_whitening)}
 
 #: Every query of this subpackage runs on text bytes, trained models or iterated joins that SQL has no words for;
 #: tests/llm holds each against a brute-force version.
