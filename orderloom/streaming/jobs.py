@@ -9,11 +9,11 @@ order. Rows older than the watermark take no part; the jobs below up to the dige
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from orderloom.functions.backoff import (
     CONSTANT_SECONDS, EXPONENTIAL_BASE_SECONDS, EXPONENTIAL_CAP_SECONDS, EXPONENTIAL_MAX_POWER, POLICY_ATTEMPTS,
@@ -24,29 +24,15 @@ from orderloom.operators import replies as R
 from orderloom.operators.digest import DIGEST_DELAY_SECONDS
 from orderloom.operators.schedule import RETENTION_SECONDS
 from orderloom.session import fresh_path, materialize
+from orderloom.streaming.processors import MICROS, Accept, Daily, Debounce, Fold, Retry
 from orderloom.streaming.sinks import BATCH, LATE, BucketedTable, exists, run_batches, version_path, versions
 
-_MICROS = 1_000_000
 
-
-def _clock() -> Column:
-    """The event-time column that Spark tests before the fold: the year 2261, so that the fold sees late rows too."""
-    return F.timestamp_micros(F.lit(9_200_000_000_000_000)).alias("clock", metadata={"spark.watermarkDelayMs": 0})
-
-
-def _floor(state: GroupState) -> int:
-    return state.getCurrentWatermarkMs() * 1000
-
-
-def _in_order(batches: Iterator[pd.DataFrame], state: GroupState, columns: list[str]) -> tuple[pd.DataFrame, pd.DataFrame]:
-    """The key's rows of this micro-batch by time, and those behind the watermark."""
-    rows = pd.concat([b for b in batches], ignore_index=True)
-    late = rows["us"] < _floor(state)
-    return rows[~late].sort_values(columns, kind="stable"), rows[late]
-
-
-def _wake_at(state: GroupState, micros: int) -> None:
-    state.setTimeoutTimestamp(max(-(-micros // 1000), state.getCurrentWatermarkMs() + 1))
+def _fold(rows: DataFrame, key: str, at: str, lateness: str, columns: dict[str, Column], processor: Fold, out: str) -> DataFrame:
+    """A processor over the rows of each key. The time goes in as a number, so that the processor sees late rows too."""
+    return (rows.withWatermark(at, lateness)
+            .select(key, F.unix_micros(at).alias("us"), *[c.alias(n) for n, c in columns.items()])
+            .groupBy(key).transformWithStateInPandas(processor, f"{out}, {LATE} boolean", "append", "EventTime"))
 
 
 # --- idempotent submission --------------------------------------------------------------------
@@ -62,32 +48,9 @@ def stream_idempotent(requests: DataFrame, retention_seconds: int = RETENTION_SE
     if not exact:
         return (marked.withWatermark("submitted_at", f"{retention_seconds} seconds")
                 .dropDuplicatesWithinWatermark(["task_id"]))
-    keep_for = retention_seconds * _MICROS
-
-    def accept(key, batches, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        (last,) = state.get if state.exists else (None,)
-        rows, late = _in_order(batches, state, ["us", "seq"])
-        kept = [(key[0], row.seq, row.us, True) for row in late.itertuples(index=False)]
-        for row in rows.itertuples(index=False):
-            if last is None or row.us - last >= keep_for:
-                last = row.us
-                kept.append((key[0], row.seq, row.us, False))
-        if last is not None:
-            state.update((last,))
-            _wake_at(state, last + keep_for)
-        yield pd.DataFrame(kept, columns=["task_id", "seq", "us", LATE])
-
-    return (
-        marked.withWatermark("submitted_at", lateness)
-        .select("task_id", "seq", F.unix_micros("submitted_at").alias("us"), _clock())
-        .groupBy("task_id")
-        .applyInPandasWithState(accept, f"task_id string, seq long, us long, {LATE} boolean", "last long", "append",
-                                GroupStateTimeout.EventTimeTimeout)
-        .select("task_id", "seq", F.timestamp_micros("us").alias("submitted_at"), LATE)
-    )
+    return (_fold(marked, "task_id", "submitted_at", lateness, {"seq": F.col("seq")}, Accept(retention_seconds * MICROS),
+                  "task_id string, seq long, us long")
+            .select("task_id", "seq", F.timestamp_micros("us").alias("submitted_at"), LATE))
 
 
 # --- retry state ------------------------------------------------------------------------------
@@ -113,57 +76,16 @@ def stream_retry_state(attempts: DataFrame, mode: str = "exponential", lateness:
     """
     if "event" not in attempts.columns:
         attempts = attempts.withColumn("event", F.lit("finished"))
-    columns = ["task_id", "attempt_no", "state", "us", "retry_count", "next_us", LATE]
-
-    def advance(key, batches, state: GroupState):
-        count, due = state.get if state.exists else (0, None)
-        if state.hasTimedOut:
-            state.update((count, None))
-            yield pd.DataFrame([(key[0], None, "retry_due", due, count, None, False)], columns=columns).astype(
-                {"attempt_no": "Int64", "next_us": "Int64"})
-            return
-        rows, late = _in_order(batches, state, ["us", "attempt_no"])
-        out = [(key[0], row.attempt_no, None, row.us, None, None, True) for row in late.itertuples(index=False)]
-        if due is not None and due < _floor(state):  # also if all rows are late
-            out.append((key[0], None, "retry_due", due, count, None, False))
-            due = None
-        for row in rows.itertuples(index=False):
-            if due is not None and due < row.us:
-                out.append((key[0], None, "retry_due", due, count, None, False))
-            if row.event in ("submitted", "started"):
-                due = None
-                out.append((key[0], row.attempt_no, "pending" if row.event == "submitted" else "running", row.us, count, None, False))
-            elif row.success:
-                count, due = 0, None
-                out.append((key[0], row.attempt_no, "cleared", row.us, 0, None, False))
-            else:
-                count += 1
-                delay = _delay_seconds(count, mode)
-                due = None if delay is None else row.us + delay * _MICROS
-                out.append((key[0], row.attempt_no, "paused" if delay is None else "needs_retry", row.us, count, due, False))
-        if count:
-            state.update((count, due))
-            if due is not None:
-                _wake_at(state, due)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=columns).astype({"attempt_no": "Int64", "retry_count": "Int64", "next_us": "Int64"})
-
-    return (
-        attempts.withWatermark("attempt_at", lateness)
-        .select("task_id", "attempt_no", "success", "event", F.unix_micros("attempt_at").alias("us"), _clock())
-        .groupBy("task_id")
-        .applyInPandasWithState(
-            advance, f"task_id string, attempt_no long, state string, us long, retry_count long, next_us long, {LATE} boolean",
-            "count long, due long", "append", GroupStateTimeout.EventTimeTimeout)
-        .select("task_id", "attempt_no", "state", F.timestamp_micros("us").alias("at"), "retry_count",
-                F.timestamp_micros("next_us").alias("next_retry_at"), LATE)
-    )
+    columns = {c: F.col(c) for c in ("attempt_no", "event", "success")}
+    return (_fold(attempts, "task_id", "attempt_at", lateness, columns, Retry(partial(_delay_seconds, mode=mode)),
+                  "task_id string, attempt_no long, state string, us long, retry_count long, next_us long")
+            .select("task_id", "attempt_no", "state", F.timestamp_micros("us").alias("at"), "retry_count",
+                    F.timestamp_micros("next_us").alias("next_retry_at"), LATE))
 
 
 # --- digests ----------------------------------------------------------------------------------
 
-def _thin(minute_micros: int = 60 * _MICROS):
+def _thin(minute_micros: int = 60 * MICROS):
     """First and last sighting of a code per key and minute, combined before the shuffle.
 
     A digest is sent at most once in a minute, so the first stands for all sightings before the
@@ -192,58 +114,14 @@ def stream_daily_digest(events: DataFrame, delay_seconds: int = DIGEST_DELAY_SEC
     """
     if delay_seconds % 60:
         raise ValueError("the digest delay must be whole minutes")
-    delay = delay_seconds * _MICROS
-    columns = ["key", "day", "us", "n_codes", "code", LATE]
-
-    def collect(key, batches, state: GroupState):
-        day, codes, timers, scheduled, sent = state.get if state.exists else (None, [], [], False, False)
-        codes, timers, out = set(codes), list(timers), []
-
-        def fire(until: int) -> None:
-            nonlocal codes, scheduled, sent
-            while timers and timers[0] <= until:
-                at = timers.pop(0)
-                if codes:
-                    out.extend((key[0], day, at, len(codes), c, False) for c in sorted(codes))
-                    codes, sent = set(), True
-                scheduled = False
-
-        if state.hasTimedOut:
-            fire(state.getCurrentWatermarkMs() * 1000)
-        else:
-            rows, late = _in_order(batches, state, ["us"])
-            out.extend((key[0], row.day, row.us, row.n, row.code, True) for row in late.itertuples(index=False))
-            fire(_floor(state))  # also if all rows are late
-            for row in rows.itertuples(index=False):
-                fire(row.us)
-                if row.day != day:
-                    day, codes, scheduled, sent = int(row.day), set(), False, False
-                codes.add(row.code)
-                if not sent and not scheduled:
-                    scheduled = True
-                    timers.append(row.us + delay)
-        if day is not None:
-            state.update((day, sorted(codes), timers, scheduled, sent))
-            if timers:
-                _wake_at(state, timers[0])
-        yield pd.DataFrame(out, columns=columns)
-
-    return (
-        events
-        .select("key", "ts", F.unix_micros("ts").alias("us"), F.unix_date(F.to_date("ts")).alias("day"),
-                F.explode("codes").alias("code"))
-        .select("key", "us", "day", "code", "ts")
-        .mapInPandas(_thin(), "key string, us long, day int, code string, ts timestamp, n long")
-        .withWatermark("ts", lateness)
-        .select("key", "us", "day", "code", "n", _clock())
-        .groupBy("key")
-        .applyInPandasWithState(
-            collect, f"key string, day int, us long, n_codes long, code string, {LATE} boolean",
-            "day int, codes array<string>, timers array<long>, scheduled boolean, sent boolean",
-            "append", GroupStateTimeout.EventTimeTimeout)
-        .select("key", F.date_from_unix_date("day").alias("digest_date"), F.timestamp_micros("us").alias("send_at"),
-                "n_codes", "code", LATE)
-    )
+    seen = (events
+            .select("key", "ts", F.unix_micros("ts").alias("us"), F.unix_date(F.to_date("ts")).alias("day"), F.explode("codes").alias("code"))
+            .select("key", "us", "day", "code", "ts")
+            .mapInPandas(_thin(), "key string, us long, day int, code string, ts timestamp, n long"))
+    return (_fold(seen, "key", "ts", lateness, {c: F.col(c) for c in ("code", "day", "n")}, Daily(delay_seconds * MICROS),
+                  "key string, day int, us long, n_codes long, code string")
+            .select("key", F.date_from_unix_date("day").alias("digest_date"), F.timestamp_micros("us").alias("send_at"),
+                    "n_codes", "code", LATE))
 
 
 def stream_debounced_digest(events: DataFrame, delay_seconds: int, lateness: str = "0 seconds") -> DataFrame:
@@ -251,52 +129,9 @@ def stream_debounced_digest(events: DataFrame, delay_seconds: int, lateness: str
 
     ``events``: key, ts, tie, code; a NULL code is a submit. A late event has its own time as ``send_at`` and no position.
     """
-    delay = delay_seconds * _MICROS
-    columns = ["key", "us", "position", "code", LATE]
-
-    def collect(key, batches, state: GroupState):
-        end, codes = state.get if state.exists else (None, [])
-        codes, out = list(codes), []
-
-        def close(until: int) -> None:
-            nonlocal end, codes
-            if end is not None and end <= until:
-                out.extend((key[0], end, i, c, False) for i, c in enumerate(codes, 1))
-                end, codes = None, []
-
-        if state.hasTimedOut:
-            close(state.getCurrentWatermarkMs() * 1000)
-        else:
-            rows, late = _in_order(batches, state, ["us", "tie"])
-            out.extend((key[0], row.us, None, row.code, True) for row in late.itertuples(index=False))
-            close(_floor(state))  # also if all rows are late
-            known = set(codes)
-            for row in rows.itertuples(index=False):
-                before = end
-                close(row.us)
-                if before is not None and end is None:
-                    known = set()
-                if row.code is None:
-                    end = row.us + delay if end is None else end
-                elif row.code not in known:
-                    known.add(row.code)
-                    codes.append(row.code)
-        if end is not None or codes:
-            state.update((end, codes))
-            if end is not None:
-                _wake_at(state, end)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=columns).astype({"position": "Int64"})
-
-    return (
-        events.withWatermark("ts", lateness)
-        .select("key", "tie", "code", F.unix_micros("ts").alias("us"), _clock())
-        .groupBy("key")
-        .applyInPandasWithState(collect, f"key string, us long, position long, code string, {LATE} boolean",
-                                "end long, codes array<string>", "append", GroupStateTimeout.EventTimeTimeout)
-        .select("key", F.timestamp_micros("us").alias("send_at"), "position", "code", LATE)
-    )
+    return (_fold(events, "key", "ts", lateness, {"tie": F.col("tie"), "code": F.col("code")}, Debounce(delay_seconds * MICROS),
+                  "key string, us long, position long, code string")
+            .select("key", F.timestamp_micros("us").alias("send_at"), "position", "code", LATE))
 
 
 # --- tables kept up to date -------------------------------------------------------------------

@@ -6,8 +6,9 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from orderloom.session import fresh_path
+from orderloom.session import DEFAULTS, fresh_path
 
 #: Set in rows that came behind the watermark.
 LATE = "late"
@@ -33,6 +34,21 @@ def read_stream(spark: SparkSession, sf_dir: str, name: str, files_per_batch: in
     return reader.option("pathGlobFilter", name).parquet(sf_dir)
 
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def _to_end(writer: DataStreamWriter, root: str) -> None:
+    """Run the stream over all input at hand. Its state is in RocksDB, which the processors need, whatever the session's setting."""
+    conf = SparkSession.active().conf
+    before = conf.get(PROVIDER, None)
+    conf.set(PROVIDER, DEFAULTS[PROVIDER])
+    try:
+        query = writer.option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()  # takes a copy of the settings
+    finally:
+        conf.unset(PROVIDER) if before is None else conf.set(PROVIDER, before)
+    query.awaitTermination()
+
+
 def run_available(stream: DataFrame, label: str, mode: str = "append", root: str | None = None) -> DataFrame:
     """Process all input at hand and return what was written. For append-mode queries.
 
@@ -41,10 +57,7 @@ def run_available(stream: DataFrame, label: str, mode: str = "append", root: str
     """
     spark = stream.sparkSession
     root = root or fresh_path(spark, label)
-    query = (stream.writeStream.format("parquet").outputMode(mode)
-             .option("checkpointLocation", f"{root}/state").option("path", f"{root}/out")
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    _to_end(stream.writeStream.format("parquet").outputMode(mode).option("path", f"{root}/out"), root)
     written = spark.read.schema(stream.schema).parquet(f"{root}/out")
     if LATE not in stream.columns:
         return written
@@ -59,9 +72,7 @@ def run_batches(stream: DataFrame, root: str, step, mode: str = "append") -> Non
     def each(batch: DataFrame, batch_id: int) -> None:
         step(batch, batch_id)
 
-    query = (stream.writeStream.outputMode(mode).foreachBatch(each)
-             .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start())
-    query.awaitTermination()
+    _to_end(stream.writeStream.outputMode(mode).foreachBatch(each), root)
 
 
 BATCH = "batch_id"

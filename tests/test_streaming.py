@@ -9,6 +9,7 @@ from orderloom.operators import ledger as L
 from orderloom.operators import replies as R
 from orderloom.operators import schedule as S
 from orderloom.streaming import jobs as J
+from orderloom.streaming import processors as P
 from orderloom.streaming.sinks import read_stream, run_available
 from tests import oracle_check as oc
 from tests.test_queries import SF_DIR
@@ -242,3 +243,42 @@ def test_batches_rewrite_their_buckets_only_and_go_on_after_a_stop(spark, tmp_pa
     assert got.count() == 201
     assert spark.read.parquet(f"{root}/written").where("batch_id >= 0").count() == 1
     assert J.run_ledger(attempts, lambda failing: lines, orders, root=root).count() == 201
+
+
+def held_little(processor):
+    processor.held, processor.fresh, processor.known = 40, 3, 2
+    return processor
+
+
+@pytest.mark.parametrize("pieces", [1, 3])
+def test_one_hot_key_through_the_state_store(spark, tmp_path, pieces):
+    """All rows under one key, far more than are held in memory: sorted runs, and codes as entries of the state store."""
+    rng = random.Random(21)
+    rows = sorted([("hot", at(rng.randrange(9000)), i, rng.choice([None, *(f"c{rng.randrange(40)}" for _ in range(4))])) for i in range(1500)],
+                  key=lambda r: r[1:3])
+    schema = "key string, ts timestamp, tie long, code string"
+    size = -(-len(rows) // pieces)
+    for i in range(pieces):  # in order from file to file, shuffled inside
+        part = rows[i * size:(i + 1) * size]
+        spark.createDataFrame(rng.sample(part, len(part)), schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    spark.createDataFrame([("z", at(90000), 9999, "q")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = read_stream(spark, str(tmp_path), "in", files_per_batch=1)
+    df = spark.createDataFrame(rows, schema)
+
+    debounced = J._fold(stream, "key", "ts", "0 seconds", {"tie": F.col("tie"), "code": F.col("code")}, held_little(P.Debounce(600 * P.MICROS)),
+                        "key string, us long, position long, code string")
+    want = D.debounced_digest(df.where("code IS NULL"), df.where("code IS NOT NULL"), 600).collect()
+    got = run_available(debounced, "t").select("key", F.timestamp_micros("us"), "position", "code").collect()
+    assert sorted(tuple(r) for r in got) == sorted(tuple(r)[:4] for r in want)
+
+    accepted = J._fold(stream, "key", "ts", "0 seconds", {"seq": F.col("tie")}, held_little(P.Accept(50 * P.MICROS)), "task_id string, seq long, us long")
+    want = S.idempotent_requests(df.selectExpr("tie seq", "key task_id", "ts submitted_at"), 50).collect()
+    assert {r.seq for r in run_available(accepted, "t").where("task_id = 'hot'").collect()} == {r.seq for r in want}
+
+    tried = df.selectExpr("key task_id", "ts attempt_at", "tie attempt_no", "coalesce(code < 'c2', false) success")
+    columns = {"attempt_no": F.col("tie"), "event": F.lit("finished"), "success": F.expr("coalesce(code < 'c2', false)")}
+    counted = J._fold(stream, "key", "ts", "0 seconds", columns, held_little(P.Retry(lambda count: 7)),
+                      "task_id string, attempt_no long, state string, us long, retry_count long, next_us long")
+    want = {r.attempt_no: r.retry_count for r in S.retry_count(tried, tie="attempt_no").collect()}
+    got = run_available(counted, "t").where("task_id = 'hot' AND attempt_no IS NOT NULL").collect()
+    assert {r.attempt_no: r.retry_count for r in got} == want
