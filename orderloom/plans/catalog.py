@@ -566,3 +566,14 @@ def stream_cleanup(spark, d):
     # The clock ticks with the order dates, so that it passes through the ledger's whole time.
     ticks = read_stream(spark, d, "orders.parquet").select(I.instant("o_orderdate").alias("now"))
     return J.run_cleanup(ticks, I.ledger(spark, d))
+
+
+@query
+def stream_retention(spark, d):
+    """The same by time to live: ledger rows as a stream of files, each an entry of the state store until it expires."""
+    orders = I.ledger(spark, d)
+    folder = fresh_path(spark, "ledger-rows")
+    orders.write.parquet(folder)
+    lines = spark.readStream.schema(orders.schema).parquet(folder)
+    ticks = read_stream(spark, d, "orders.parquet").select(I.instant("o_orderdate").alias("now"))
+    return J.run_retention(lines, ticks, orders)

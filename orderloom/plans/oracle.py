@@ -464,5 +464,6 @@ add("stream_debounced_digest", """sd AS (SELECT 'K' || user_id % 5 AS key, ts, e
     "fsn AS (SELECT key, end_ts, code, min((ts, event_id)) AS f FROM sent GROUP BY 1, 2, 3)", recursive=True, final="""
   SELECT key, end_ts::VARCHAR AS send_at, row_number() OVER (PARTITION BY key, end_ts ORDER BY f) AS position, code FROM fsn""")
 add("stream_daily_stats", _DEC, final=_STATS)
-add("stream_cleanup", _ORD, _LINES, _LEDGER, final=f"""SELECT {_shown()} FROM led
+for _name in ("stream_cleanup", "stream_retention"):
+    add(_name, _ORD, _LINES, _LEDGER, final=f"""SELECT {_shown()} FROM led
   WHERE NOT {_EXPIRED.format("(SELECT max(o_orderdate) FROM orders)")}""")

@@ -14,6 +14,7 @@ from functools import partial
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.functions.backoff import (
     CONSTANT_SECONDS, EXPONENTIAL_BASE_SECONDS, EXPONENTIAL_CAP_SECONDS, EXPONENTIAL_MAX_POWER, POLICY_ATTEMPTS,
@@ -23,9 +24,10 @@ from orderloom.operators import ledger as L
 from orderloom.operators import replies as R
 from orderloom.operators.digest import DIGEST_DELAY_SECONDS
 from orderloom.operators.schedule import RETENTION_SECONDS
+from orderloom.schema import LINE_KEY
 from orderloom.session import fresh_path, materialize
-from orderloom.streaming.processors import MICROS, Accept, Daily, Debounce, Fold, Retry
-from orderloom.streaming.sinks import BATCH, LATE, BucketedTable, exists, run_batches, version_path, versions
+from orderloom.streaming.processors import MICROS, Accept, Daily, Debounce, Expire, Fold, Retry, Totals
+from orderloom.streaming.sinks import BATCH, LATE, BucketedTable, exists, run_available, run_batches, version_path, versions
 
 
 def _fold(rows: DataFrame, key: str, at: str, lateness: str, columns: dict[str, Column], processor: Fold, out: str) -> DataFrame:
@@ -136,29 +138,97 @@ def stream_debounced_digest(events: DataFrame, delay_seconds: int, lateness: str
 
 # --- tables kept up to date -------------------------------------------------------------------
 
+def _parts_of_days(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per day of a batch of rows, before the shuffle."""
+    for rows in batches:
+        if not rows.empty:
+            yield rows.groupby(["day", "day_end"], as_index=False).agg(
+                completed=("completed", "sum"), failed=("failed", "sum"), last=("last", "max"), n=("last", "size"), at=("at", "max"))
+
+
 def stream_daily_stats(attempts: DataFrame, at: str = "attempt_at", lateness: str = "2 days") -> DataFrame:
-    """Running daily statistics; run in update mode. Partial sums combine before the shuffle."""
-    return (
-        attempts.withWatermark(at, lateness).groupBy(F.window(at, "1 day"))
-        .agg(F.count_if(F.col("success")).alias("completed_tasks"),
-             F.count_if(~F.col("success")).alias("failed_tasks"), F.max(at).alias("last_updated"))
-        .select(F.to_date("window.start").alias("stat_date"), "completed_tasks", "failed_tasks", "last_updated")
-    )
+    """Running daily statistics, a row whenever a day changes; run in update mode. Attempts without a time are left out.
+
+    ``n`` counts the attempts in a row. Those of a day that was over by the watermark don't count; their rows have ``late`` set.
+    """
+    day, yes = F.to_date(at), F.col("success")
+    parts = (attempts.where(F.col(at).isNotNull())
+             .select(F.unix_date(day).alias("day"), F.unix_micros(F.date_add(day, 1).cast("timestamp")).alias("day_end"),
+                     F.coalesce(yes, F.lit(False)).cast("int").alias("completed"), F.coalesce(~yes, F.lit(False)).cast("int").alias("failed"),
+                     F.unix_micros(at).alias("last"), F.col(at).alias("at"))
+             .mapInPandas(_parts_of_days, "day int, day_end long, completed long, failed long, last long, n long, at timestamp"))
+    return (parts.withWatermark("at", lateness).drop("at").groupBy("day")
+            .transformWithStateInPandas(Totals(), f"day int, completed long, failed long, last long, n long, {LATE} boolean", "update", "EventTime")
+            .select(F.date_from_unix_date("day").alias("stat_date"), F.col("completed").alias("completed_tasks"),
+                    F.col("failed").alias("failed_tasks"), F.timestamp_micros("last").alias("last_updated"), "n", LATE))
 
 
 def run_daily_stats(attempts: DataFrame, root: str | None = None) -> DataFrame:
-    """Runs the statistics over all input at hand; the last word per date stands."""
+    """Runs the statistics over all input at hand; the last word per date stands.
+
+    The result's attribute ``late`` has, per date, the attempts that came after its day was closed: stat_date, completed_tasks,
+    failed_tasks, last_updated, n.
+    """
     root = root or fresh_path(attempts.sparkSession, "daily-stats")
     stats = stream_daily_stats(attempts)
     run_batches(stats, root, lambda batch, batch_id: batch.write.mode("overwrite").parquet(version_path(root, batch_id)), mode="update")
     spark = attempts.sparkSession
-    if not exists(spark, versions(root)):
-        return spark.createDataFrame([], stats.schema)
-    # one read of a table partitioned by batch, however many batches there were
-    every = spark.read.option("basePath", versions(root)).parquet(versions(root))
-    return (every.groupBy("stat_date")
-            .agg(F.max_by(F.struct("completed_tasks", "failed_tasks", "last_updated"), BATCH).alias("_s"))
-            .select("stat_date", "_s.*"))
+    schema = T.StructType([*stats.schema.fields, T.StructField(BATCH, T.LongType())])
+    if exists(spark, versions(root)):
+        # one read of a table partitioned by batch, however many batches there were
+        every = spark.read.schema(schema).option("basePath", versions(root)).parquet(versions(root))
+    else:
+        every = spark.createDataFrame([], schema)
+    kept = ("completed_tasks", "failed_tasks", "last_updated")
+    result = (every.where(~F.col(LATE)).groupBy("stat_date").agg(F.max_by(F.struct(*kept), BATCH).alias("_s")).select("stat_date", "_s.*"))
+    result.late = (every.where(LATE).groupBy("stat_date")
+                   .agg(*[F.sum(c).alias(c) for c in kept[:2]], F.max("last_updated").alias("last_updated"), F.sum("n").alias("n")))
+    return result
+
+
+#: What tells a ledger line apart, but for its time: equal lines expire together.
+_LINE = [*LINE_KEY, "line_hash"]
+
+
+def _with_line(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("line_hash", F.xxhash64(*orders.columns)).withColumn("us", F.unix_micros("updated_at"))
+
+
+def _last_tick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in batches:
+        if not rows.empty:
+            yield rows[rows["clock"] == rows["clock"].max()].head(1)
+
+
+def stream_retention(lines: DataFrame, ticks: DataFrame, days: int = L.RETENTION_DAYS) -> DataFrame:
+    """The ledger lines whose retention ends, as it ends: order_id, product_code, imei, line_hash, us.
+
+    ``lines``: ledger rows as they come. ``ticks`` carry the current time in ``now``; nothing else moves the clock. Each retrying line is an
+    entry of the state store with its time to live, so expiry reads and rewrites no table.
+    """
+    names = [*_LINE, "us"]
+    # numbers travel as text: a null among them, as the clock has, would turn them into floats on the way
+    waiting = (_with_line(lines.where("status = 'needs_retry' AND updated_at IS NOT NULL"))
+               .select(F.timestamp_micros(F.lit(0)).alias("clock"), *[F.col(c).cast("string").alias(c) for c in names]))
+    clock = ticks.where("now IS NOT NULL").select(
+        F.col("now").cast("timestamp").alias("clock"), *[F.lit(None).cast("string").alias(c) for c in names])
+    both = waiting.unionByName(clock.mapInPandas(_last_tick, clock.schema))
+    return (both.withWatermark("clock", "0 seconds").select(*names).groupBy(*names)  # without the clock no line counts as late
+            .transformWithStateInPandas(Expire(days * 86_400 * MICROS, names), ", ".join(f"{c} string" for c in names), "append", "EventTime")
+            .select(*LINE_KEY, F.col("line_hash").cast("long"), F.col("us").cast("long")))
+
+
+def run_retention(lines: DataFrame, ticks: DataFrame, orders: DataFrame, days: int = L.RETENTION_DAYS, root: str | None = None) -> DataFrame:
+    """``orders`` without the lines that expired by the last tick. ``lines`` is the stream of its rows. The expired lines are appended to a
+    table of their own under ``root``, which the result leaves out when it is read; they are in its attribute ``expired``."""
+    expired = run_available(stream_retention(lines, ticks, days), "retention", root=root)
+    gone = expired.select(*[F.col(c).alias(f"_{c}") for c in (*_LINE, "us")]).distinct()
+    same = F.lit(True)
+    for c in (*_LINE, "us"):
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    result = _with_line(orders).join(gone, same & (F.col("status") == "needs_retry"), "left_anti").select(*orders.columns)
+    result.expired = expired
+    return result
 
 
 def _expire(table: BucketedTable, rows: DataFrame, now, days: int, batch_id: int, changed: set[int]) -> tuple[DataFrame, set[int]]:

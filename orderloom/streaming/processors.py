@@ -381,3 +381,68 @@ class Daily(Fold):
         self._load()
         yield from self._fire(key, now - 1)  # strictly before
         self._save()
+
+
+class Totals(StatefulProcessor):
+    """Sums per day. Parts of a day that ended before the watermark are returned apart, with the rows that they stand for."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sums = handle.getValueState("sums", "completed long, failed long, last long, n long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        completed = failed = n = 0
+        last = end = None
+        for part in rows:
+            completed, failed, n = completed + int(part["completed"].sum()), failed + int(part["failed"].sum()), n + int(part["n"].sum())
+            last = max(int(part["last"].max()), last or int(part["last"].max()))
+            end = int(part["day_end"].iloc[0])
+        late = end <= timerValues.getCurrentWatermarkInMs() * 1000
+        if not late:
+            before = self.sums.get()
+            if before is None:
+                self.handle.registerTimer(end // 1000)
+                before = (0, 0, last, 0)
+            completed, failed, last, n = before[0] + completed, before[1] + failed, max(before[2], last), before[3] + n
+            self.sums.update((completed, failed, last, n))
+        yield pd.DataFrame({"day": [key[0]], "completed": [completed], "failed": [failed], "last": [last], "n": [n], "late": [late]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.sums.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+class Expire(StatefulProcessor):
+    """A state entry per line until its time to live is over; then its key is returned. Keys end in the line's time."""
+
+    def __init__(self, live: int, names: list[str]):
+        self.live, self.names = live, names
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.line = handle.getValueState("line", "us long")
+
+    def _returned(self, key) -> pd.DataFrame:
+        return pd.DataFrame([tuple(key)], columns=self.names)
+
+    def handleInputRows(self, key, rows, timerValues):
+        for _ in rows:
+            pass
+        if key[-1] is None:  # the clock
+            return
+        now, us = timerValues.getCurrentWatermarkInMs() * 1000, int(key[-1])
+        if us + self.live < now:
+            yield self._returned(key)
+        elif not self.line.exists():
+            self.line.update((us,))
+            self.handle.registerTimer((us + self.live) // 1000 + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.line.clear()
+        yield self._returned(key)
+
+    def close(self) -> None:
+        pass

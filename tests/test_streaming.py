@@ -282,3 +282,40 @@ def test_one_hot_key_through_the_state_store(spark, tmp_path, pieces):
     want = {r.attempt_no: r.retry_count for r in S.retry_count(tried, tie="attempt_no").collect()}
     got = run_available(counted, "t").where("task_id = 'hot' AND attempt_no IS NOT NULL").collect()
     assert {r.attempt_no: r.retry_count for r in got} == want
+
+
+def test_daily_stats_count_what_comes_too_late(spark, tmp_path):
+    """A resumed stream whose later files hold rows of days that are over: they are reported, no more and no less, and change nothing."""
+    root = str(tmp_path / "state")
+
+    def run(*rows):
+        spark.createDataFrame(rows, "attempt_at timestamp, success boolean").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        return J.run_daily_stats(read_stream(spark, str(tmp_path), "in"), root)
+
+    day = 86400
+    first = run((at(10), True), (at(20), False), (at(day + 5), True), (None, True), (at(30), None))
+    assert first.late.count() == 0
+    assert run((at(9 * day), True)).late.count() == 0
+    found = run((at(40), True), (at(50), False), (at(60), None), (at(day + 7), False), (at(8 * day), True))
+    days = {r.stat_date.day: (r.completed_tasks, r.failed_tasks) for r in found.collect()}
+    assert days == {1: (1, 1), 2: (1, 0), 9: (1, 0), 10: (1, 0)}
+    assert sorted(tuple(r) for r in found.late.collect()) == [
+        (T0.date(), 1, 1, at(60), 3), (at(day).date(), 0, 1, at(day + 7), 1)]
+    assert J.run_daily_stats(read_stream(spark, str(tmp_path), "in"), root).late.agg(F.sum("n")).first()[0] == 4
+
+
+def test_retention_by_time_to_live(spark, tmp_path):
+    """Equal to the batch clean-up at every tick; lines that come when they are old already go at once."""
+    orders = frame(spark, [row(f"o{i % 4}", f"p{i}", None if i % 3 == 0 else str(i), updated_at=at(3600 * i)) for i in range(40)] * 2
+                   + [row("n", "p", "1", updated_at=None), row("d", "p", "1", updated_at=at(0), status="completed")])
+    root, lines, ticks = str(tmp_path / "state"), str(tmp_path / "rows"), str(tmp_path / "ticks")
+    rows = orders.repartition(4).collect()
+    for step, hours in enumerate((0, 24, 30, 61)):
+        part = rows[step * 25:(step + 1) * 25]
+        spark.createDataFrame(part, orders.schema).coalesce(1).write.mode("append").parquet(lines)
+        spark.createDataFrame([(at(3600 * hours),)], "now timestamp").coalesce(1).write.mode("append").parquet(ticks)
+        known = spark.createDataFrame(rows[:(step + 1) * 25], orders.schema)
+        stream = spark.readStream.schema(orders.schema).parquet(lines)
+        got = J.run_retention(stream, read_stream(spark, str(tmp_path), "ticks"), known, 1, root)
+        assert bag(r.asDict() for r in got.collect()) == bag(r.asDict() for r in L.cleanup_expired(known, F.lit(at(3600 * hours)), 1).collect())
+    assert got.count() < known.count()
