@@ -231,21 +231,17 @@ def run_retention(lines: DataFrame, ticks: DataFrame, orders: DataFrame, days: i
     return result
 
 
-def _expire(table: BucketedTable, rows: DataFrame, now, days: int, batch_id: int, changed: set[int]) -> tuple[DataFrame, set[int]]:
-    """``rows`` of the changed buckets, and those of other buckets with expired rows, without the expired ones."""
-    stale = (table.read(batch_id).where(L.expired_rows(now, days)).select(table.bucket().alias("_b")).distinct().collect())
-    more = {r["_b"] for r in stale} - changed
-    if more:
-        rows = rows.unionByName(table.read(batch_id, more))
-    return L.cleanup_expired(rows, now, days), changed | more
+def _stale(table: BucketedTable, now, days: int, batch_id: int) -> DataFrame:
+    """The orders that stood before the batch with expired lines."""
+    return table.read(batch_id).where(L.expired_rows(now, days)).select("order_id").distinct()
 
 
 def run_ledger(attempts: DataFrame, flatten: Callable[[DataFrame], DataFrame], orders: DataFrame,
                retention_days: int | None = None, root: str | None = None) -> DataFrame:
     """Keeps the ledger over a stream of attempts and returns its last version.
 
-    Each micro-batch replays its failures and deliveries on the hash buckets of its own orders and rewrites
-    those only; a repeated batch overwrites the same version. ``attempts``: task_id, attempt_at,
+    Each micro-batch replays its failures and deliveries on the rows of its own orders and writes
+    those only; a repeated batch overwrites its own files. ``attempts``: task_id, attempt_at,
     attempt_no, status_code, body, error. ``flatten`` turns failing attempts into ledger lines
     with ``attempt_no`` and ``pos``. With ``retention_days`` every batch also drops rows that
     expired by its latest attempt. ``orders`` is where the ledger starts, if ``root`` has none yet.
@@ -257,31 +253,33 @@ def run_ledger(attempts: DataFrame, flatten: Callable[[DataFrame], DataFrame], o
         if batch.isEmpty():
             return
         batch = materialize(batch, "ledger-batch")
-        changed = {r["_b"] for r in batch.select(table.bucket("task_id").alias("_b")).distinct().collect()}
+        changed = batch.select(F.col("task_id").alias("order_id")).distinct()
+        if retention_days is not None:
+            latest = F.lit(batch.agg(F.max("attempt_at")).first()[0])
+            changed = materialize(changed.unionByName(_stale(table, latest, retention_days, batch_id)).distinct(), "ledger-changed")
         failed = R.classify_http("status_code")
         deliveries = batch.where(~failed).select(F.col("task_id").alias("order_id"), "attempt_at", "attempt_no")
         failing = L.after_last_delivery(batch.where(failed), deliveries)
         rows = L.ledger_replay(flatten(failing), deliveries, table.read(batch_id, changed)).select(*orders.columns)
         if retention_days is not None:
-            latest = batch.agg(F.max("attempt_at")).first()[0]
-            rows, changed = _expire(table, rows, F.lit(latest), retention_days, batch_id, changed)
-        table.write(rows, batch_id, changed)
+            rows = L.cleanup_expired(rows, latest, retention_days)
+        table.write(rows, changed, batch_id)
 
     run_batches(attempts, root, step)
     return table.read()
 
 
 def run_cleanup(ticks: DataFrame, orders: DataFrame, days: int = L.RETENTION_DAYS, root: str | None = None) -> DataFrame:
-    """Drops expired rows on every tick of a stream that carries the current time in ``now``; only their buckets are rewritten."""
+    """Drops expired rows on every tick of a stream that carries the current time in ``now``; only the orders that lose rows are written."""
     root = root or fresh_path(ticks.sparkSession, "cleanup")
     table = BucketedTable(root, orders, "order_id")
 
     def step(batch: DataFrame, batch_id: int) -> None:
         latest = batch.agg(F.max("now")).first()[0]
         if latest is not None:
-            rows, changed = _expire(table, orders.limit(0), F.lit(latest), days, batch_id, set())
-            if changed:
-                table.write(rows, batch_id, changed)
+            stale = materialize(_stale(table, F.lit(latest), days, batch_id), "stale")
+            if not stale.isEmpty():
+                table.write(L.cleanup_expired(table.read(batch_id, stale), F.lit(latest), days), stale, batch_id)
 
     run_batches(ticks, root, step)
     return table.read()
