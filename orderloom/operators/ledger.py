@@ -162,6 +162,38 @@ def after_last_delivery(attempts: DataFrame, deliveries: DataFrame) -> DataFrame
     return attempts.join(done, "task_id", "left").where(F.col("_ok").isNull() | (seq > F.col("_ok"))).drop("_ok")
 
 
+def _chains(touches: DataFrame) -> DataFrame:
+    """Of open attempts (line key and seq), those that insert as far as chains tell.
+
+    An attempt that waits for one earlier attempt only inserts if that one doesn't. Along a chain of such attempts inserting and not
+    inserting alternate from its head, so pointer doubling finds each attempt's head and whether its distance is even: log2(length)
+    joins on (order, attempt). Heads that wait for several attempts, and what hangs on them, stay open.
+    """
+    key, one = [*LINE_KEY], ["order_id", "seq"]
+    firsts = touches.groupBy(*key).agg(F.min("seq").alias("_first"))
+    placed = materialize(touches.join(firsts, key), "replay-firsts")
+    seconds = placed.where("seq > _first").groupBy(*key).agg(F.min("seq").alias("_second"))
+    waits = F.when(F.col("seq") > F.col("_first"), F.col("_first"))
+    step = materialize(
+        placed.join(seconds, key, "left").groupBy(*one)
+        .agg(F.min(waits).alias("_to"), (F.max(F.coalesce(F.col("seq") > F.col("_second"), F.lit(False)))
+                                         | F.coalesce(F.min(waits) < F.max(waits), F.lit(False))).alias("_several")), "replay-waits")
+    # a winner and an attempt that waits for several are heads: they point at themselves
+    hop = step.select(*one, F.when(F.col("_several") | F.col("_to").isNull(), F.col("seq")).otherwise(F.col("_to")).alias("_to"),
+                      (~F.col("_several") & F.col("_to").isNotNull()).alias("_odd"))
+    while True:
+        onward = hop.select("order_id", F.col("seq").alias("_to"), F.col("_to").alias("_to2"), F.col("_odd").alias("_odd2"))
+        further = materialize(hop.join(onward, ["order_id", "_to"]).select(
+            *one, F.col("_to2").alias("_to"), (F.col("_odd") != F.col("_odd2")).alias("_odd"),
+            (F.col("_to2") != F.col("_to")).alias("_moved")), "replay-hops")
+        hop = further.drop("_moved")
+        if further.where("_moved").isEmpty():
+            break
+    heads = step.where("NOT _several AND _to IS NULL").select("order_id", F.col("seq").alias("_to"))
+    won = hop.where("NOT _odd").join(heads, ["order_id", "_to"], "left_semi").select(*one)
+    return materialize(touches.join(won, one, "left_semi").select(*key, "seq"), "replay-won")
+
+
 def ledger_replay(lines: DataFrame, deliveries: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """The ledger after a log of failures and deliveries, as if applied one by one in time order.
 
@@ -171,7 +203,8 @@ def ledger_replay(lines: DataFrame, deliveries: DataFrame, orders: DataFrame | N
     An attempt inserts if none of its keys is known by then, else it updates. So the attempts that
     insert are found in rounds: one that is the earliest open attempt for all its keys inserts,
     and every other open attempt that shares a key with it updates. Retries repeat their payload,
-    so one round settles nearly everything. A key's row then takes its values from the last
+    so one round settles nearly everything. Attempts that overlap in a chain are settled together (``_chains``); only attempts that wait for
+    several open ones take further rounds. A key's row then takes its values from the last
     attempt that names it. No order's log is ever gathered in one place.
     """
     seq = F.struct(F.col("updated_at").alias("at"), F.col("attempt_no").alias("no"))
@@ -192,14 +225,20 @@ def ledger_replay(lines: DataFrame, deliveries: DataFrame, orders: DataFrame | N
     touches = materialize(touches, "replay-open")
 
     inserts = []
+
+    def settle(won: DataFrame, open_: DataFrame) -> DataFrame:
+        """What is open after these attempts inserted: all that share a key with them are decided."""
+        inserts.append(won)
+        settled = open_.join(won.select(*key), key, "left_semi").select("order_id", "seq").distinct()
+        return materialize(open_.join(settled, ["order_id", "seq"], "left_anti"), "replay-open")
+
     while not touches.isEmpty():
         earliest = touches.groupBy(*key).agg(F.min("seq").alias("_first"))
         winners = (touches.join(earliest, key).groupBy("order_id", "seq")
                    .agg(F.min(F.col("seq") == F.col("_first")).alias("_all")).where("_all").drop("_all"))
-        won = materialize(touches.join(winners, ["order_id", "seq"], "left_semi").select(*key, "seq"), "replay-won")
-        inserts.append(won)
-        settled = touches.join(won.select(*key), key, "left_semi").select("order_id", "seq").distinct()
-        touches = materialize(touches.join(settled, ["order_id", "seq"], "left_anti"), "replay-open")
+        touches = settle(materialize(touches.join(winners, ["order_id", "seq"], "left_semi").select(*key, "seq"), "replay-won"), touches)
+        if not touches.isEmpty():
+            touches = settle(_chains(touches), touches)
 
     latest = _last_values(live, "seq", "pos")
     parts = []

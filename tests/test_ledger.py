@@ -136,3 +136,39 @@ def test_registry(spark):
     assert pick(L.registry_clear(registry, spark.createDataFrame([("A",)], "product_code string"))) == {"B": "o3"}
     assert L.delete_delivered(frame(spark, [row("a", "p", "1"), row("b", "p", "1")]),
                               spark.createDataFrame([("a",)], "order_id string")).first().order_id == "b"
+
+
+def chain_lines(order, no, keys):
+    return [{**row(order, f"p{k}", "1", updated_at=at(no), first_failure_time=at(no), error_code=f"e{no}"), "pos": p, "attempt_no": no}
+            for p, k in enumerate(keys)]
+
+
+def test_chain_of_overlapping_attempts_takes_few_rounds(spark, monkeypatch):
+    """1,000 attempts of an order, each sharing a line with the next: inserting and updating alternate."""
+    made = []
+    store = L.materialize
+    monkeypatch.setattr(L, "materialize", lambda df, label="step": (made.append(label), store(df, label))[1])
+    table, lines = [], []
+    for no in range(1000):
+        attempt = chain_lines("o", no, (no, no + 1))
+        table = brute_upsert(table, attempt)
+        lines += attempt
+    got = L.ledger_replay(frame(spark, lines, ", pos int, attempt_no long"),
+                          spark.createDataFrame([], "order_id string, attempt_at timestamp, attempt_no long"))
+    assert bag(r.asDict() for r in got.collect()) == bag(table)
+    assert made.count("replay-hops") <= 11 and made.count("replay-won") <= 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_replay_of_tangled_chains(spark, seed):
+    rng = random.Random(seed)
+    table, lines = [], []
+    for no in range(120):
+        order = rng.choice("ab")
+        start = rng.randrange(50)
+        attempt = chain_lines(order, no, {start + d for d in rng.choice([(0, 1), (0,), (0, 1, 2), (0, 3)])})
+        table = brute_upsert(table, attempt)
+        lines += attempt
+    got = L.ledger_replay(frame(spark, lines, ", pos int, attempt_no long"),
+                          spark.createDataFrame([], "order_id string, attempt_at timestamp, attempt_no long"))
+    assert bag(r.asDict() for r in got.collect()) == bag(table)
