@@ -9,7 +9,8 @@ So equal mask hashes of item and document find every leak, and the words around
 Words are runs of characters other than ASCII white space and punctuation, in lower case.
 
 Scale: one pass over the texts tests each place's mask hashes against a bitmap of the items' hashes. Its size is fixed (4 MB)
-whatever the size of the benchmark; what passes is joined with the items' hashes by equality and needs no broadcast.
+whatever the size of the benchmark; what passes is joined with the items' hashes by equality. A document then meets
+the items that may be in it in a sorted stream, one row for each pair, so neither long documents nor many hits are gathered.
 
 Defined results: null, empty and short texts have no leak; rows with equal doc_id are checked each; rows of equal or
 null item_id are items of their own texts; an empty table on either side gives no rows; other columns are ignored.
@@ -147,20 +148,24 @@ FOUND = T.StructType([T.StructField("id", T.LongType()), T.StructField("tag", T.
 
 
 def _verified(stream):
+    """A document's text comes before the items that may be in it, each with its alignments."""
+    doc_key = doc = None
     for batch in stream:
         rows = []
-        for id_, tag, text, asked in zip(*(c.to_pylist() for c in batch.columns)):
-            doc = word_values(normalized(text))
-            for a in asked:
-                item = word_values(normalized(a["item_text"]))
-                rows += [(id_, tag, a["item"], *leak) for leak in aligned_leaks(doc, item, a["shift"])]
+        for id_, tag, item_id, shifts, text in zip(*(c.to_pylist() for c in batch.columns)):
+            if shifts is None:
+                if (id_, tag) != doc_key:
+                    doc_key, doc = (id_, tag), word_values(normalized(text))
+                continue
+            item = word_values(normalized(text))
+            rows += [(id_, tag, item_id, *leak) for shift in shifts for leak in aligned_leaks(doc, item, shift)]
         columns = list(zip(*rows)) if rows else [()] * len(FOUND)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(c), t) for c, t in zip(columns, (*(pa.int64(),) * 3, *(pa.int32(),) * 4))], names=FOUND.names)
 
 
 def find(ws: Workspace, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Leaked stretches by id (null: a stand-in) and tag of the document."""
+    """Leaked stretches by id (null: a stand-in) and tag of the document. No join broadcasts a side, however small it looks when stored."""
     texts, items = _keyed(docs, "doc_id"), _keyed(benchmark, "item_id").dropDuplicates(["id", "tag"])
     lengths = [r["length"] for r in items.select("text").mapInArrow(_lengths, "length int").distinct().collect()]  # five at most
     masks = [(WIDTH, m) for m in MASKS] + [(n, m) for n in sorted(lengths) for m in SHORT_MASKS[n]]
@@ -168,12 +173,15 @@ def find(ws: Workspace, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(index))
     found = texts.mapInArrow(_seeds(masks, False, bitmap), SEEDS)
     side = index.select("hash", F.col("id").alias("item"), F.col("tag").alias("item_tag"), F.col("place").alias("item_place"))
-    places = ws.store(found.join(side, "hash").select(
-        "id", "tag", "item", "item_tag", (F.col("place") - F.col("item_place")).alias("shift")).distinct(), "places")
-    named = items.select(F.col("id").alias("item"), F.col("tag").alias("item_tag"), F.col("text").alias("item_text"))
-    asked = (places.join(named, ["item", "item_tag"]).groupBy("id", "tag")
-             .agg(F.collect_list(F.struct("item", "shift", "item_text")).alias("asked")))
-    return texts.join(asked, ["id", "tag"]).select("id", "tag", "text", "asked").mapInArrow(_verified, FOUND).distinct()
+    places = found.join(side.hint("merge"), "hash").select("id", "tag", "item", "item_tag", (F.col("place") - F.col("item_place")).alias("shift"))
+    # At most as many alignments of one item as the document and the item have words.
+    pairs = ws.store(places.groupBy("id", "tag", "item", "item_tag").agg(F.sort_array(F.collect_set("shift")).alias("shifts")), "pairs")
+    named = items.select(F.col("id").alias("item"), F.col("tag").alias("item_tag"), "text")
+    asked = pairs.join(named.hint("merge"), ["item", "item_tag"]).select("id", "tag", "item", "shifts", "text")
+    mine = (texts.join(pairs.select("id", "tag").distinct().hint("merge"), ["id", "tag"], "left_semi")
+            .select("id", "tag", F.lit(None).cast("long").alias("item"), F.lit(None).cast("array<int>").alias("shifts"), "text"))
+    both = mine.unionByName(asked).repartition("id", "tag").sortWithinPartitions("id", "tag", F.col("shifts").isNotNull())
+    return both.mapInArrow(_verified, FOUND).distinct()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -190,4 +198,4 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = ws.store(find(ws, docs, benchmark).select(F.col("id").alias(id_), F.col("tag").alias(tag)).distinct(), "leaky")
     match = ((F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col(id_))
              & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(tag)))
-    return docs.join(found, match, "left_anti")
+    return docs.join(found.hint("merge"), match, "left_anti")

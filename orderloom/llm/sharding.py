@@ -4,7 +4,7 @@ Row numbers 0..n-1 (by doc_id, then text) are permuted by an alternating Feistel
 product of two ranges, both about the root of n; a value outside 0..n-1 goes through the network again
 (cycle walking), so the map is a permutation of 0..n-1. Permuted place p lies in shard ``p mod shards`` at
 slot ``p div shards``: sizes differ by one row at most and slots have no gaps. Anyone who knows n, the
-seed and a row number can compute its shard and slot, and the inverse, without a shuffle.
+seed and a row number can compute its shard and slot, and from these the row number (``row_number_at``), without a shuffle.
 
 Only DataFrame functions are used. Defined results: a null text has size 1 and the crc of no bytes; rows with a null
 doc_id are numbered first; equal rows are numbered in any order, which changes nothing that can be seen but
@@ -54,6 +54,23 @@ def network(value: Column, left: int, right: int, seed: int, rounds: int = ROUND
     return F.transform(F.array(halves), lambda h: h["l"] + h["r"] * left)[0]
 
 
+def _back(i: int, left: int, right: int, seed: int):
+    def step(h: Column) -> Column:
+        l, r = h["l"], h["r"]
+        if i % 2:
+            return F.struct(l.alias("l"), F.pmod(r - _mix(l, i, seed, right), F.lit(right).cast("long")).alias("r"))
+        return F.struct(F.pmod(l - _mix(r, i, seed, left), F.lit(left).cast("long")).alias("l"), r.alias("r"))
+    return step
+
+
+def network_back(value: Column, left: int, right: int, seed: int, rounds: int = ROUNDS) -> Column:
+    """The value that one pass takes to ``value``: the rounds backwards, each subtracting what it added."""
+    halves = F.struct((value % left).alias("l"), F.floor(value / left).cast("long").alias("r"))
+    for i in reversed(range(rounds)):
+        halves = F.transform(F.array(halves), _back(i, left, right, seed))[0]
+    return F.transform(F.array(halves), lambda h: h["l"] + h["r"] * left)[0]
+
+
 def permuted(row_number: Column, n: int, seed: int = 0) -> Column:
     """The place of a row number under the permutation of 0..n-1.
 
@@ -66,6 +83,15 @@ def permuted(row_number: Column, n: int, seed: int = 0) -> Column:
                        lambda at, _: F.when(at < n, at).otherwise(network(at, left, right, seed)))
 
 
+def row_number_at(shard: Column, slot: Column, n: int, shards: int, seed: int = 0) -> Column:
+    """The row number that ``permuted`` puts at a shard and slot: the same walk backwards."""
+    left, right = grid(n)
+    steps = F.sequence(F.lit(0), F.lit(left * right - n))
+    place = slot.cast("long") * shards + shard
+    return F.aggregate(steps, network_back(place, left, right, seed),
+                       lambda at, _: F.when(at < n, at).otherwise(network_back(at, left, right, seed)))
+
+
 def shard_rows(rows: DataFrame, order: list[str], shards: int, seed: int = 0, ws: Workspace | None = None) -> DataFrame:
     """``rows`` with ``shard`` and ``slot``; ``order`` fixes the row numbers."""
     ws = ws or Workspace(rows.sparkSession, "sharding")

@@ -113,6 +113,16 @@ def test_repeated_documents_train_once(labelled):
     assert vars(one) == vars(two)
 
 
+def test_toxicity_of_very_long_texts(labelled):
+    """The whole of a text counts: its last words, after 300,000 clean ones, as well as all of them."""
+    rng = random.Random(9)
+    clean = words(rng, 300_000)
+    docs = make(labelled[0].sparkSession, [(5000, clean), (5001, clean + " vile"), (5002, "vile " * 100_000), (5003, "x" * 2_000_000)])
+    got = {r["doc_id"]: r for r in toxicity.toxicity(docs.unionByName(labelled[0]), labelled[1]).where("doc_id >= 5000").collect()}
+    assert {d: r["predicted"] for d, r in got.items()} == {5000: 0, 5001: 1, 5002: 1, 5003: 0}
+    assert [s["start"] for s in got[5001]["spans"]][-1] >= len(clean)
+
+
 def test_toxicity_without_labels(odd, empty, labelled):
     nothing = labelled[1].where("false")
     assert {r["score"] for r in toxicity.toxicity(odd, nothing).collect()} == {0.0}
@@ -167,6 +177,51 @@ def test_leaks(spark, bench, odd, empty):
     assert decontaminate.without_leaks(odd, bench).count() == odd.count()
 
 
+def brute_leaks(doc, item):
+    """Every alignment, every window: (doc word, item word, words, equal words) of each leaked stretch."""
+    width = min(10, len(item))
+    most = 2 if len(item) >= 10 else 1
+    if width < 5:
+        return set()
+    out = set()
+    for shift in range(-len(item), len(doc)):
+        inside = set()
+        for i in range(len(item) - width + 1):
+            places = range(i, i + width)
+            if all(0 <= j + shift < len(doc) for j in places) and sum(item[j] != doc[j + shift] for j in places) <= most:
+                inside |= set(places)
+        for i in sorted(inside):
+            if i - 1 not in inside:
+                end = i
+                while end in inside:
+                    end += 1
+                equal = [j for j in range(i, end) if item[j] == doc[j + shift]]
+                out.add((equal[0] + shift, equal[0], equal[-1] + 1 - equal[0], len(equal)))
+    return out
+
+
+def test_leaks_against_all_alignments(spark):
+    """Random items and documents made of their stretches, with words replaced, dropped and added, and repeated many times."""
+    rng = random.Random(8)
+    items = [(i, [f"t{rng.randrange(60)}" for _ in range(rng.choice([3, 5, 7, 9, 10, 11, 25, 60]))]) for i in range(25)]
+    docs = []
+    for d in range(60):
+        text = []
+        for _ in range(rng.randrange(1, 6)):
+            item = rng.choice(items)[1]
+            a = rng.randrange(len(item))
+            part = [f"z{rng.randrange(9)}" if rng.random() < 0.12 else w for w in item[a:a + rng.randrange(4, 40)]]
+            if len(part) > 12 and rng.random() < 0.3:
+                del part[rng.randrange(len(part))]
+            text += part + [f"t{rng.randrange(60)}" for _ in range(rng.randrange(4))]
+        docs.append((d, text))
+    docs.append((60, (items[-1][1] + ["between"]) * 40))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = rows(decontaminate.leaks(make(spark, [(d, " ".join(w)) for d, w in docs]), bench), "doc_id", "item_id", "doc_word", "item_word", "n_words", "n_equal")
+    want = {(d, i, *leak) for d, w in docs for i, item in items for leak in brute_leaks(w, item)}
+    assert len(want) > 100 and set(got) == want and len(got) == len(want)
+
+
 def test_short_items_with_one_substitution(spark):
     items = {n: [f"s{n}x{i}" for i in range(n)] for n in range(4, 10)}
     bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
@@ -205,6 +260,15 @@ def test_nearest(spark):
     assert permutation_index.nearest(df.where("false")).count() == 0
 
 
+def test_nearest_with_clashing_columns(spark):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(60, 4)).round(3).tolist()
+    plain = spark.createDataFrame(list(enumerate(v)), "vec_id long, embedding array<double>")
+    clash = plain.select("*", *[F.lit("x").alias(c) for c in ("id", "v", "dim", "ids", "shard", "part", "place", "query_id", "query", "rank", "score")])
+    assert rows(permutation_index.nearest(clash), "query_id", "rank", "vec_id", "score") == rows(
+        permutation_index.nearest(plain), "query_id", "rank", "vec_id", "score")
+
+
 def test_nearest_with_copies(spark):
     """A third of the rows hold one vector, which is more than a shard ranks again; another id has many vectors near one query."""
     rng = np.random.default_rng(8)
@@ -255,7 +319,7 @@ def test_pipeline_stages(spark):
     want = {r["doc_id"] for r in simhash.near_duplicates(before).collect() if r["doc_id"] == r["component_id"]}
     assert {r["doc_id"] for r in after.collect()} == want
     before, after = steps["suffix_array"]
-    n = {r["doc_id"]: r["n_bytes"] - r["n_removed"] for r in suffix_array.suffix_dedup(before).collect()}
+    n = {r["doc_id"]: r["n_bytes"] - r["n_removed"] for r in suffix_array.suffix_dedup(before, corpus_pipeline.REPEAT_BYTES, corpus_pipeline.REPEAT_SEED).collect()}
     assert all(n[r["doc_id"]] - 12 <= len((r["text"] or "").encode()) <= n[r["doc_id"]] for r in after.collect()) and after.count() == len(n)
     before, after = steps["decontamination"]
     leaky = {r["doc_id"] for r in decontaminate.leaks(before, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
@@ -263,3 +327,36 @@ def test_pipeline_stages(spark):
     before, after = steps["packing"]
     assert rows(after, "doc_id", "piece", "length", "ids_crc32") == rows(packing.pack_documents(before, tokenizer_path()), "doc_id", "piece", "length", "ids_crc32")
     assert after.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").count() == 0
+
+
+def test_pipeline_on_odd_tables(spark, odd, empty):
+    """Nulls, empty and long texts, repeated rows, null ids and clashing columns through all five stages, and an empty table."""
+    docs, ids = odd, {r["doc_id"] for r in odd.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = stage(spark, docs, SF)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        got = {r["doc_id"] for r in docs.collect()}
+        assert got and got <= ids
+        if name != "packing":
+            assert docs.columns == before.columns and docs.schema["text"].dataType == before.schema["text"].dataType
+        if name == "simhash":  # repeated rows are one group; the smallest id stays
+            assert docs.where("text IS NOT NULL").groupBy("text").count().where("count > 1").count() == 0
+        if name == "packing":
+            assert before.count() == docs.where("piece = 0").count()  # a document left without text still has its end id
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, empty, SF)
+        assert after.count() == 0 and (name == "packing" or after.columns == empty.columns)
+
+
+def test_passages_of_over_fifty_words_go(spark):
+    """Passages of 51 to 70 words in two documents each, none of 400 bytes; documents without one stay as they are."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    shared = [p for p in (text(rng.randrange(51, 71)) for _ in range(40)) if len(p) < 400]
+    pairs = [(2 * i + j, f"{text(80)} {p} {text(90)}") for i, p in enumerate(shared) for j in (0, 1)]
+    clean = [(1000 + i, text(200)) for i in range(30)]
+    after = {r["doc_id"]: r["text"] for r in corpus_pipeline.cut_repeats(spark, make(spark, pairs + clean), SF).collect()}
+    assert len(shared) > 20 and not any(p in after[d] for d, _ in pairs for p in [shared[d // 2]])
+    assert all(after[d] == t for d, t in clean)

@@ -185,6 +185,16 @@ def test_shards(odd, odd_pairs, empty):
     assert sharding.shard_documents(empty).count() == 0
 
 
+def test_row_numbers_from_shards_and_slots(spark):
+    from pyspark.sql import functions as F
+    for n, shards in ((1, 3), (2, 8), (7, 2), (10, 4), (97, 8), (1000, 7)):
+        ids = spark.range(n)
+        place = sharding.permuted(F.col("id"), n, 5)
+        dealt = ids.select("id", (place % shards).alias("shard"), F.floor(place / shards).cast("long").alias("slot"))
+        back = dealt.select("id", sharding.row_number_at(F.col("shard"), F.col("slot"), n, shards, 5).alias("row"))
+        assert back.where("id <> row").count() == 0 and back.count() == n
+
+
 def best_split(word, pieces, fallback):
     """(score, -tokens) by trying every end."""
     table = [(0.0, 0)]
