@@ -1,5 +1,6 @@
 """Token planes, packing, sharding and token counts against direct computation."""
 
+import math
 import random
 import zlib
 from collections import Counter
@@ -208,11 +209,11 @@ def best_split(word, pieces, fallback):
 
 def test_token_counts(odd, odd_pairs, empty):
     model = tokenizer_path("piece_bpe_32k.model")
-    pieces = token_count.load_pieces(model)
+    short = odd.where("text IS NULL OR length(text) < 5000")
+    pieces = token_count.fitted(Counter(w for _, t in odd_pairs if len(t or "") < 5000 for w in (t or "").split()), token_count.load_pieces(model))
     counter = token_count.TrieCounter(pieces)
     want = sorted(((i, len(w := (t or "").split()), sum(best_split("▁" + x, pieces, counter.fallback) for x in w))
                    for i, t in odd_pairs if len(t or "") < 5000), key=repr)
-    short = odd.where("text IS NULL OR length(text) < 5000")
     assert rows(token_count.token_counts(short, model), "doc_id", "n_pretokens", "n_tokens") == want
     assert token_count.token_counts(empty, model).count() == 0
 
@@ -221,3 +222,53 @@ def test_bounded_piece_table_changes_nothing():
     pieces = token_count.load_pieces(tokenizer_path("piece_bpe_32k.model"))
     texts = ["some words here", "other words there", None, "zz §§ 漢字"] * 3
     assert token_count.TrieCounter(pieces, 2).counts(texts) == token_count.TrieCounter(pieces).counts(texts)
+
+
+def test_sampled_pretokens_are_counted_over_all_documents(spark, odd, odd_pairs, empty):
+    every = Counter(w for _, t in odd_pairs for w in (t or "").split())
+    for size in (1, 7, 100, 10 ** 6):
+        least = sorted(every, key=lambda w: (token_count._hash(w), w))[:size]
+        for df in (odd, odd.repartition(1), odd.repartition(9)):
+            assert token_count.sampled_pretokens(df, size) == {w: every[w] for w in least}
+    assert token_count.sampled_pretokens(empty) == {}
+
+
+def splits(word, pieces, fallback):
+    """Every segmentation: (its log-probability, its pieces)."""
+    if not word:
+        yield 0.0, []
+        return
+    for rest in splits(word[1:], pieces, fallback):
+        yield rest[0] + fallback * len(word[0].encode()), rest[1]
+    for n in range(1, len(word) + 1):
+        if word[:n] in pieces:
+            for score, used in splits(word[n:], pieces, fallback):
+                yield score + pieces[word[:n]], [word[:n], *used]
+
+
+def test_expected_uses_against_all_segmentations():
+    rng = random.Random(14)
+    for _ in range(20):
+        pieces = {"".join(rng.choice("abé") for _ in range(rng.randrange(1, 4))): -rng.random() * 3 for _ in range(8)}
+        words = {"".join(rng.choice("abcé") for _ in range(rng.randrange(1, 8))): rng.randrange(1, 5) for _ in range(10)}
+        got, total = token_count.expected_uses(words, pieces, -4.0)
+        want, likelihood = dict.fromkeys(pieces, 0.0), 0.0
+        for word, n in words.items():
+            ways = list(splits(word, pieces, -4.0))
+            mass = sum(math.exp(s) for s, _ in ways)
+            likelihood += n * math.log(mass)
+            for s, used in ways:
+                for p in used:
+                    want[p] += n * math.exp(s) / mass
+        assert got == pytest.approx(want) and total == pytest.approx(likelihood)
+
+
+def test_fit_raises_the_likelihood():
+    rng = random.Random(15)
+    words = Counter("".join(rng.choice(["the", "re", "a", "b", "s"]) for _ in range(rng.randrange(1, 5))) for _ in range(500))
+    pieces = dict.fromkeys(["t", "h", "e", "r", "a", "b", "s", "the", "re", "th", "▁", "▁the"], math.log(1 / 12))
+    marked = {"▁" + w: n for w, n in words.items()}
+    totals = [token_count.expected_uses(marked, token_count.fitted(words, pieces, k, 1e-9), -50.0)[1] for k in range(5)]
+    assert totals == sorted(totals) and totals[-1] > totals[0] + 100
+    model = token_count.fitted(words, pieces)
+    assert sum(map(math.exp, model.values())) == pytest.approx(1) and model["the"] > model["th"]
