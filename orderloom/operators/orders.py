@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from orderloom.operators.scan import row_numbers
 from orderloom.schema import DETAIL_TO_LEDGER, LEDGER, LEDGER_COLUMNS, MASTER_TO_LEDGER
 
+#: Hashes by which documents without a reply are told before the join, whatever the number of replies.
+REPLY_SLOTS = 1 << 20
+
+
 def first_document() -> Column:
     return F.get("doc.data", F.lit(0))
 
@@ -88,9 +92,13 @@ def flatten_order_lines(requests: DataFrame, responses: DataFrame, details: str
     replies = responses.select(
         F.col("task_id").alias(on), *[c for c in responses.columns if c in ("attempt_at", "attempt_no")],
         error_code_or_error("body", "error").alias("error_code"))
+    # Documents without a reply go before anything is shuffled: at most ``REPLY_SLOTS`` hashes of the replies' ids are broadcast,
+    # and a document whose id has none of them has no reply.
+    slot = F.pmod(F.xxhash64(on), F.lit(REPLY_SLOTS)).cast("int").alias("_slot")
+    likely = requests.drop("payload").select("*", slot).join(F.broadcast(replies.select(slot).distinct()), "_slot", "left_semi").drop("_slot")
     # Documents meet their reply before they unfold into lines. Parsed documents are many times
     # their stored size, so the join must not choose to broadcast them by that size.
-    answered = requests.drop("payload").join(replies.hint("merge"), on)
+    answered = likely.join(replies.hint("merge"), on)
     joined = {"all": explode_details, "first": first_detail}[details](answered)
     order_no = F.col("master.maDonHang")
     declared = F.col("master.sourceType")

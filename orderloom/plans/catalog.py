@@ -313,6 +313,16 @@ def distinct_key_count(spark, d):
     return C.distinct_key_count(I.right(spark, d), "ID")
 
 
+@query
+def distinct_keys_by_day(spark, d):
+    """Sketches of an event's user per day and event type, merged per day, held against the exact count: within four standard errors."""
+    events = I.table(spark, d, "events").select(F.to_date(I.instant("ts")).alias("day"), "event_type", "user_id")
+    per_type = C.key_sketches(events, "user_id", ["day", "event_type"])
+    exact = events.groupBy("day").agg(F.countDistinct("user_id").alias("n_exact"))
+    off = F.abs(F.col("n_keys") - F.col("n_exact")) <= 4 * C.sketch_error() * F.col("n_exact")
+    return C.sketched_key_count(per_type, ["day"]).join(exact, "day").select("day", "n_exact", off.alias("within_error"))
+
+
 @query
 def null_profile(spark, d):
     return C.null_profile(I.left(spark, d), "ID")

@@ -298,6 +298,8 @@ add("existing_lines", _ORD, _LINES, _FAIL, _LEDGER, final=f"""SELECT order_id, c
 
 add("value_counts", _SIDES, final="SELECT key, n FROM rk")
 add("distinct_key_count", _SIDES, final="SELECT count(*) AS n_keys FROM rk")
+add("distinct_keys_by_day", final="""SELECT strftime(ts, '%Y-%m-%d') AS day, count(DISTINCT user_id) AS n_exact, true AS within_error
+  FROM events GROUP BY 1""")
 add("null_profile", _SIDES, final="""SELECT count(CASE WHEN ID IS NULL AND c_name IS NULL AND c_acctbal IS NULL AND
   c_mktsegment IS NULL AND c_nationkey IS NULL THEN 1 END) AS empty_rows, count(*) - count(ID) AS null_keys FROM lt""")
 _STATS = """SELECT strftime(attempt_at, '%Y-%m-%d') AS stat_date, count(CASE WHEN success THEN 1 END) AS completed_tasks,

@@ -184,3 +184,17 @@ def test_large_order_is_one_request(spark, tmp_path):
     assert rows.count() == 1
     items = O.explode_details(parse_payloads(rows)).select("item.imei").collect()
     assert sorted(r.imei for r in items) == sorted(f"IM{i}" for i in range(1, 2001))
+
+
+def test_documents_without_a_reply_are_not_shuffled(spark):
+    """Only documents whose id has a reply's hash reach the exchange before the join."""
+    doc = lambda i: json.dumps({"data": [{"master": {"maDonHang": f"o{i}"}, "detail": [{"maHang": "p", "imei": str(i)}]}]})
+    requests = O.accepted_requests(parse_payloads(spark.createDataFrame([("b", i, "u", None, doc(i)) for i in range(2000)],
+                                                                        "batch_id string, seq long, url string, submitted_at timestamp, payload string")))
+    replies = spark.createDataFrame([(f"o{i}", "{}", "e", None) for i in range(0, 2000, 100)] + [("other", "{}", "e", None), (None, "{}", "e", None)],
+                                    "task_id string, body string, error string, attempt_at timestamp")
+    lines = O.flatten_order_lines(requests, replies)
+    assert sorted(r.order_id for r in lines.collect()) == sorted(f"o{i}" for i in range(0, 2000, 100))
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    first_join, slots = plan.index("Join Inner"), plan.index("Join LeftSemi")
+    assert first_join < slots  # the plan is read from the top: the filter by slots lies below the join

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from orderloom.operators import reconcile as C
 from orderloom.sources import tables as TB
 
@@ -50,3 +52,15 @@ def test_diffs_round_trip(spark, tmp_path):
     assert TB.read_string_table(spark, paths["value_differences"], fill_blank=True).where("right_Value = ''").count() == 1
     out = TB.write_mapped(a, str(tmp_path / "m"))
     assert spark.read.parquet(out).columns == a.columns
+
+
+def test_key_sketches_merge_within_their_error(spark):
+    rows = spark.range(400_000).selectExpr("id % 4 AS day", "IF(id % 50 = 0, NULL, hash(id) % (20000 * (id % 4 + 1))) AS k")
+    exact = {r.day: r.n for r in rows.groupBy("day").agg(F.countDistinct("k").alias("n")).collect()}
+    whole = {r.day: r.n_keys for r in C.sketched_key_count(C.key_sketches(rows, "k", ["day"]), ["day"]).collect()}
+    parts = C.key_sketches(rows.where("k % 2 = 0"), "k", ["day"]).unionByName(C.key_sketches(rows.where("k % 2 <> 0"), "k", ["day"]))
+    merged = {r.day: r.n_keys for r in C.sketched_key_count(parts, ["day"]).collect()}
+    assert all(abs(n - exact[d]) <= 4 * C.sketch_error() * exact[d] for got in (whole, merged) for d, n in got.items()) and set(whole) == set(exact)
+    assert max(len(r.sketch) for r in parts.collect()) <= 2 ** C.SKETCH_BITS + 64
+    small = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "k string")
+    assert C.sketched_key_count(C.key_sketches(small, "k")).first().n_keys == 2
