@@ -6,8 +6,9 @@ import os
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.functions.text import ACCENTED, PLAIN
 
@@ -16,24 +17,102 @@ def _format_of(path: str, fmt: str | None) -> str:
     return fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
 
 
-# Cells may hold line breaks and quotes, written double. Each file is then read by one task; writers make many files.
+# Cells may hold line breaks, commas and quotes; a cell with one of these is quoted, and quotes in it are written double.
 _CELLS = {"multiLine": True, "escape": '"'}
 
 
-def read_string_table(spark: SparkSession, path: str, fill_blank: bool = False, fmt: str | None = None) -> DataFrame:
-    """Every column as text; ``fill_blank`` turns NULL into "" (the mapping table's reading)."""
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of CSV files as text, in ``record``, but for each file's header; a file of any size feeds many tasks.
+
+    Spark deals out a file's lines by splits. Whether a line starts a record depends on whether the quotes before it, in the whole file, are
+    even: each split's quotes are counted, the counts are added up split by split, and so each split knows how its first
+    line stands. Lines that belong to one record are put together; all others pass as they are. Windows see one split each, or one
+    row per split. ``place`` orders the records as they stand: file, split, line.
+    """
+    lines = (spark.read.text(path, lineSep="\n")
+             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                     F.monotonically_increasing_id().alias("at"), "value"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    in_file = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (lines.groupBy("file", "split").agg((F.sum(quotes) % 2).alias("_odd"))
+              .select("file", "split", (F.coalesce(F.sum("_odd").over(in_file), F.lit(0)) % 2).alias("_open")))
+    here = Window.partitionBy("file", "split").orderBy("at")
+    before = here.rowsBetween(Window.unboundedPreceding, -1)
+    placed = (lines.join(splits, ["file", "split"])
+              .withColumn("_starts", (F.col("_open") + F.coalesce(F.sum(quotes).over(before), F.lit(0))) % 2 == 0)
+              .withColumn("_start", F.last(F.when(F.col("_starts"), F.col("at")), ignorenulls=True).over(
+                  here.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+              .withColumn("_ends", (F.col("_open") + F.sum(quotes).over(here.rowsBetween(Window.unboundedPreceding, Window.currentRow))) % 2 == 0)
+              .select("file", "split", "at", "value", "_starts", "_ends", "_start"))
+    # Lines before the first start of a split belong to the last start of an earlier one.
+    lasts = placed.groupBy("file", "split").agg(F.max("_start").alias("_last"))
+    carried = lasts.select("file", "split", F.max(F.when(F.col("_last").isNotNull(), F.struct("split", F.col("_last").alias("at")))).over(in_file).alias("_from"))
+    header = lines.groupBy("file").agg(F.min(F.struct("split", "at")).alias("_head"))
+    mine = F.coalesce(F.when(F.col("_start").isNotNull(), F.struct("split", F.col("_start").alias("at"))), F.col("_from"))
+    named = (placed.join(carried, ["file", "split"]).withColumn("_record", mine).join(header, "file").where("_record <> _head"))
+    place = F.struct("file", F.col("_record.split").alias("split"), F.col("_record.at").alias("line")).alias("place")
+    whole = named.where("_starts AND _ends").select(F.col("value").alias("record"), place)
+    several = (named.where("NOT (_starts AND _ends)").groupBy("file", "_record")
+               .agg(F.array_sort(F.collect_list(F.struct("split", "at", "value"))).alias("_l"))
+               .select(F.array_join(F.transform("_l", lambda l: l["value"]), "\n").alias("record"), place))
+    return whole.unionByName(several).withColumn("record", F.regexp_replace("record", "\r$", "")).where("record <> ''")
+
+
+def _csv_columns(spark: SparkSession, path: str) -> list[str]:
+    return [c.removesuffix("\r") for c in spark.read.csv(path, header=True, inferSchema=False, **_CELLS).columns]
+
+
+def _parsed(records: DataFrame, schema: T.StructType, place: str | None) -> DataFrame:
+    # a name may be empty or repeated in the file, so fields go by place
+    plain = T.StructType([T.StructField(f"_{i}", f.dataType) for i, f in enumerate(schema.fields)])
+    row = F.from_csv("record", plain.simpleString()[len("struct<"):-1].replace(":", " "), {k: str(v).lower() for k, v in _CELLS.items()})
+    return records.select(row.alias("_row"), "place").select(
+        *[F.col(f"_row._{i}").alias(f.name) for i, f in enumerate(schema.fields)], *([F.col("place").alias(place)] if place else []))
+
+
+def read_string_table(spark: SparkSession, path: str, fill_blank: bool = False, fmt: str | None = None, place: str | None = None) -> DataFrame:
+    """Every column as text; ``fill_blank`` turns NULL into "" (the mapping table's reading).
+
+    Many tasks read a CSV file, so its rows come in no order; ``place`` names a further column that orders them as they stand.
+    """
     if _format_of(path, fmt) == "csv":
-        df = spark.read.csv(path, header=True, inferSchema=False, **_CELLS)
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in _csv_columns(spark, path)])
+        df = _parsed(csv_records(spark, path), schema, place)
     else:
         raw = spark.read.parquet(path)
         df = raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns])
     return df.fillna("") if fill_blank else df
 
 
+def _inferred(df: DataFrame) -> T.StructType:
+    """Per column the first of whole number, long, double, date, timestamp and boolean that all its values are; else text."""
+    kinds = [T.IntegerType(), T.LongType(), T.DoubleType(), T.DateType(), T.TimestampType(), T.BooleanType()]
+    date = r"^\s*\d{4}-\d{2}-\d{2}\s*$"
+    fits = []
+    for i, name in enumerate(df.columns):
+        c = F.col(f"`{name}`")
+        for j, kind in enumerate(kinds):
+            ok = c.try_cast(kind).isNotNull()
+            if isinstance(kind, (T.IntegerType, T.LongType)):
+                ok &= c.rlike(r"^[+-]?\d+$")
+            if isinstance(kind, T.DateType):
+                ok &= c.rlike(date)
+            if isinstance(kind, T.TimestampType):
+                ok &= c.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:")
+            if isinstance(kind, T.BooleanType):
+                ok &= F.lower(c).isin("true", "false")
+            fits.append(F.bool_and(F.when(c.isNotNull(), ok)).alias(f"{i}_{j}"))
+    found = df.agg(*fits).first() if fits else {}
+    chosen = lambda i: next((k for j, k in enumerate(kinds) if found[f"{i}_{j}"]), T.StringType())
+    return T.StructType([T.StructField(name, chosen(i)) for i, name in enumerate(df.columns)])
+
+
 def read_inferred_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """Header and inferred types; parquet brings its own types."""
+    """Header and inferred types; parquet brings its own types. CSV is read twice, once for the types."""
     if _format_of(path, fmt) == "csv":
-        return spark.read.csv(path, header=True, inferSchema=True, **_CELLS)
+        text = read_string_table(spark, path, fmt="csv")
+        schema = _inferred(text)
+        return text.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
     return spark.read.parquet(path)
 
 

@@ -64,3 +64,41 @@ def test_key_sketches_merge_within_their_error(spark):
     assert max(len(r.sketch) for r in parts.collect()) <= 2 ** C.SKETCH_BITS + 64
     small = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "k string")
     assert C.sketched_key_count(C.key_sketches(small, "k")).first().n_keys == 2
+
+
+def test_one_file_with_line_breaks_feeds_many_tasks(spark, tmp_path):
+    """Cells with line breaks, quotes, commas and carriage returns, cut at every kind of place by small splits: the rows that were written."""
+    import csv
+    import random
+    rng = random.Random(3)
+    cell = lambda: rng.choice(["", "plain", "a,b", 'say "x"', "two\nlines", 'q"\n"', "\n", "é\r\nz", "1", '"', "x" * 300, "\n\n\n,,\"\"\n", "  pad "])
+    rows = [(str(i), cell(), cell(), cell()) for i in range(3000)]
+    for name, end in (("unix", "\n"), ("dos", "\r\n")):
+        path = str(tmp_path / f"{name}.csv")
+        with open(path, "w", newline="", encoding="utf-8") as f:
+            csv.writer(f, lineterminator=end).writerows([("id", "a\nb", "c", "c2"), *rows])
+        whole = spark.read.csv(path, header=True, multiLine=True, escape='"').collect() if name == "unix" else None
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4001")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            split = TB.read_string_table(spark, path)
+            got = split.collect()
+            placed = TB.read_string_table(spark, path, place="place").orderBy("place").select("id").collect()
+            assert [r.id for r in placed] == [r[0] for r in rows]
+            assert TB.csv_records(spark, path).select("record").rdd.getNumPartitions() > 1
+            assert spark.read.text(path).rdd.getNumPartitions() > 50
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert split.columns == ["id", "a\nb", "c", "c2"] and len(got) == 3000
+        assert sorted(map(str, map(tuple, got))) == sorted(str(tuple(c or None for c in r)) for r in rows) if name == "dos" else sorted(map(str, got)) == sorted(map(str, whole))
+
+
+def test_inferred_types_of_csv(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    with open(path, "w", newline="") as f:
+        f.write("i,l,d,day,ts,flag,text,none,code\n1,5000000000,1.5,2024-01-02,2024-01-02 03:04:05,true,x,,007\n-2,1,2,2024-02-01,2024-01-02 00:00:00,FALSE,1,,8\n,,,,,,,,\n")
+    got = TB.read_inferred_table(spark, path)
+    want = spark.read.csv(path, header=True, inferSchema=True, multiLine=True, escape='"')
+    assert [d for _, d in got.dtypes] == [d for _, d in want.dtypes]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
