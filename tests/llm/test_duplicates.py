@@ -113,6 +113,18 @@ def test_suffix_dedup(odd, odd_pairs, width, k, crowd):
     assert rows(suffix_array.suffix_dedup(odd, width, k, crowd), *BYTES) == plain_bytes(odd_pairs, width)
 
 
+@pytest.mark.parametrize("passage, passage_k, crowd", [(60, 16, 1024), (150, 32, 2), (199, 20, 64)])
+def test_passages_are_reported_and_longer_repeats_removed(spark, odd, odd_pairs, passage, passage_k, crowd):
+    """Both lengths against brute force, the longer one searched in stretches of the shorter one only."""
+    rng = random.Random(19)
+    shared = [words(rng, n) for n in (12, 25, 45, 60, 90)]
+    pairs = [(i, " ".join([words(rng, rng.randrange(20)), *rng.sample(shared, 2), words(rng, 5)])) for i in range(40)] + [(3, None), (None, shared[3] * 2)]
+    for df, texts in ((make(spark, pairs), pairs), (odd, odd_pairs)):
+        got = suffix_array.suffix_dedup(df, 200, 32, crowd, passage, passage_k)
+        assert rows(got, *BYTES) == plain_bytes(texts, 200)
+        assert rows(got, "doc_id", "n_bytes", "n_passages") == sorted(((r[0], r[1], r[3]) for r in plain_bytes(texts, passage)), key=repr)
+
+
 def test_suffix_dedup_shared_passage(spark):
     """A passage in many documents, each with other text around it, and near copies."""
     rng = random.Random(9)
