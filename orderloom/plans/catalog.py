@@ -20,6 +20,7 @@ from orderloom.operators import schedule as S
 from orderloom.plans import inputs as I
 from orderloom.session import fresh_path
 from orderloom.sources import tables as TB
+from orderloom.sources import payloads as PL
 from orderloom.streaming import jobs as J
 from orderloom.streaming.sinks import read_stream, run_available
 
@@ -488,6 +489,15 @@ def _event_stream(spark, d):
     return read_stream(spark, d, "events.parquet")
 
 
+@query
+def stream_requests(spark, d):
+    """Requests as they arrive, one JSON line each, to the detail lines of those that are accepted."""
+    folder = fresh_path(spark, "requests")
+    I.requests(spark, d).write.json(folder)
+    lines = O.explode_details(O.accepted_requests(PL.parse_payloads(PL.read_request_stream(spark, folder))))
+    return run_available(lines.select("task_id", "pos", *_item()), "request-lines")
+
+
 @query
 def stream_idempotent(spark, d):
     arriving = _event_stream(spark, d).select(

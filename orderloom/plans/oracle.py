@@ -153,7 +153,8 @@ add("task_ids", _ORD, final="""SELECT 'B' || strftime(o_orderdate, '%Y-%m-%d') A
   CASE WHEN good THEN order_no END AS task_id FROM ord""")
 add("rejected_requests", _ORD, final="""SELECT 'B' || strftime(o_orderdate, '%Y-%m-%d') AS batch_id, o_orderkey AS seq,
   corrupt FROM ord WHERE NOT good""")
-add("explode_details", _ORD, _LINES, final="""SELECT order_no AS task_id, line_no - 1 AS pos, c_name AS customer_name,
+for _name in ("explode_details", "stream_requests"):
+    add(_name, _ORD, _LINES, final="""SELECT order_no AS task_id, line_no - 1 AS pos, c_name AS customer_name,
   product_code, imei, l_quantity AS quantity FROM items JOIN ord ON l_orderkey = o_orderkey WHERE good""")
 add("first_detail", _ORD, _LINES, final="""SELECT order_no AS task_id, CASE WHEN line_no = 1 THEN c_name END AS customer_name,
   product_code, imei, l_quantity AS quantity FROM ord LEFT JOIN (SELECT * FROM items WHERE line_no = 1) f ON l_orderkey = o_orderkey WHERE good""")
