@@ -33,7 +33,7 @@ class Encoder:
     table is bounded; pieces beyond it are encoded again when they come again.
     """
 
-    def __init__(self, path: str, table_size: int = 600_000):
+    def __init__(self, path: str, table_size: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel already
         from tokenizers import Tokenizer
 
