@@ -188,6 +188,8 @@ def run_daily_stats(attempts: DataFrame, root: str | None = None) -> DataFrame:
 
 #: What tells a ledger line apart, but for its time: equal lines expire together.
 _LINE = [*LINE_KEY, "line_hash"]
+#: Time in a key of the retention's state, and how many keys share it.
+SLOT_MICROS, SHARDS = 86_400 * MICROS, 16
 
 
 def _with_line(orders: DataFrame) -> DataFrame:
@@ -203,19 +205,22 @@ def _last_tick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def stream_retention(lines: DataFrame, ticks: DataFrame, days: int = L.RETENTION_DAYS) -> DataFrame:
     """The ledger lines whose retention ends, as it ends: order_id, product_code, imei, line_hash, us.
 
-    ``lines``: ledger rows as they come. ``ticks`` carry the current time in ``now``; nothing else moves the clock. Each retrying line is an
-    entry of the state store with its time to live, so expiry reads and rewrites no table.
+    ``lines``: ledger rows as they come. ``ticks`` carry the current time in ``now``; nothing else moves the clock. Retrying lines wait in the
+    state store until their time to live is over, so expiry reads and rewrites no table. Lines of one day and one of ``SHARDS``
+    share a key of the state, so that its timers grow with the days and not with the lines.
     """
     names = [*_LINE, "us"]
-    # numbers travel as text: a null among them, as the clock has, would turn them into floats on the way
+    # no number here is null: a null among them would turn them into floats on the way
     waiting = (_with_line(lines.where("status = 'needs_retry' AND updated_at IS NOT NULL"))
-               .select(F.timestamp_micros(F.lit(0)).alias("clock"), *[F.col(c).cast("string").alias(c) for c in names]))
+               .select(F.timestamp_micros(F.lit(0)).alias("clock"), F.floor(F.col("us") / SLOT_MICROS).cast("long").alias("slot"),
+                       F.pmod("line_hash", F.lit(SHARDS)).cast("int").alias("shard"), *names))
     clock = ticks.where("now IS NOT NULL").select(
-        F.col("now").cast("timestamp").alias("clock"), *[F.lit(None).cast("string").alias(c) for c in names])
+        F.col("now").cast("timestamp").alias("clock"), F.lit(0).cast("long").alias("slot"), F.lit(SHARDS).alias("shard"),
+        *[F.lit(None).cast("string").alias(c) for c in LINE_KEY], *[F.lit(0).cast("long").alias(c) for c in ("line_hash", "us")])
     both = waiting.unionByName(clock.mapInPandas(_last_tick, clock.schema))
-    return (both.withWatermark("clock", "0 seconds").select(*names).groupBy(*names)  # without the clock no line counts as late
-            .transformWithStateInPandas(Expire(days * 86_400 * MICROS, names), ", ".join(f"{c} string" for c in names), "append", "EventTime")
-            .select(*LINE_KEY, F.col("line_hash").cast("long"), F.col("us").cast("long")))
+    return (both.withWatermark("clock", "0 seconds").drop("clock").groupBy("slot", "shard")  # without the clock no line counts as late
+            .transformWithStateInPandas(Expire(days * 86_400 * MICROS, names, SHARDS),
+                                        ", ".join(f"{c} string" for c in LINE_KEY) + ", line_hash long, us long", "append", "EventTime"))
 
 
 def run_retention(lines: DataFrame, ticks: DataFrame, orders: DataFrame, days: int = L.RETENTION_DAYS, root: str | None = None) -> DataFrame:

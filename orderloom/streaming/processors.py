@@ -416,33 +416,92 @@ class Totals(StatefulProcessor):
 
 
 class Expire(StatefulProcessor):
-    """A state entry per line until its time to live is over; then its key is returned. Keys end in the line's time."""
+    """Lines that wait in the state store until their time to live is over; then they are returned, equal ones once.
 
-    def __init__(self, live: int, names: list[str]):
-        self.live, self.names = live, names
+    A key is a slot of time and a shard of its lines; ``names`` end in the line's time. A key's lines are in parts of at most ``PART``, cut in
+    the order of time, and beside each part is the time of its first line. So a tick reads only parts with lines that expire, and a key has one timer.
+    """
+
+    def __init__(self, live: int, names: list[str], clock: int):
+        """``clock``: the shard of the rows that only carry the time."""
+        self.live, self.names, self.clock = live, names, clock
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.line = handle.getValueState("line", "us long")
-
-    def _returned(self, key) -> pd.DataFrame:
-        return pd.DataFrame([tuple(key)], columns=self.names)
+        self.parts = handle.getMapState("parts", "part int", "rows binary")
+        self.firsts = handle.getMapState("firsts", "part int", "us long")
+        self.next = handle.getValueState("next", "part int, timer long")
+
+    def _cut(self, lines: Iterable[tuple], now: int) -> tuple[list[tuple], list[tuple]]:
+        """Those that are over, and those that wait."""
+        over, wait = [], []
+        for line in lines:
+            (over if line[-1] + self.live < now else wait).append(line)
+        return over, wait
+
+    def _put(self, part: int, lines: list[tuple]) -> None:
+        """Lines in the order of time."""
+        self.parts.updateValue((part,), (pickle.dumps(lines),))
+        self.firsts.updateValue((part,), (lines[0][-1],))
+
+    def _timer(self, part: int, before: int | None, first: int) -> None:
+        at = (first + self.live) // 1000 + 1
+        if before is not None and before <= at:
+            at = before
+        else:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.handle.registerTimer(at)
+        self.next.update((part, at))
+
+    def _frame(self, lines: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(lines, columns=self.names)
 
     def handleInputRows(self, key, rows, timerValues):
-        for _ in rows:
-            pass
-        if key[-1] is None:  # the clock
+        if key[1] == self.clock:
+            for _ in rows:
+                pass
             return
-        now, us = timerValues.getCurrentWatermarkInMs() * 1000, int(key[-1])
-        if us + self.live < now:
-            yield self._returned(key)
-        elif not self.line.exists():
-            self.line.update((us,))
-            self.handle.registerTimer((us + self.live) // 1000 + 1)
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        part, timer = self.next.get() or (0, None)
+        first, seen = None, set()
+        for frame in rows:
+            over, wait = self._cut(dict.fromkeys(zip(*(frame[c].tolist() for c in self.names))), now)
+            new = [line for line in over if line not in seen]
+            if new:
+                seen.update(new)
+                yield self._frame(new)
+            wait.sort(key=itemgetter(-1))
+            for at in range(0, len(wait), PART):
+                self._put(part, wait[at:at + PART])
+                part += 1
+            if wait:
+                first = wait[0][-1] if first is None else min(first, wait[0][-1])
+        if first is not None:
+            self._timer(part, timer, first)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.line.clear()
-        yield self._returned(key)
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        part, _ = self.next.get()
+        first, seen = None, set()
+        for (at,), (earliest,) in list(self.firsts.iterator()):
+            if earliest + self.live < now:
+                over, wait = self._cut(pickle.loads(self.parts.getValue((at,))[0]), now)
+                new = [line for line in over if line not in seen]
+                if new:
+                    seen.update(new)
+                    yield self._frame(new)
+                if not wait:
+                    self.parts.removeKey((at,))
+                    self.firsts.removeKey((at,))
+                    continue
+                self._put(at, wait)
+                earliest = wait[0][-1]
+            first = earliest if first is None else min(first, earliest)
+        if first is None:
+            self.next.clear()
+        else:
+            self._timer(part, None, first)
 
     def close(self) -> None:
         pass

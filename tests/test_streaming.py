@@ -8,6 +8,7 @@ from orderloom.operators import digest as D
 from orderloom.operators import ledger as L
 from orderloom.operators import replies as R
 from orderloom.operators import schedule as S
+from orderloom.schema import LEDGER_COLUMNS
 from orderloom.streaming import jobs as J
 from orderloom.streaming import processors as P
 from orderloom.streaming.sinks import BucketedTable, read_stream, run_available
@@ -321,6 +322,25 @@ def test_retention_by_time_to_live(spark, tmp_path):
     assert got.count() < known.count()
 
 
+def test_retention_keeps_few_timers(spark, tmp_path):
+    """40,000 lines of two days wait in parts under few keys, each with one timer; ticks inside a day take parts of them."""
+    n, (root, lines, ticks) = 40_000, (str(tmp_path / d) for d in ("state", "rows", "ticks"))
+    blank = frame(spark, [row("o", "p", "1")]).drop("order_id", "updated_at")
+    orders = spark.range(n).select(F.concat(F.lit("o"), F.col("id") % (n - 5)).alias("order_id"), F.timestamp_micros(
+        F.unix_micros(F.lit(at(0))) + (F.col("id") % (n - 5)) * 4_000_000).alias("updated_at")).crossJoin(blank).select(*LEDGER_COLUMNS)
+    orders.coalesce(3).write.parquet(lines)
+    expired = []
+    for step, hours in enumerate((0, 30)):
+        spark.createDataFrame([(at(3600 * hours),)], "now timestamp").coalesce(1).write.mode("append").parquet(ticks)
+        got = J.run_retention(spark.readStream.schema(orders.schema).parquet(lines), read_stream(spark, str(tmp_path), "ticks"), orders, 1, root)
+        assert got.exceptAll(want := L.cleanup_expired(orders, F.lit(at(3600 * hours)), 1)).isEmpty() and got.count() == want.count()
+        expired.append((got.expired.count(), orders.distinct().count() - want.distinct().count()))
+        if not step:
+            timers = spark.read.format("statestore").option("readRegisteredTimers", "true").load(f"{root}/state")
+            assert 0 < timers.count() <= 2 * J.SHARDS
+    assert expired[0] == (0, 0) and expired[1][0] == expired[1][1] > 0
+
+
 def test_table_of_changes_against_a_dictionary(spark, tmp_path):
     """Batches of changes, deletions and growth: always the last rows of each key, as of every batch, also if a batch runs twice."""
     rng = random.Random(31)
