@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.operators import replies as R
@@ -16,7 +16,7 @@ from orderloom.operators.orders import accepted_requests, flatten_order_lines
 from orderloom.operators.ledger import replace_duplicates
 from orderloom.operators.scan import row_numbers
 from orderloom.schema import LEDGER, LEDGER_COLUMNS
-from orderloom.session import materialize
+from orderloom.session import materialize, shuffle_width
 from orderloom.sources.payloads import parse_payloads
 
 LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -59,30 +59,48 @@ def order_number() -> Column:
         F.concat(F.lit("DH-"), key))
 
 
-@stored
+#: Lines from which on an order is numbered in chunks, and lines of a task where whole orders meet.
+LARGE_ORDER, TASK_LINES = 100_000, 500_000
+
+
+def by_order(lines: DataFrame) -> DataFrame:
+    """Lines of orders, each order in one task, in as many tasks as the lines need: sorts there stay in memory."""
+    spark = lines.sparkSession
+    return lines.repartition(max(shuffle_width(spark), -(-lines.count() // TASK_LINES)), "l_orderkey")
+
+
 def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem with ``line_no`` inside the order, whatever the order's size.
+    """lineitem with ``line_no`` inside the order, whatever the order's size. Lines without an order number, which have no order, are left out.
 
-    Numbering runs over ordered chunks, so no task takes all lines of a large order.
+    Lines are shuffled once and stay dealt by their order, so a join on it moves only the other side. Only those of large orders, of which there are few, are numbered over ordered chunks, so no task takes all
+    lines of a large order.
     """
-    return row_numbers(table(spark, sf_dir, "lineitem"), ["l_orderkey"], LINE_ORDER, "line_no")
+    lines = table(spark, sf_dir, "lineitem").where("l_orderkey IS NOT NULL")
+    large = materialize(lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LARGE_ORDER).select("l_orderkey"), "large-orders")
+    one_task = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
+    if large.isEmpty():
+        return by_order(lines).withColumn("line_no", F.row_number().over(one_task).cast("long"))
+    # at most one row for each LARGE_ORDER lines
+    rest = by_order(lines.join(F.broadcast(large), "l_orderkey", "left_anti")).withColumn("line_no", F.row_number().over(one_task).cast("long"))
+    return rest.unionByName(row_numbers(lines.join(F.broadcast(large), "l_orderkey", "left_semi"), ["l_orderkey"], LINE_ORDER, "line_no"))
 
 
 @stored
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON order request per order; some are cut short and some lack their order number.
 
-    A request is one document, so its lines meet in one row by nature.
+    A request is one document, so its lines meet in one row by nature, and are numbered there.
     """
-    imei = F.when(F.col("l_partkey") % 7 == 0, "").when(F.col("l_partkey") % 11 == 0, None).otherwise(
-        F.concat(F.lit("IM"), F.col("line_no").cast("string")))
-    item = F.struct(
-        padded(F.col("l_partkey"), 6, "P").alias("maHang"),
-        F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("tenHang"),
-        imei.alias("imei"), F.col("l_quantity").alias("soLuong"), F.col("l_extendedprice").alias("doanhThu"))
-    detail = (numbered_lines(spark, sf_dir).groupBy("l_orderkey")
-              .agg(F.sort_array(F.collect_list(F.struct("line_no", item.alias("item")))).alias("_d"))
-              .select("l_orderkey", F.transform("_d", lambda d: d["item"]).alias("detail")))
+    def item(line: Column, n: Column) -> Column:
+        part = line["l_partkey"]
+        imei = F.when(part % 7 == 0, "").when(part % 11 == 0, None).otherwise(F.concat(F.lit("IM"), (n + 1).cast("string")))
+        return F.struct(
+            padded(part, 6, "P").alias("maHang"), F.concat(F.lit("Part "), part.cast("string")).alias("tenHang"),
+            imei.alias("imei"), line["l_quantity"].alias("soLuong"), line["l_extendedprice"].alias("doanhThu"))
+
+    lines = table(spark, sf_dir, "lineitem").where("l_orderkey IS NOT NULL").select("l_orderkey", *LINE_ORDER)
+    detail = (by_order(lines).groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(*LINE_ORDER))).alias("_d"))
+              .select("l_orderkey", F.transform("_d", item).alias("detail")))
     no_lines = F.array().cast(detail.schema["detail"].dataType)
     key = F.col("o_orderkey")
     declared = F.when(key % 5 == 0, None).when(key % 3 == 0, "online").when(key % 3 == 1, "offline").otherwise("store")
