@@ -6,11 +6,11 @@ are the same line if order, product code and imei are equal and none of them is
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.schema import LEDGER_COLUMNS, LINE_KEY
-from orderloom.session import materialize
+from orderloom.session import materialize, shuffle_width
 
 RETENTION_DAYS = 2
 _DAY_MICROS = 86_400_000_000
@@ -24,6 +24,12 @@ def _has_key() -> Column:
     return F.col("order_id").isNotNull() & F.col("product_code").isNotNull() & F.col("imei").isNotNull()
 
 
+def _by_order(rows: DataFrame) -> DataFrame:
+    """Rows with a full key, dealt by their order: its lines stand together, so what they have in common shrinks in the shuffle. The number of
+    tasks is fixed, since merging tasks by their shrunk size would make them too large to sort in memory."""
+    return rows.repartition(shuffle_width(rows.sparkSession), "order_id")
+
+
 def ledger_violations(orders: DataFrame) -> DataFrame:
     """Rows that break a rule of the ledger: ``rule, order_id, product_code, imei, n``."""
     broken = F.array_compact(F.array(
@@ -39,9 +45,10 @@ def ledger_violations(orders: DataFrame) -> DataFrame:
 
 def replace_duplicates(lines: DataFrame, order: tuple[str, ...] = ("updated_at", "pos")) -> DataFrame:
     """The last line per key; lines with a NULL key part all stay."""
-    last = (lines.where(_has_key()).groupBy(*LINE_KEY)
-            .agg(F.max_by(F.struct(*lines.columns), F.struct(*order)).alias("_row")).select("_row.*"))
-    return last.unionByName(lines.where(~_has_key()))
+    values = [c for c in lines.columns if c not in LINE_KEY]
+    last = (_by_order(lines.where(_has_key())).groupBy(*LINE_KEY)
+            .agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_row")).select(*LINE_KEY, "_row.*"))
+    return last.select(*lines.columns).unionByName(lines.where(~_has_key()))
 
 
 def _ledger(df: DataFrame) -> DataFrame:
@@ -70,7 +77,14 @@ def _last_values(lines: DataFrame, *order: str) -> DataFrame:
 
 def update_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Overwrite matching rows but for their first failure time; unmatched lines are lost."""
-    return _overwrite(orders, _last_values(lines, "updated_at", "pos"))
+    # Both sides go by their order and meet in a window over the key, so each is shuffled once; a join would deal them anew by the whole key.
+    values = [c for c in LEDGER_COLUMNS if c not in KEPT_ON_UPDATE]
+    both = (_ledger(orders).where(_has_key()).withColumn("_line", F.lit(False))
+            .unionByName(lines.where(_has_key()).select(*LEDGER_COLUMNS, "pos", F.lit(True).alias("_line")), allowMissingColumns=True))
+    new = F.max_by(F.struct(*values), F.when(F.col("_line"), F.struct("updated_at", "pos"))).over(Window.partitionBy(*LINE_KEY))
+    keyed = _by_order(both).withColumn("_new", new).where("NOT _line").select(*[
+        F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in LEDGER_COLUMNS])
+    return keyed.unionByName(_ledger(orders.where(~_has_key())))
 
 
 def _known_keys(orders: DataFrame) -> DataFrame:
