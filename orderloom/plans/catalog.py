@@ -493,7 +493,7 @@ def _event_stream(spark, d):
 def stream_requests(spark, d):
     """Requests as they arrive, one JSON line each, to the detail lines of those that are accepted."""
     folder = fresh_path(spark, "requests")
-    I.requests(spark, d).write.json(folder)
+    I.requests(spark, d).write.option("compression", "gzip").json(folder)
     lines = O.explode_details(O.accepted_requests(PL.parse_payloads(PL.read_request_stream(spark, folder))))
     return run_available(lines.select("task_id", "pos", *_item()), "request-lines")
 
