@@ -1,15 +1,14 @@
 """Token counts of texts under a unigram model, with scores shared along a trie of pre-tokens.
 
 The pieces are those of a public vocabulary; none is added or dropped. Their probabilities are fitted to the documents by expectation
-maximisation: forward scores once per shared prefix of the sampled pre-tokens, backward scores per word, and expected uses of each piece.
-The sample is the ``SAMPLE`` different pre-tokens with the smallest hash, with their counts over all documents. A
-text's segmentation is the one of highest probability (ties: fewer tokens). A character that no piece covers
+maximisation over all their different pre-tokens: forward scores once per shared prefix, backward scores per word, and expected uses of each
+piece, added up over the tasks in every round. A text's segmentation is the one of highest probability (ties: fewer tokens). A character that no piece covers
 counts as its UTF-8 bytes, one token each, each scored below every piece.
 
 Pre-tokens are the stretches between white space, with the mark that the vocabulary puts for a word start. The
 distinct ones of a batch are walked in sorted order, which is a depth-first walk of their trie: the best score up to a
 prefix is computed once for all words that share it, and each terminal keeps its count. Counts of words already seen by a task are
-kept in a bounded table. Documents are counted where they are read; only the sample is shuffled.
+kept in a bounded table. Documents are counted where they are read; different pre-tokens with their counts are shuffled once.
 
 Defined results: null, empty and white-space texts have 0 pre-tokens and 0 tokens; equal rows are counted each; a null doc_id is
 passed on; an empty table gives no rows; other columns are ignored.
@@ -35,8 +34,10 @@ WORD_START = "▁"
 COUNTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_pretokens", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
 
-#: Different pre-tokens that the probabilities are fitted to, rounds of the fit, and what every piece counts beside its uses.
-SAMPLE, ROUNDS, PRIOR = 20_000, 5, 0.1
+#: Rounds of the fit, and what every piece counts beside its uses.
+ROUNDS, PRIOR = 5, 0.1
+#: Different pre-tokens that a task holds while it counts.
+HELD = 500_000
 
 
 def load_pieces(path: str) -> dict[str, float]:
@@ -55,69 +56,40 @@ def _hash(word: str) -> int:
     return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-SAMPLED = T.StructType([T.StructField("word", T.StringType()), T.StructField("hash", T.LongType()), T.StructField("n", T.LongType())])
+COUNTED = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
+USED = T.StructType([T.StructField("piece", T.IntegerType()), T.StructField("uses", T.DoubleType())])
 
 
-def _smallest(size: int):
-    """A task's ``size`` pre-tokens of smallest hash, counted. Whatever is among the smallest of all is so in each task that has it, from its first
-    sight on, so its counts are whole."""
-    def batches(stream):
-        kept: dict[str, list[int]] = {}
-        limit = 1 << 63
-        hashes: dict[str, int] = {}
-        for batch in stream:
-            texts = batch.column(0).to_pylist()
-            for start, stop in text_groups(texts):
-                seen = Counter(chain.from_iterable(map(str.split, filter(None, texts[start:stop]))))
-                for word, n in seen.items():
-                    if word in kept:
-                        kept[word][1] += n
-                        continue
-                    h = hashes.get(word)
-                    if h is None:
-                        h = _hash(word)
-                        if len(hashes) < 500_000:
-                            hashes[word] = h
-                    if h < limit:
-                        kept[word] = [h, n]
-                if len(kept) > 2 * size:
-                    limit = sorted(h for h, _ in kept.values())[size]
-                    kept = {w: v for w, v in kept.items() if v[0] < limit}
-        if len(kept) > size:
-            limit = sorted(h for h, _ in kept.values())[size]
-        rows = [(w, h, n) for w, (h, n) in kept.items() if h < limit]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))],
-                                         names=SAMPLED.names)
-    return batches
-
-
-def _limit(hashes: DataFrame, size: int) -> int | None:
-    """A bound that at least ``size`` hashes reach and fewer than ``size`` more do (none: fewer hashes than that), found digit by
-    digit: a step collects at most 65,536 counts."""
-    need, shift, inside = size, 48, F.lit(True)
-    while True:
-        digit = F.shiftright("hash", shift)
-        counts = sorted((r["d"], r["n"]) for r in hashes.where(inside).groupBy(digit.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect())
-        for d, n in counts:
-            if n >= need:
-                break
-            need -= n
-        else:
-            return None
-        if n < need + size or not shift:
-            return ((d + 1) << shift) - 1
-        inside, shift = digit == d, shift - 16
+def _counted(stream):
+    """Pre-tokens of a task's texts and their counts; a word comes again whenever the table of ``HELD`` words is full."""
+    seen: Counter = Counter()
 
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=COUNTED.names)
+    for rows in stream:
+        texts = rows.column(0).to_pylist()
+        for start, stop in text_groups(texts):
+            seen.update(chain.from_iterable(map(str.split, filter(None, texts[start:stop]))))
+            if len(seen) > HELD:
+                yield batch()
+                seen.clear()
+    yield batch()
 
-def sampled_pretokens(docs: DataFrame, size: int = SAMPLE) -> dict[str, int]:
-    """Counts over all documents of the ``size`` pre-tokens of smallest hash."""
-    ws = Workspace(docs.sparkSession, "pretokens")
-    counted = ws.store(docs.select("text").mapInArrow(_smallest(size), SAMPLED).groupBy("hash", "word").agg(F.sum("n").alias("n")), "counted")
-    limit = _limit(counted, size)
-    least = counted if limit is None else counted.where(F.col("hash") <= limit)
-    rows = sorted((r["hash"], r["word"], r["n"]) for r in least.collect())
-    ws.drop(counted)
-    return {word: n for _, word, n in rows[:size]}
+
+def pretoken_counts(docs: DataFrame) -> DataFrame:
+    """word, n: every different pre-token of all documents."""
+    return docs.select("text").mapInArrow(_counted, COUNTED).groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def sampled_pretokens(docs: DataFrame, size: int = 20_000) -> dict[str, int]:
+    """Counts over all documents of the ``size`` pre-tokens of smallest hash, for a look at a corpus. The fit takes all."""
+    hashed = pretoken_counts(docs).mapInArrow(_hashed, "word string, n long, hash long")
+    return {r["word"]: r["n"] for r in hashed.orderBy("hash", "word").limit(size).collect()}
+
+
+def _hashed(stream):
+    for rows in stream:
+        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(map(_hash, rows.column(0).to_pylist()), pa.int64())], names=["word", "n", "hash"])
 
 
 def _log_sum(a: float, b: float) -> float:
@@ -126,15 +98,38 @@ def _log_sum(a: float, b: float) -> float:
     return a if b == -math.inf else a + math.log1p(math.exp(b - a))
 
 
-def expected_uses(words: dict[str, int], pieces: dict[str, float], fallback: float) -> tuple[dict[str, float], float]:
+#: Below this the probability of a word is summed by logarithms.
+LEAST = 1e-250
+
+
+def _uses_by_logs(steps: list[list[tuple]], n: int, uses: dict[str, float]) -> float:
+    """Adds the uses of a word, however improbable, and returns its log-probability."""
+    size = len(steps) - 1
+    forward, backward = [0.0], [-math.inf] * size + [0.0]
+    for here in steps[1:]:
+        value = -math.inf
+        for start, score, _, _ in here:
+            value = _log_sum(value, forward[start] + score)
+        forward.append(value)
+    for end in range(size, 0, -1):
+        for start, score, _, piece in steps[end]:
+            through = score + backward[end]
+            backward[start] = _log_sum(backward[start], through)
+            if piece is not None:
+                uses[piece] += n * math.exp(forward[start] + through - forward[size])
+    return forward[size]
+
+
+def expected_uses(words: dict[str, int], pieces: dict[str, float], fallback: float, tails: set[str] | None = None) -> tuple[dict[str, float], float]:
     """Of each piece over all segmentations of all words, by their probability, and the words' log-likelihood.
 
-    Words are walked in order, so forward scores are computed once for each node of their trie.
+    Words are walked in order, so forward scores are computed once for each node of their trie. ``tails``: ``piece_tails(pieces)``, if known.
     """
-    tails = piece_tails(pieces)
+    tails = piece_tails(pieces) if tails is None else tails
+    odds = {p: (s, math.exp(s), p) for p, s in pieces.items()}
     uses: dict[str, float] = dict.fromkeys(pieces, 0.0)
     total, at = 0.0, ""
-    forward, steps = [0.0], [[]]  # per prefix: its log-probability, and the pieces that end there (start, score, piece)
+    forward, steps = [1.0], [[]]  # per prefix: its probability, and the pieces that end there (start, log-probability, probability, piece)
     for word in sorted(words):
         same = 0
         for a, b in zip(at, word):
@@ -143,28 +138,33 @@ def expected_uses(words: dict[str, int], pieces: dict[str, float], fallback: flo
             same += 1
         del forward[same + 1:], steps[same + 1:]
         for end in range(same + 1, len(word) + 1):
-            here = [(end - 1, fallback * len(word[end - 1].encode("utf-8", "surrogatepass")), None)]
+            score = fallback * len(word[end - 1].encode("utf-8", "surrogatepass"))
+            chance = math.exp(score)
+            here, value = [(end - 1, score, chance, None)], forward[end - 1] * chance
             for start in range(end - 1, -1, -1):
                 piece = word[start:end]
-                score = pieces.get(piece)
-                if score is not None:
-                    here.append((start, score, piece))
+                known = odds.get(piece)
+                if known is not None:
+                    here.append((start, *known))
+                    value += forward[start] * known[1]
                 elif piece not in tails:
                     break
             steps.append(here)
-            value = -math.inf
-            for start, score, _ in here:
-                value = _log_sum(value, forward[start] + score)
             forward.append(value)
-        at, n = word, words[word]
-        total += n * forward[len(word)]
-        backward = [-math.inf] * len(word) + [0.0]
-        for end in range(len(word), 0, -1):
-            for start, score, piece in steps[end]:
-                through = score + backward[end]
-                backward[start] = _log_sum(backward[start], through)
-                if piece is not None:
-                    uses[piece] += n * math.exp(forward[start] + through - forward[len(word)])
+        at, n, size = word, words[word], len(word)
+        if forward[size] < LEAST:
+            total += n * _uses_by_logs(steps, n, uses)
+            continue
+        total += n * math.log(forward[size])
+        backward = [0.0] * size + [n / forward[size]]
+        for end in range(size, 0, -1):
+            after = backward[end]
+            if after:
+                for start, _, chance, piece in steps[end]:
+                    through = chance * after
+                    backward[start] += through
+                    if piece is not None:
+                        uses[piece] += forward[start] * through
     return uses, total
 
 
@@ -182,9 +182,40 @@ def fitted(words: dict[str, int], pieces: dict[str, float], rounds: int = ROUNDS
     """Log-probabilities of the pieces after ``rounds`` of expectation maximisation; without words the first guess stays."""
     marked = {WORD_START + w: n for w, n in words.items()}
     for _ in range(rounds if marked else 0):
-        uses, _ = expected_uses(marked, pieces, below_all(pieces))
-        whole = math.log(sum(uses.values()) + prior * len(uses))
-        pieces = {p: math.log(u + prior) - whole for p, u in uses.items()}
+        pieces = _maximised(expected_uses(marked, pieces, below_all(pieces))[0], prior)
+    return pieces
+
+
+def _maximised(uses: dict[str, float], prior: float) -> dict[str, float]:
+    whole = math.log(sum(uses.values()) + prior * len(uses))
+    return {p: math.log(u + prior) - whole for p, u in uses.items()}
+
+
+def fitted_to(words: DataFrame, pieces: dict[str, float], rounds: int = ROUNDS, prior: float = PRIOR) -> dict[str, float]:
+    """``fitted`` over a table of all words (word, n): each task adds up the uses of its words, and what comes back has a row for each piece."""
+    names = list(pieces)
+    for _ in range(rounds):
+        shared = words.sparkSession.sparkContext.broadcast(pieces)  # one number for each piece of the vocabulary
+
+        def used(stream):
+            known = shared.value
+            at = {p: i for i, p in enumerate(known)}
+            fallback, tails = below_all(known), piece_tails(known)
+            sums = [0.0] * len(known)
+            for rows in stream:
+                counts = {WORD_START + w: n for w, n in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist())}
+                for piece, u in expected_uses(counts, known, fallback, tails)[0].items():
+                    if u:
+                        sums[at[piece]] += u
+            some = [(i, u) for i, u in enumerate(sums) if u]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in some], pa.int32()), pa.array([u for _, u in some], pa.float64())], names=USED.names)
+
+        uses = dict.fromkeys(names, 0.0)
+        uses.update((names[r["piece"]], r["uses"]) for r in words.mapInArrow(used, USED).groupBy("piece").agg(F.sum("uses").alias("uses")).collect())
+        shared.unpersist()
+        if not any(uses.values()):
+            return pieces
+        pieces = _maximised(uses, prior)
     return pieces
 
 
@@ -253,9 +284,12 @@ def _counter(digest: str, pieces: dict[str, float]) -> TrieCounter:
     return _COUNTERS[digest]
 
 
-def token_counts(docs: DataFrame, model: str, sample: int = SAMPLE) -> DataFrame:
+def token_counts(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_pretokens, n_tokens for every row; ``model`` is a sentencepiece model file, read where this is called."""
-    pieces = fitted(sampled_pretokens(docs, sample), load_pieces(model))
+    ws = Workspace(docs.sparkSession, "pretokens")
+    words = ws.store(pretoken_counts(docs).sortWithinPartitions("word"), "counted")  # neighbours share their prefixes
+    pieces = fitted_to(words, load_pieces(model))
+    ws.drop(words)
     digest = hashlib.sha256(repr(sorted(pieces.items())).encode()).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast(pieces)  # one number for each piece of the vocabulary
 

@@ -11,7 +11,7 @@ import pytest
 from orderloom.llm import packing, sharding, token_count, token_planes
 from orderloom.llm.encoding import Encoder
 from orderloom.llm.queries import tokenizer_path
-from tests.llm.conftest import rows
+from tests.llm.conftest import make, rows
 
 
 @pytest.fixture(scope="module")
@@ -233,6 +233,18 @@ def test_sampled_pretokens_are_counted_over_all_documents(spark, odd, odd_pairs,
     assert token_count.sampled_pretokens(empty) == {}
 
 
+def test_probabilities_come_from_every_pretoken(spark):
+    """More different pre-tokens than any sample had: each counts in the fit, and improbable words as well."""
+    texts = [" ".join(f"q{i:x}z" for i in range(a, a + 500)) for a in range(0, 21_000, 500)] + ["é" * 400, None, "§§ the the re"]
+    pieces = {p: -float(i) for i, p in enumerate([token_count.WORD_START, "q", "z", "the", "re", *"0123456789abcdef", "é", token_count.WORD_START + "the"], 1)}
+    want = token_count.fitted(Counter(w for t in texts for w in (t or "").split()), pieces)
+    words = token_count.pretoken_counts(make(spark, list(enumerate(texts))).repartition(5)).cache()
+    assert words.count() == 21_004
+    got = token_count.fitted_to(words, pieces)
+    assert got == pytest.approx(want) and got != pytest.approx(pieces)
+    assert token_count.fitted_to(words.limit(0), pieces) == pieces
+
+
 def splits(word, pieces, fallback):
     """Every segmentation: (its log-probability, its pieces)."""
     if not word:
