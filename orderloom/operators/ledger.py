@@ -32,15 +32,18 @@ def _by_order(rows: DataFrame) -> DataFrame:
 
 def ledger_violations(orders: DataFrame) -> DataFrame:
     """Rows that break a rule of the ledger: ``rule, order_id, product_code, imei, n``."""
-    broken = F.array_compact(F.array(
-        F.when(F.col("order_id").isNull(), "order_id_missing"),
-        F.when(~F.col("source_type").isin(*SOURCE_TYPES), "source_type_unknown"),
-        F.when(~F.col("status").isin(*STATUSES), "status_unknown")))
-    rows = (orders.select(F.explode(broken).alias("rule"), *LINE_KEY)
-            .groupBy("rule", *LINE_KEY).agg(F.count(F.lit(1)).alias("n")))
-    repeated = (orders.where(_has_key()).groupBy(*LINE_KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                .select(F.lit("line_repeated").alias("rule"), *LINE_KEY, "n"))
-    return rows.unionByName(repeated)
+    # All rules are counted per key at once, so the table is read and shuffled once.
+    counted = orders.groupBy(*LINE_KEY).agg(
+        F.count(F.lit(1)).alias("_lines"), F.count_if(~F.col("source_type").isin(*SOURCE_TYPES)).alias("_source"),
+        F.count_if(~F.col("status").isin(*STATUSES)).alias("_status"))
+
+    def broken(rule: str, holds: Column, n: str) -> Column:
+        return F.when(holds, F.struct(F.lit(rule).alias("rule"), F.col(n).alias("n")))
+
+    rules = F.array_compact(F.array(
+        broken("order_id_missing", F.col("order_id").isNull(), "_lines"), broken("source_type_unknown", F.col("_source") > 0, "_source"),
+        broken("status_unknown", F.col("_status") > 0, "_status"), broken("line_repeated", _has_key() & (F.col("_lines") > 1), "_lines")))
+    return counted.select(F.explode(rules).alias("_broken"), *LINE_KEY).select("_broken.rule", *LINE_KEY, "_broken.n")
 
 
 def replace_duplicates(lines: DataFrame, order: tuple[str, ...] = ("updated_at", "pos")) -> DataFrame:

@@ -61,6 +61,8 @@ def order_number() -> Column:
 
 #: Lines from which on an order is numbered in chunks, and lines of a task where whole orders meet.
 LARGE_ORDER, TASK_LINES = 100_000, 500_000
+#: Hash slots by which lines are counted before they are counted by their order.
+ORDER_SLOTS = 1 << 14
 
 
 def by_order(lines: DataFrame) -> DataFrame:
@@ -69,6 +71,18 @@ def by_order(lines: DataFrame) -> DataFrame:
     return lines.repartition(max(shuffle_width(spark), -(-lines.count() // TASK_LINES)), "l_orderkey")
 
 
+def large_orders(lines: DataFrame) -> DataFrame | None:
+    """The orders of ``LARGE_ORDER`` lines or more; None if there are none. Lines are first counted per hash slot, so only those of slots
+    with as many lines, if any, are counted by their order."""
+    slot = F.pmod(F.xxhash64("l_orderkey"), F.lit(ORDER_SLOTS)).cast("int").alias("_slot")
+    full = materialize(lines.groupBy(slot).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LARGE_ORDER).select("_slot"), "large-slots")
+    if full.isEmpty():
+        return None
+    counts = lines.select("l_orderkey", slot).join(F.broadcast(full), "_slot", "left_semi").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    large = materialize(counts.where(F.col("n") >= LARGE_ORDER).select("l_orderkey"), "large-orders")
+    return None if large.isEmpty() else large
+
+
 def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with ``line_no`` inside the order, whatever the order's size. Lines without an order number, which have no order, are left out.
 
@@ -76,9 +90,9 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines of a large order.
     """
     lines = table(spark, sf_dir, "lineitem").where("l_orderkey IS NOT NULL")
-    large = materialize(lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LARGE_ORDER).select("l_orderkey"), "large-orders")
+    large = large_orders(lines)
     one_task = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
-    if large.isEmpty():
+    if large is None:
         return by_order(lines).withColumn("line_no", F.row_number().over(one_task).cast("long"))
     # at most one row for each LARGE_ORDER lines
     rest = by_order(lines.join(F.broadcast(large), "l_orderkey", "left_anti")).withColumn("line_no", F.row_number().over(one_task).cast("long"))

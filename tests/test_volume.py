@@ -40,6 +40,26 @@ def test_lines_are_numbered_within_their_order_also_in_chunks(spark, tmp_path, m
         assert sorted((r.l_orderkey, r.line_no, *(r[c] for c in got.columns if c not in ("l_orderkey", "line_no"))) for r in got.collect()) == want
 
 
+def test_rules_are_counted_in_one_pass(spark, tmp_path):
+    """The lines are read and numbered once for all rules, and keys are shuffled once."""
+    lines_of(spark, tmp_path)
+    made = L.ledger_violations(I.raw_ledger(spark, str(tmp_path)))
+    assert plan(made).count("Window") == 1 and plan(made).count("hashpartitioning(order_id") == 1
+
+
+def test_large_orders_are_found_by_slots(spark, tmp_path, monkeypatch):
+    lines_of(spark, tmp_path)
+    lines = I.table(spark, str(tmp_path), "lineitem").where("l_orderkey IS NOT NULL")
+    assert I.large_orders(lines) is None
+    monkeypatch.setattr(I, "LARGE_ORDER", 6)
+    for slots in (1, 1 << 14):  # in one slot with small orders, and nearly alone
+        monkeypatch.setattr(I, "ORDER_SLOTS", slots)
+        assert {r.l_orderkey for r in I.large_orders(lines).collect()} == {1, 4}
+    monkeypatch.setattr(I, "LARGE_ORDER", 45)
+    monkeypatch.setattr(I, "ORDER_SLOTS", 1)
+    assert I.large_orders(lines) is None  # a full slot of small orders
+
+
 def test_a_request_numbers_its_lines_by_itself(spark, tmp_path):
     """One shuffle of the lines, and the numbers of the numbered table in the document."""
     lines_of(spark, tmp_path)
