@@ -6,6 +6,8 @@ are the same line if order, product code and imei are equal and none of them is
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,19 +67,6 @@ def insert_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
             .select(*LEDGER_COLUMNS).unionByName(new))
 
 
-def _overwrite(orders: DataFrame, changes: DataFrame) -> DataFrame:
-    """``changes``: the line key and ``_new``, a struct of the values that replace the row's."""
-    values = [c for c in LEDGER_COLUMNS if c not in KEPT_ON_UPDATE]
-    return orders.join(changes, [*LINE_KEY], "left").select(*[
-        F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
-        for c in LEDGER_COLUMNS])
-
-
-def _last_values(lines: DataFrame, *order: str) -> DataFrame:
-    values = [c for c in LEDGER_COLUMNS if c not in KEPT_ON_UPDATE]
-    return lines.where(_has_key()).groupBy(*LINE_KEY).agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_new"))
-
-
 def update_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Overwrite matching rows but for their first failure time; unmatched lines are lost."""
     # Both sides go by their order and meet in a window over the key, so each is shuffled once; a join would deal them anew by the whole key.
@@ -211,6 +200,27 @@ def _chains(touches: DataFrame) -> DataFrame:
     return materialize(touches.join(won, one, "left_semi").select(*key, "seq"), "replay-won")
 
 
+def _replayed(keyed: DataFrame, last_ok: DataFrame, owned: DataFrame | None, orders: DataFrame | None) -> DataFrame:
+    """Rows with the values of the last attempt that names their key: those of ``orders`` without a delivery, and the inserted ones (``owned``).
+
+    Old rows, attempted lines, inserts and deliveries go by their order and meet in windows, so each is shuffled once.
+    """
+    values = [c for c in LEDGER_COLUMNS if c not in KEPT_ON_UPDATE]
+    sides = [keyed.select(*LEDGER_COLUMNS, "seq", "pos", F.lit("line").alias("_side")),
+             last_ok.select("order_id", F.lit("delivery").alias("_side"))]
+    if owned is not None:
+        sides.append(owned.select(*LINE_KEY, F.col("seq.at").alias("first_failure_time"), F.lit("insert").alias("_side")))
+    if orders is not None:
+        sides.append(_ledger(orders.where("order_id IS NOT NULL")).withColumn("_side", F.lit("row")))
+    every = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    new = F.max_by(F.struct(*values), F.when(F.col("_side") == "line", F.struct("seq", "pos"))).over(Window.partitionBy(*LINE_KEY))
+    delivered = F.max(F.col("_side") == "delivery").over(Window.partitionBy("order_id"))
+    return (_by_order(every).withColumn("_new", new).withColumn("_delivered", delivered)
+            .where("_side = 'insert' OR (_side = 'row' AND NOT _delivered)").select(*[
+                F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+                for c in LEDGER_COLUMNS]))
+
+
 def ledger_replay(lines: DataFrame, deliveries: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """The ledger after a log of failures and deliveries, as if applied one by one in time order.
 
@@ -226,19 +236,18 @@ def ledger_replay(lines: DataFrame, deliveries: DataFrame, orders: DataFrame | N
     """
     seq = F.struct(F.col("updated_at").alias("at"), F.col("attempt_no").alias("no"))
     last_ok = _last_deliveries(deliveries)
+    # ``_renewed``: the order was delivered before this attempt, so that it had no rows then
     live = (lines.withColumn("seq", seq).join(last_ok, "order_id", "left")
-            .where("_ok IS NULL OR seq > _ok").drop("_ok"))
+            .where("_ok IS NULL OR seq > _ok").withColumn("_renewed", F.col("_ok").isNotNull()).drop("_ok"))
     live = materialize(live, "replay-lines")
     key = [*LINE_KEY]
     keyed = live.where(_has_key())
 
-    base = None
+    touches = keyed.select(*key, "seq", "_renewed").distinct()
     if orders is not None:
-        base = materialize(_ledger(orders).join(last_ok, "order_id", "left_anti").select(*LEDGER_COLUMNS), "replay-base")
-    touches = keyed.select(*key, "seq").distinct()
-    if base is not None:
-        settled = touches.join(_known_keys(base), key, "left_semi").select("order_id", "seq").distinct()
+        settled = touches.where("NOT _renewed").join(_known_keys(orders), key, "left_semi").select("order_id", "seq").distinct()
         touches = touches.join(settled, ["order_id", "seq"], "left_anti")
+    touches = touches.drop("_renewed")
     touches = materialize(touches, "replay-open")
 
     inserts = []
@@ -257,25 +266,14 @@ def ledger_replay(lines: DataFrame, deliveries: DataFrame, orders: DataFrame | N
         if not touches.isEmpty():
             touches = settle(_chains(touches), touches)
 
-    latest = _last_values(live, "seq", "pos")
-    parts = []
-    if inserts:
-        owned = inserts[0]
-        for more in inserts[1:]:
-            owned = owned.unionByName(more)
-        parts.append(owned.join(latest, key).select(
-            *[F.col(c) if c in key else F.col("seq.at").alias(c) if c == "first_failure_time"
-              else F.col(f"_new.{c}").alias(c) for c in LEDGER_COLUMNS]))
+    owned = functools.reduce(DataFrame.unionByName, inserts) if inserts else None
+    parts = [_replayed(keyed, last_ok, owned, orders)]
+    if orders is not None:
+        parts.append(_ledger(orders.where("order_id IS NULL")))  # no attempt and no delivery names them
 
     # Lines without a full key: kept whenever their attempt inserted.
-    loose = live.where(~_has_key())
-    if base is not None:
-        parts.append(_overwrite(base, latest))
     with_key = keyed.select("order_id", "seq").distinct()
-    if inserts:
+    if owned is not None:
         with_key = with_key.join(owned.select("order_id", "seq").distinct(), ["order_id", "seq"], "left_anti")
-    parts.append(loose.join(with_key, ["order_id", "seq"], "left_anti").select(*LEDGER_COLUMNS))
-    result = parts[0]
-    for more in parts[1:]:
-        result = result.unionByName(more)
-    return result
+    parts.append(live.where(~_has_key()).join(with_key, ["order_id", "seq"], "left_anti").select(*LEDGER_COLUMNS))
+    return functools.reduce(DataFrame.unionByName, parts)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orderloom.operators.scan import row_numbers
 from orderloom.schema import DETAIL_TO_LEDGER, LEDGER, LEDGER_COLUMNS, MASTER_TO_LEDGER
 
-#: Hashes by which documents without a reply are told before the join, whatever the number of replies.
+#: Rows of hashes, of 64 each, by which documents without a reply are told before the join, whatever the number of replies.
 REPLY_SLOTS = 1 << 20
 
 
@@ -81,6 +81,19 @@ def error_code_or_error(body, error) -> Column:
     return F.when(has_key, F.get_json_object(body, "$.errorCode")).otherwise(error)
 
 
+def likely_answered(requests: DataFrame, replies: DataFrame, on: str) -> DataFrame:
+    """The requests without most of those that have no reply; those with one all stay.
+
+    Documents without a reply go before anything is shuffled: the hashes of the replies' ids are broadcast, 64 to a row, in at most
+    ``REPLY_SLOTS`` rows. With 64 hashes to a row the table is nearly empty even with millions of replies, so few others stay.
+    """
+    slot = F.pmod(F.xxhash64(on), F.lit(64 * REPLY_SLOTS))
+    row, bit = F.shiftright(slot, 6).alias("_row"), (slot % 64).cast("int").alias("_bit")
+    marked = replies.select(row, bit).groupBy("_row").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
+    return (requests.select("*", row, bit).join(F.broadcast(marked), "_row")
+            .where(F.expr("shiftrightunsigned(_bits, _bit) & 1L = 1L")).drop("_row", "_bit", "_bits"))
+
+
 def flatten_order_lines(requests: DataFrame, responses: DataFrame, details: str = "all", source: str = "slash",
                         on: str = "task_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """The 21 ledger columns for every line of every request that has a failing response.
@@ -92,10 +105,7 @@ def flatten_order_lines(requests: DataFrame, responses: DataFrame, details: str
     replies = responses.select(
         F.col("task_id").alias(on), *[c for c in responses.columns if c in ("attempt_at", "attempt_no")],
         error_code_or_error("body", "error").alias("error_code"))
-    # Documents without a reply go before anything is shuffled: at most ``REPLY_SLOTS`` hashes of the replies' ids are broadcast,
-    # and a document whose id has none of them has no reply.
-    slot = F.pmod(F.xxhash64(on), F.lit(REPLY_SLOTS)).cast("int").alias("_slot")
-    likely = requests.drop("payload").select("*", slot).join(F.broadcast(replies.select(slot).distinct()), "_slot", "left_semi").drop("_slot")
+    likely = likely_answered(requests.drop("payload"), replies, on)
     # Documents meet their reply before they unfold into lines. Parsed documents are many times
     # their stored size, so the join must not choose to broadcast them by that size.
     answered = likely.join(replies.hint("merge"), on)

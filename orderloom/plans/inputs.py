@@ -21,7 +21,8 @@ from orderloom.sources.payloads import parse_payloads
 
 LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
               "l_returnflag", "l_linestatus", "l_shipdate")
-
+#: What requests and ledger take from a line.
+LINE_VALUES = ("l_partkey", "l_quantity", "l_extendedprice", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
 
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -37,6 +38,17 @@ def stored(make):
     return load
 
 
+def taken_from(source):
+    """An input that is a projection of a stored one, and so isn't kept itself. ``__wrapped__`` derives both anew."""
+    def projected(make):
+        @functools.wraps(make)
+        def load(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return make(source(spark, sf_dir))
+        load.__wrapped__ = lambda spark, sf_dir: make(source.__wrapped__(spark, sf_dir))
+        return load
+    return projected
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -99,23 +111,37 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rest.unionByName(row_numbers(lines.join(F.broadcast(large), "l_orderkey", "left_semi"), ["l_orderkey"], LINE_ORDER, "line_no"))
 
 
+def item_imei(part: Column, line_no: Column) -> Column:
+    return F.when(part % 7 == 0, "").when(part % 11 == 0, None).otherwise(F.concat(F.lit("IM"), line_no.cast("string")))
+
+
 @stored
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order with its customer and its lines in order, from which both requests and ledger are taken: lines are shuffled once
+    for both. An order's lines meet in one row, as they do in its request by nature."""
+    lines = table(spark, sf_dir, "lineitem").where("l_orderkey IS NOT NULL").select("l_orderkey", *LINE_ORDER)
+    detail = (by_order(lines).groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(*LINE_ORDER))).alias("_d"))
+              .select("l_orderkey", F.transform("_d", lambda x: F.struct(*[x[c].alias(c) for c in LINE_VALUES])).alias("lines")))
+    return (table(spark, sf_dir, "orders")
+            .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+            .join(detail, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+            .select("o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "c_custkey", "c_name", "c_nationkey", "c_mktsegment", "lines"))
+
+
+@taken_from(order_lines)
+def requests(orders: DataFrame) -> DataFrame:
     """One JSON order request per order; some are cut short and some lack their order number.
 
     A request is one document, so its lines meet in one row by nature, and are numbered there.
     """
     def item(line: Column, n: Column) -> Column:
         part = line["l_partkey"]
-        imei = F.when(part % 7 == 0, "").when(part % 11 == 0, None).otherwise(F.concat(F.lit("IM"), (n + 1).cast("string")))
         return F.struct(
             padded(part, 6, "P").alias("maHang"), F.concat(F.lit("Part "), part.cast("string")).alias("tenHang"),
-            imei.alias("imei"), line["l_quantity"].alias("soLuong"), line["l_extendedprice"].alias("doanhThu"))
+            item_imei(part, n + 1).alias("imei"), line["l_quantity"].alias("soLuong"), line["l_extendedprice"].alias("doanhThu"))
 
-    lines = table(spark, sf_dir, "lineitem").where("l_orderkey IS NOT NULL").select("l_orderkey", *LINE_ORDER)
-    detail = (by_order(lines).groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(*LINE_ORDER))).alias("_d"))
-              .select("l_orderkey", F.transform("_d", item).alias("detail")))
-    no_lines = F.array().cast(detail.schema["detail"].dataType)
+    orders = orders.withColumn("detail", F.transform("lines", item))
+    no_lines = F.array().cast(orders.schema["detail"].dataType)
     key = F.col("o_orderkey")
     declared = F.when(key % 5 == 0, None).when(key % 3 == 0, "online").when(key % 3 == 1, "offline").otherwise("store")
     master = F.struct(
@@ -129,15 +155,10 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("test").alias("apikey"),
         F.array(F.struct(master.alias("master"), F.coalesce("detail", no_lines).alias("detail"))).alias("data")))
     payload = F.when(key % 97 == 0, F.expr("left(_doc, length(_doc) - 10)")).otherwise(F.col("_doc"))
-    return (
-        table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(detail, key == F.col("l_orderkey"), "left")
-        .withColumn("_doc", document)
-        .select(F.concat(F.lit("B"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("batch_id"),
-                key.alias("seq"), F.lit("https://api.example/import").alias("url"),
-                instant("o_orderdate").alias("submitted_at"), payload.alias("payload"))
-    )
+    return orders.withColumn("_doc", document).select(
+        F.concat(F.lit("B"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("batch_id"),
+        key.alias("seq"), F.lit("https://api.example/import").alias("url"),
+        instant("o_orderdate").alias("submitted_at"), payload.alias("payload"))
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,32 +257,37 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         declared.alias("source_type"), status.alias("status"))
 
 
+def returned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The returned lines with ``line_no`` and their orders; those of large orders, if there are any, never in one row."""
+    if large_orders(table(spark, sf_dir, "lineitem").where("l_orderkey IS NOT NULL")) is None:
+        every = order_lines(spark, sf_dir).select("*", F.posexplode("lines").alias("_at", "_line"))
+        return every.select("*", "_line.*", (F.col("_at") + 1).cast("long").alias("line_no")).where("l_returnflag = 'R'")
+    orders = (table(spark, sf_dir, "orders")
+              .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")))
+    return numbered_lines(spark, sf_dir).where("l_returnflag = 'R'").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
 @stored
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines already known as failing: the returned ones, last touched on their ship date."""
-    lines = numbered_lines(spark, sf_dir).where("l_returnflag = 'R'")
-    orders = (table(spark, sf_dir, "orders")
-              .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")))
     values = {
         "order_id": order_number(), "customer_name": F.col("c_name"),
         "product_code": padded(F.col("l_partkey"), 6, "P"),
         "product_name": F.concat(F.lit("Part "), F.col("l_partkey").cast("string")),
-        "imei": F.when(F.col("l_partkey") % 7 == 0, "").when(F.col("l_partkey") % 11 == 0, None)
-                .otherwise(F.concat(F.lit("IM"), F.col("line_no").cast("string"))),
+        "imei": item_imei(F.col("l_partkey"), F.col("line_no")),
         "quantity": F.lit(0.0), "revenue": F.lit(0), "source_type": F.lit("online"),
         "status": F.when(F.col("l_linestatus") == "F", "needs_retry").otherwise("pending"),
         "error_code": F.lit("old"), "first_failure_time": instant("l_shipdate"),
         "updated_at": F.when(F.col("l_tax") > 0, instant("l_shipdate")),
     }
-    known = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(*[
+    return returned_lines(spark, sf_dir).select(*[
         values.get(c, F.lit(None)).cast(LEDGER[c].dataType).alias(c) for c in LEDGER_COLUMNS])
-    return known
 
 
 @stored
 def unique_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger with one row per full key, as its uniqueness rule demands."""
-    return replace_duplicates(ledger(spark, sf_dir), ("first_failure_time", "status", "updated_at"))
+    return replace_duplicates(ledger.__wrapped__(spark, sf_dir), ("first_failure_time", "status", "updated_at"))
 
 
 def order_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import glob
 from pyspark.sql import functions as F
 
 from orderloom.operators import ledger as L
+from orderloom.operators import orders as O
 from orderloom.plans import inputs as I
 from orderloom.plans.catalog import REGISTRY
 from tests.test_ledger import frame, row
@@ -84,3 +85,31 @@ def test_arriving_requests_are_stored_compressed(spark, tmp_path):
     REGISTRY["stream_requests"](spark, str(tmp_path))
     new = set(glob.glob(spark.conf.get("spark.checkpoint.dir") + "/orderloom/*/requests-*/*.json*")) - before
     assert new and all(p.endswith(".gz") for p in new)
+
+
+def test_documents_without_a_reply_go_however_many_replies_there_are(spark, monkeypatch):
+    monkeypatch.setattr(O, "REPLY_SLOTS", 64)
+    requests = spark.range(4000).select(F.concat(F.lit("T"), "id").alias("task_id"))
+    replies = requests.where("substr(task_id, 2) % 10 = 3")
+    stay = O.likely_answered(requests, replies, "task_id")
+    assert replies.exceptAll(stay).isEmpty() and stay.count() < 800  # 400 of them have a reply
+
+
+def test_a_replay_shuffles_the_old_rows_once(spark):
+    """Old rows meet lines, inserts and deliveries in one exchange by their order, and no join shuffles their values again."""
+    old, new = frame(spark, [row("o", "p", "1")]), frame(spark, [row("o", "p", "1")])
+    done = spark.createDataFrame([("x", dt.datetime(2024, 1, 1), 1)], "order_id string, attempt_at timestamp, attempt_no long")
+    made = L.ledger_replay(new.withColumn("attempt_no", F.lit(1).cast("long")).withColumn("pos", F.lit(0)), done, old)
+    assert plan(made).count("REPARTITION") == 1 and plan(made).count("customer_name") > 0
+    assert not [x for x in plan(made).splitlines() if "Join" in x and "product_code" in x]
+
+
+def test_requests_and_ledger_come_from_one_table_of_lines(spark, tmp_path, monkeypatch):
+    """The lines are shuffled once for both; with large orders the ledger is numbered in chunks and has the same rows."""
+    lines_of(spark, tmp_path)
+    here = str(tmp_path)
+    small = I.ledger.__wrapped__(spark, here)
+    assert "REPARTITION" not in plan(small) and "REPARTITION" not in plan(I.requests(spark, here))
+    monkeypatch.setattr(I, "LARGE_ORDER", 5)
+    large = I.ledger.__wrapped__(spark, here)
+    assert small.count() == 50 and small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
