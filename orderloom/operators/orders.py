@@ -90,8 +90,8 @@ def likely_answered(requests: DataFrame, replies: DataFrame, on: str) -> DataFra
     slot = F.pmod(F.xxhash64(on), F.lit(64 * REPLY_SLOTS))
     row, bit = F.shiftright(slot, 6).alias("_row"), (slot % 64).cast("int").alias("_bit")
     marked = replies.select(row, bit).groupBy("_row").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
-    return (requests.select("*", row, bit).join(F.broadcast(marked), "_row")
-            .where(F.expr("shiftrightunsigned(_bits, _bit) & 1L = 1L")).drop("_row", "_bit", "_bits"))
+    hit = (F.col("_row") == F.col("_marked")) & F.expr("shiftrightunsigned(_bits, _bit) & 1L = 1L")
+    return requests.select("*", row, bit).join(F.broadcast(marked.withColumnRenamed("_row", "_marked")), hit, "left_semi").drop("_row", "_bit")
 
 
 def flatten_order_lines(requests: DataFrame, responses: DataFrame, details: str = "all", source: str = "slash",
