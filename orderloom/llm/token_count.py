@@ -1,13 +1,13 @@
 """Token counts of texts under a unigram model, with scores shared along a trie of pre-tokens.
 
 The pieces are those of a public vocabulary; none is added or dropped. Their probabilities are fitted to the documents by expectation
-maximisation over all their different pre-tokens: forward scores once per shared prefix, backward scores per word, and expected uses of each
+maximisation over all their different pre-tokens: forward and backward scores once per shared prefix, and expected uses of each
 piece, added up over the tasks in every round. A text's segmentation is the one of highest probability (ties: fewer tokens). A character that no piece covers
 counts as its UTF-8 bytes, one token each, each scored below every piece.
 
 Pre-tokens are the stretches between white space, with the mark that the vocabulary puts for a word start. The
-distinct ones of a batch are walked in sorted order, which is a depth-first walk of their trie: the best score up to a
-prefix is computed once for all words that share it, and each terminal keeps its count. Counts of words already seen by a task are
+distinct ones of a batch are sorted and taken level by level of their trie, in arrays: the best score up to a
+prefix is computed once for all words that share it, and each terminal keeps its count. Words over ``LONG`` characters are walked one by one. Counts of words already seen by a task are
 kept in a bounded table. Documents are counted where they are read; different pre-tokens with their counts are shuffled once.
 
 Defined results: null, empty and white-space texts have 0 pre-tokens and 0 tokens; equal rows are counted each; a null doc_id is
@@ -22,12 +22,14 @@ from collections import Counter
 from collections.abc import Iterable
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.llm.encoding import text_groups
+from orderloom.llm.piece_lattice import Lattice, PieceTrie
 from orderloom.llm.workspace import Workspace
 
 WORD_START = "▁"
@@ -38,6 +40,8 @@ COUNTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_p
 ROUNDS, PRIOR = 5, 0.1
 #: Different pre-tokens that a task holds while it counts.
 HELD = 500_000
+#: Characters from which on a word is walked by itself, and characters whose lattice is held at once.
+LONG, LATTICE_CHARS = 256, 500_000
 
 
 def load_pieces(path: str) -> dict[str, float]:
@@ -120,11 +124,49 @@ def _uses_by_logs(steps: list[list[tuple]], n: int, uses: dict[str, float]) -> f
     return forward[size]
 
 
-def expected_uses(words: dict[str, int], pieces: dict[str, float], fallback: float, tails: set[str] | None = None) -> tuple[dict[str, float], float]:
+def _lattices(words: Iterable[str], trie: PieceTrie):
+    """Sorted words of at most ``LONG`` characters, in runs, and the lattice of each run."""
+    run, size = [], 0
+    for word in words:
+        if size + len(word) > LATTICE_CHARS:
+            yield run, Lattice(run, trie)
+            run, size = [], 0
+        run.append(word)
+        size += len(word)
+    if run:
+        yield run, Lattice(run, trie)
+
+
+def expected_uses(words: dict[str, int], pieces: dict[str, float], fallback: float, tails: set[str] | None = None,
+                  trie: PieceTrie | None = None) -> tuple[dict[str, float], float]:
     """Of each piece over all segmentations of all words, by their probability, and the words' log-likelihood.
 
-    Words are walked in order, so forward scores are computed once for each node of their trie. ``tails``: ``piece_tails(pieces)``, if known.
+    Scores are computed once for each node of the words' trie; long and improbable words are walked. ``tails``: ``piece_tails(pieces)``, and
+    ``trie``: that of the pieces in their order, if known.
     """
+    trie = PieceTrie(pieces) if trie is None else trie
+    chances = np.exp(np.fromiter(pieces.values(), float, len(pieces)))
+    uses, total = np.zeros(len(pieces)), 0.0
+    walked = {w: n for w, n in words.items() if len(w) > LONG or not w}
+    for run, lattice in _lattices(sorted(w for w in words if 0 < len(w) <= LONG), trie):
+        forward = lattice.forward(chances, fallback)
+        whole, n = forward[lattice.ends], np.fromiter(map(words.__getitem__, run), float, len(run))
+        likely = whole >= LEAST
+        walked.update((run[i], words[run[i]]) for i in np.flatnonzero(~likely))
+        total += float(n[likely] @ np.log(whole[likely]))
+        weights = np.divide(n, whole, out=np.zeros(len(run)), where=likely)
+        uses += lattice.uses(forward, weights, chances, fallback)
+    out = dict(zip(pieces, uses.tolist()))
+    if walked:
+        more, rest = _walked_uses(walked, pieces, fallback, tails)
+        total += rest
+        for piece, u in more.items():
+            out[piece] += u
+    return out, total
+
+
+def _walked_uses(words: dict[str, int], pieces: dict[str, float], fallback: float, tails: set[str] | None = None) -> tuple[dict[str, float], float]:
+    """``expected_uses``, word by word: forward scores are computed once for each node of the words' trie."""
     tails = piece_tails(pieces) if tails is None else tails
     odds = {p: (s, math.exp(s), p) for p, s in pieces.items()}
     uses: dict[str, float] = dict.fromkeys(pieces, 0.0)
@@ -181,8 +223,9 @@ def below_all(pieces: dict[str, float]) -> float:
 def fitted(words: dict[str, int], pieces: dict[str, float], rounds: int = ROUNDS, prior: float = PRIOR) -> dict[str, float]:
     """Log-probabilities of the pieces after ``rounds`` of expectation maximisation; without words the first guess stays."""
     marked = {WORD_START + w: n for w, n in words.items()}
+    trie = PieceTrie(pieces)
     for _ in range(rounds if marked else 0):
-        pieces = _maximised(expected_uses(marked, pieces, below_all(pieces))[0], prior)
+        pieces = _maximised(expected_uses(marked, pieces, below_all(pieces), trie=trie)[0], prior)
     return pieces
 
 
@@ -194,34 +237,36 @@ def _maximised(uses: dict[str, float], prior: float) -> dict[str, float]:
 def fitted_to(words: DataFrame, pieces: dict[str, float], rounds: int = ROUNDS, prior: float = PRIOR) -> dict[str, float]:
     """``fitted`` over a table of all words (word, n): each task adds up the uses of its words, and what comes back has a row for each piece."""
     names = list(pieces)
+    spark = words.sparkSession
+    trie = spark.sparkContext.broadcast(PieceTrie(names))  # like the probabilities, of the vocabulary's size
     for _ in range(rounds):
-        shared = words.sparkSession.sparkContext.broadcast(pieces)  # one number for each piece of the vocabulary
+        shared = spark.sparkContext.broadcast(pieces)  # one number for each piece of the vocabulary
 
         def used(stream):
             known = shared.value
-            at = {p: i for i, p in enumerate(known)}
-            fallback, tails = below_all(known), piece_tails(known)
-            sums = [0.0] * len(known)
+            fallback = below_all(known)
+            sums = np.zeros(len(known))
             for rows in stream:
                 counts = {WORD_START + w: n for w, n in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist())}
-                for piece, u in expected_uses(counts, known, fallback, tails)[0].items():
-                    if u:
-                        sums[at[piece]] += u
-            some = [(i, u) for i, u in enumerate(sums) if u]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in some], pa.int32()), pa.array([u for _, u in some], pa.float64())], names=USED.names)
+                uses = expected_uses(counts, known, fallback, trie=trie.value)[0]
+                sums += np.fromiter(uses.values(), float, len(known))
+            some = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(sums[some], pa.float64())], names=USED.names)
 
         uses = dict.fromkeys(names, 0.0)
         uses.update((names[r["piece"]], r["uses"]) for r in words.mapInArrow(used, USED).groupBy("piece").agg(F.sum("uses").alias("uses")).collect())
         shared.unpersist()
         if not any(uses.values()):
-            return pieces
+            break
         pieces = _maximised(uses, prior)
+    trie.unpersist()
     return pieces
 
 
 class TrieCounter:
     def __init__(self, pieces: dict[str, float], table_size: int = 500_000):
         self.pieces = pieces
+        self.trie, self.scores = PieceTrie(pieces), np.fromiter(pieces.values(), float, len(pieces))
         self.longest = max(map(len, pieces), default=1)
         self.fallback = below_all(pieces)
         self.table: dict[str, int] = {}
@@ -230,10 +275,18 @@ class TrieCounter:
 
     def count_new(self, words: Iterable[str]) -> dict[str, int]:
         """Token counts of distinct words: one step for each node of their trie."""
+        words = sorted(words)
+        out = self._walked(w for w in words if len(w) > LONG or not w)
+        for run, lattice in _lattices((w for w in words if 0 < len(w) <= LONG), self.trie):
+            out.update(zip(run, lattice.fewest(self.scores, self.fallback).tolist()))
+        return out
+
+    def _walked(self, words: Iterable[str]) -> dict[str, int]:
+        """The counts of sorted words, one node after the other."""
         pieces, tails, longest = self.pieces, self.tails, self.longest
         scores, counts = [0.0], [0]  # best of each prefix of the word at hand, root first
         at, out = "", {}
-        for word in sorted(words):
+        for word in words:
             same = 0
             for a, b in zip(at, word):
                 if a != b:

@@ -275,6 +275,33 @@ def test_expected_uses_against_all_segmentations():
         assert got == pytest.approx(want) and total == pytest.approx(likelihood)
 
 
+def test_one_pass_over_the_words_trie():
+    """Forward, backward and best scores are shared by all words with a prefix; long and improbable words give the same by themselves."""
+    rng = random.Random(16)
+    head = "".join(rng.choice("abé") for _ in range(40))
+    tails = ["".join(rng.choice("abcé漢🙂") for _ in range(rng.randrange(1, 12))) for _ in range(3000)]
+    pieces = {p: -rng.random() * 9 for p in dict.fromkeys("".join(rng.choice("abé漢") for _ in range(rng.randrange(1, 6))) for _ in range(400))}
+    trie = token_count.PieceTrie(pieces)
+    shared = sorted({head + t for t in tails})
+    prefixes = {w[:i] for w in shared for i in range(len(w) + 1)}
+    lattice = token_count.Lattice(shared, trie)
+    edges = sum(level.piece.size for level in lattice.levels)
+    assert lattice.nodes == len(prefixes)
+    assert edges == sum(p[i:] in pieces for p in prefixes for i in range(max(0, len(p) - 6), len(p)))
+
+    words = {w: rng.randrange(1, 9) for w in [*shared, *tails, head, "漢" * 200, "🙂" * 250, "ab" * 400, "é" * token_count.LONG, "x" * 300]}
+    fallback = token_count.below_all(pieces)
+    got, total = token_count.expected_uses(words, pieces, fallback, trie=trie)
+    want, likelihood = token_count._walked_uses(words, pieces, fallback)
+    assert got == pytest.approx(want, rel=1e-9, abs=1e-12) and total == pytest.approx(likelihood) and list(got) == list(pieces)
+    even = dict.fromkeys(pieces, -1.0)  # many cuts of the same score
+    for scores in (pieces, even):
+        counter = token_count.TrieCounter(scores)
+        assert counter.count_new(words) == counter._walked(sorted(words))
+    assert token_count.TrieCounter({}).count_new(["a", "é"]) == {"a": 1, "é": 2}
+    assert token_count.expected_uses({"a": 2}, {}, -1.0) == ({}, pytest.approx(-2.0))
+
+
 def test_fit_raises_the_likelihood():
     rng = random.Random(15)
     words = Counter("".join(rng.choice(["the", "re", "a", "b", "s"]) for _ in range(rng.randrange(1, 5))) for _ in range(500))
