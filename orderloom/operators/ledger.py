@@ -200,16 +200,24 @@ def _chains(touches: DataFrame) -> DataFrame:
     return materialize(touches.join(won, one, "left_semi").select(*key, "seq"), "replay-won")
 
 
-def _replayed(keyed: DataFrame, last_ok: DataFrame, owned: DataFrame | None, orders: DataFrame | None) -> DataFrame:
+def _decided(touches: DataFrame) -> DataFrame:
+    """Open attempts (line key and seq), dealt by their order: ``_won`` if it is the earliest for all its keys, ``_settled`` if it shares a key
+    with one that is. All windows are within the order, so nothing is dealt anew."""
+    by_key, by_attempt = Window.partitionBy(*LINE_KEY), Window.partitionBy("order_id", "seq")
+    return (touches.withColumn("_first", F.col("seq") == F.min("seq").over(by_key)).withColumn("_won", F.min("_first").over(by_attempt))
+            .withColumn("_taken", F.max("_won").over(by_key)).withColumn("_settled", F.max("_taken").over(by_attempt))
+            .select(*LINE_KEY, "seq", "_won", "_settled"))
+
+
+def _replayed(keyed: DataFrame, last_ok: DataFrame, owned: DataFrame, orders: DataFrame | None) -> DataFrame:
     """Rows with the values of the last attempt that names their key: those of ``orders`` without a delivery, and the inserted ones (``owned``).
 
     Old rows, attempted lines, inserts and deliveries go by their order and meet in windows, so each is shuffled once.
     """
     values = [c for c in LEDGER_COLUMNS if c not in KEPT_ON_UPDATE]
     sides = [keyed.select(*LEDGER_COLUMNS, "seq", "pos", F.lit("line").alias("_side")),
-             last_ok.select("order_id", F.lit("delivery").alias("_side"))]
-    if owned is not None:
-        sides.append(owned.select(*LINE_KEY, F.col("seq.at").alias("first_failure_time"), F.lit("insert").alias("_side")))
+             last_ok.select("order_id", F.lit("delivery").alias("_side")),
+             owned.select(*LINE_KEY, F.col("seq.at").alias("first_failure_time"), F.lit("insert").alias("_side"))]
     if orders is not None:
         sides.append(_ledger(orders.where("order_id IS NOT NULL")).withColumn("_side", F.lit("row")))
     every = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
@@ -232,7 +240,8 @@ def ledger_replay(lines: DataFrame, deliveries: DataFrame, orders: DataFrame | N
     and every other open attempt that shares a key with it updates. Retries repeat their payload,
     so one round settles nearly everything. Attempts that overlap in a chain are settled together (``_chains``); only attempts that wait for
     several open ones take further rounds. A key's row then takes its values from the last
-    attempt that names it. No order's log is ever gathered in one place.
+    attempt that names it. Ledger keys and attempts meet by their order in one shuffle, sorted in one task; no order's log is ever
+    gathered in one row.
     """
     seq = F.struct(F.col("updated_at").alias("at"), F.col("attempt_no").alias("no"))
     last_ok = _last_deliveries(deliveries)
@@ -243,12 +252,15 @@ def ledger_replay(lines: DataFrame, deliveries: DataFrame, orders: DataFrame | N
     key = [*LINE_KEY]
     keyed = live.where(_has_key())
 
-    touches = keyed.select(*key, "seq", "_renewed").distinct()
-    if orders is not None:
-        settled = touches.where("NOT _renewed").join(_known_keys(orders), key, "left_semi").select("order_id", "seq").distinct()
-        touches = touches.join(settled, ["order_id", "seq"], "left_anti")
-    touches = touches.drop("_renewed")
-    touches = materialize(touches, "replay-open")
+    touches = keyed.select(*key, "seq", "_renewed")
+    if orders is None:
+        touches = _by_order(touches)
+    else:
+        known = F.max(F.col("_old")).over(Window.partitionBy(*key))
+        updates = F.max(F.col("_known") & ~F.col("_renewed")).over(Window.partitionBy("order_id", "seq"))
+        both = touches.withColumn("_old", F.lit(False)).unionByName(
+            orders.where(_has_key()).select(*key, F.lit(True).alias("_old")), allowMissingColumns=True)
+        touches = (_by_order(both).withColumn("_known", known).where("NOT _old").withColumn("_updates", updates).where("NOT _updates"))
 
     inserts = []
 
@@ -258,22 +270,23 @@ def ledger_replay(lines: DataFrame, deliveries: DataFrame, orders: DataFrame | N
         settled = open_.join(won.select(*key), key, "left_semi").select("order_id", "seq").distinct()
         return materialize(open_.join(settled, ["order_id", "seq"], "left_anti"), "replay-open")
 
-    while not touches.isEmpty():
-        earliest = touches.groupBy(*key).agg(F.min("seq").alias("_first"))
-        winners = (touches.join(earliest, key).groupBy("order_id", "seq")
-                   .agg(F.min(F.col("seq") == F.col("_first")).alias("_all")).where("_all").drop("_all"))
-        touches = settle(materialize(touches.join(winners, ["order_id", "seq"], "left_semi").select(*key, "seq"), "replay-won"), touches)
-        if not touches.isEmpty():
-            touches = settle(_chains(touches), touches)
+    while True:
+        decided = materialize(_decided(touches.select(*key, "seq").distinct()), "replay-round")
+        inserts.append(decided.where("_won").select(*key, "seq"))
+        touches = decided.where("NOT _settled").select(*key, "seq")
+        if touches.isEmpty():
+            break
+        touches = settle(_chains(touches), touches)
+        if touches.isEmpty():
+            break
+        touches = _by_order(touches)
 
-    owned = functools.reduce(DataFrame.unionByName, inserts) if inserts else None
+    owned = functools.reduce(DataFrame.unionByName, inserts)
     parts = [_replayed(keyed, last_ok, owned, orders)]
     if orders is not None:
         parts.append(_ledger(orders.where("order_id IS NULL")))  # no attempt and no delivery names them
 
     # Lines without a full key: kept whenever their attempt inserted.
-    with_key = keyed.select("order_id", "seq").distinct()
-    if owned is not None:
-        with_key = with_key.join(owned.select("order_id", "seq").distinct(), ["order_id", "seq"], "left_anti")
+    with_key = keyed.select("order_id", "seq").distinct().join(owned.select("order_id", "seq").distinct(), ["order_id", "seq"], "left_anti")
     parts.append(live.where(~_has_key()).join(with_key, ["order_id", "seq"], "left_anti").select(*LEDGER_COLUMNS))
     return functools.reduce(DataFrame.unionByName, parts)

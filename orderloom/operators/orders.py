@@ -81,8 +81,8 @@ def error_code_or_error(body, error) -> Column:
     return F.when(has_key, F.get_json_object(body, "$.errorCode")).otherwise(error)
 
 
-def likely_answered(requests: DataFrame, replies: DataFrame, on: str) -> DataFrame:
-    """The requests without most of those that have no reply; those with one all stay.
+def likely_answered(requests: DataFrame, replies: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
+    """The requests without most of those that have no reply; those with one all stay. With ``how="left_anti"`` the others: none of them has one.
 
     Documents without a reply go before anything is shuffled: the hashes of the replies' ids are broadcast, 64 to a row, in at most
     ``REPLY_SLOTS`` rows. With 64 hashes to a row the table is nearly empty even with millions of replies, so few others stay.
@@ -91,7 +91,7 @@ def likely_answered(requests: DataFrame, replies: DataFrame, on: str) -> DataFra
     row, bit = F.shiftright(slot, 6).alias("_row"), (slot % 64).cast("int").alias("_bit")
     marked = replies.select(row, bit).groupBy("_row").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
     hit = (F.col("_row") == F.col("_marked")) & F.expr("shiftrightunsigned(_bits, _bit) & 1L = 1L")
-    return requests.select("*", row, bit).join(F.broadcast(marked.withColumnRenamed("_row", "_marked")), hit, "left_semi").drop("_row", "_bit")
+    return requests.select("*", row, bit).join(F.broadcast(marked.withColumnRenamed("_row", "_marked")), hit, how).drop("_row", "_bit")
 
 
 def flatten_order_lines(requests: DataFrame, responses: DataFrame, details: str = "all", source: str = "slash",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from orderloom.operators.orders import likely_answered
 from orderloom.session import DEFAULTS, fresh_path
 
 #: Set in rows that came behind the watermark.
@@ -168,12 +169,16 @@ class BucketedTable:
         if not changes:
             return base
         key = T.StructType([self.schema[self.key]])
-        last = (self._files("keys", [(batch, b) for batch, b, _ in changes], key)
-                .groupBy(F.col(self.key).alias("_key")).agg(F.max(BATCH).alias("_last")))
+        keys = self._files("keys", [(batch, b) for batch, b, _ in changes], key)
         changed = self._files("changes", [(batch, b) for batch, b, n in changes if n], self.schema)
+        # Most rows of other keys stand without being shuffled: only those whose key may have changed meet the changed keys.
+        untouched = likely_answered(base, keys, self.key, "left_anti").unionByName(
+            likely_answered(base, keys, self.key).join(keys.select(F.col(self.key).alias("_key")), F.col(self.key) == F.col("_key"), "left_anti"))
+        if len({batch for batch, _, _ in changes}) == 1:  # nothing was written later
+            return untouched.unionByName(changed.where(F.col(self.key).isNotNull()).drop(BATCH))
+        last = keys.groupBy(F.col(self.key).alias("_key")).agg(F.max(BATCH).alias("_last"))
         stands = (F.col(self.key) == F.col("_key")) & (F.col(BATCH) == F.col("_last"))
-        return (base.join(last, F.col(self.key) == F.col("_key"), "left_anti")
-                .unionByName(changed.join(last, stands, "left_semi").drop(BATCH)))
+        return untouched.unionByName(changed.join(last, stands, "left_semi").drop(BATCH))
 
     def read(self, before: int | None = None, keys: DataFrame | None = None) -> DataFrame:
         """The table as it stood before a batch, or now; only the rows of some ``keys`` (a column named as the key), from their buckets."""
@@ -181,7 +186,8 @@ class BucketedTable:
         if keys is None:
             return self._rows(entries, set(entries))
         only = {r["_b"] for r in keys.select(self._bucket(buckets).alias("_b")).distinct().collect()}
-        return self._rows(entries, only).join(keys.select(self.key).distinct(), self.key, "left_semi").select(*self.schema.names)
+        rows = likely_answered(self._rows(entries, only), keys, self.key)
+        return rows.join(keys.select(self.key).distinct(), self.key, "left_semi").select(*self.schema.names)
 
     def write(self, rows: DataFrame, keys: DataFrame, batch_id: int) -> None:
         """Replace all rows of the ``keys`` by ``rows``, all of which belong to these keys."""

@@ -159,6 +159,29 @@ def test_chain_of_overlapping_attempts_takes_few_rounds(spark, monkeypatch):
     assert made.count("replay-hops") <= 11 and made.count("replay-won") <= 2
 
 
+def test_open_attempts_and_the_ledger_meet_in_one_shuffle(spark, monkeypatch):
+    """Also where nothing is small enough to be broadcast: attempts, known keys and the first round need no second one."""
+    made = {}
+    store = L.materialize
+    monkeypatch.setattr(L, "materialize", lambda df, label="step": (made.setdefault(label, []).append(df), store(df, label))[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        old = [row("a", "p1", "1"), row("b", "p1", "1"), row(None, "p1", "1"), row("c", None, "1")]
+        table, lines = list(old), []
+        for no, (order, keys) in enumerate([("a", (1, 2)), ("b", (3,)), ("b", (3, 4)), ("c", (1,)), ("c", (1, 5)), ("d", (1,))]):
+            attempt = chain_lines(order, no, keys)
+            table = brute_upsert(table, attempt)
+            lines += attempt
+        got = L.ledger_replay(frame(spark, lines, ", pos int, attempt_no long"),
+                              spark.createDataFrame([], "order_id string, attempt_at timestamp, attempt_no long"), frame(spark, old))
+        assert bag(r.asDict() for r in got.collect()) == bag(table)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    stored = [df for label, dfs in made.items() if label not in ("replay-lines",) for df in dfs]
+    assert len(stored) == 1
+    assert stored[0]._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_replay_of_tangled_chains(spark, seed):
     rng = random.Random(seed)
