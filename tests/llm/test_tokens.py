@@ -32,6 +32,22 @@ def test_encoder_equals_library(direct):
             assert [np.frombuffer(i, "<u4").tolist() + [2] for i in e.encode(texts)] == [direct(t).tolist() for t in texts]
 
 
+def test_encoder_cuts_plain_pieces(direct):
+    """Pieces of plain letters, digits and marks never go to the whole library, and random characters give its ids."""
+    e, asked = Encoder(tokenizer_path()), []
+    library = e._encode
+    e._encode = lambda texts: asked.extend(texts) or library(texts)
+    texts = ["One, (two).\nThree!! don't we'll'sx 42nd x_y é. ÀÉ###", "\nЖук, one\n\n", "two, one. x\n\nThree 4,000"]
+    assert [np.frombuffer(i, "<u4").tolist() + [2] for i in e.encode(texts)] == [direct(t).tolist() for t in texts]
+    assert not asked
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("aZsé\u0174\u0416\u04829.,''#\n\t    \u00bd\u00b7\u00aa\u00a0\u0301\u6f22") for _ in range(rng.randrange(40))) for _ in range(800)]
+    for size in (20, 600_000):
+        e = Encoder(tokenizer_path(), size)
+        for _ in range(2):
+            assert [np.frombuffer(i, "<u4").tolist() + [2] for i in e.encode(texts)] == [direct(t).tolist() for t in texts]
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 def test_planes_round_trip(kind):
     rng = np.random.default_rng(1)
